@@ -12,7 +12,6 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens import contract
 from loanlens.operators import star as star_ops
 from loanlens.operators.cleanse import cleanse
 from loanlens.operators.quality import step_counter
@@ -37,14 +36,13 @@ def bronze_to_silver(
     All counts are taken while the two results are written.
     """
     raw = bronze.read_bronze(spark, bronze_path)
-    malformed = F.col(contract.CORRUPT).isNotNull()
     seen = Observation("bronze")
     observed = raw.observe(
         seen,
         F.count(F.lit(1)).alias("loaded"),
-        F.count(F.when(malformed, 1)).alias("corrupt"),
+        F.count(F.when(bronze.is_malformed(raw), 1)).alias("corrupt"),
     )
-    good, bad = bronze.split_quarantine(observed)
+    good, _ = bronze.split_quarantine(observed)
     silver, written = step_counter("silver", cleanse(good))
     lake.write_silver(silver, silver_path)
     counts = seen.get

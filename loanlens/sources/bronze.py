@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens import contract
@@ -38,9 +38,19 @@ def with_source_file(df: DataFrame) -> DataFrame:
     return df.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
+def is_malformed(df: DataFrame) -> Column:
+    """Whether the line of a row did not fit the header.
+
+    Spark refuses to scan raw files for the corrupt column alone, so the test takes
+    in a data column: a malformed line makes the text of the two longer.
+    """
+    value = F.coalesce(F.col(f"`{df.columns[0]}`"), F.lit(""))
+    return F.length(F.concat_ws("", value, contract.CORRUPT)) > F.length(value)
+
+
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Well-formed rows without the corrupt column, and malformed lines."""
-    malformed = F.col(contract.CORRUPT).isNotNull()
+    malformed = is_malformed(df)
     return df.where(~malformed).drop(contract.CORRUPT), df.where(malformed)
 
 
@@ -93,7 +103,7 @@ def copy_csv(
     now = now or datetime.now(timezone.utc)
     batch = f"{target}/batch={now:%Y%m%d_%H%M%S}"
     raw = read_bronze(spark, source, header)
-    fits = F.col(contract.CORRUPT).isNull()
+    fits = ~is_malformed(raw)
     counted = Observation("copy")
     observed = raw.observe(
         counted,
