@@ -313,17 +313,23 @@ def _ratio(part: str, whole: str) -> str:
     )
 
 
+def _rounded(value: str, places: int) -> str:
+    return f"round(cast({value} AS decimal(30,10)), {places})"
+
+
 def _percent_text(share: str, places: int) -> str:
-    return f"printf('%.{places}f%%', round(({share}) * 100, {places}) + 0.0)"
+    rounded = _rounded(f"({share}) * 100", places)
+    return f"printf('%.{places}f%%', cast({rounded} AS double))"
 
 
 def _signed_text(share: str) -> str:
-    plus = f"CASE WHEN round(({share}) * 100, 1) > 0 THEN '+' ELSE '' END"
+    plus = f"CASE WHEN {_rounded(f'({share}) * 100', 1)} > 0 THEN '+' ELSE '' END"
     return f"{plus} || {_percent_text(share, 1)}"
 
 
 def _money_text(value: str, places: int, unit: str) -> str:
-    return f"concat('$', format('{{:,.{places}f}}', round({value}, {places})), '{unit}')"
+    rounded = f"cast({_rounded(value, places)} AS double)"
+    return f"concat('$', format('{{:,.{places}f}}', {rounded}), '{unit}')"
 
 
 _MEASURE_TEXTS = {

@@ -1,7 +1,8 @@
 """Text masks of the report measures.
 
 Values are rounded half away from zero before they are printed, because number
-formatting alone rounds half to even.
+formatting alone rounds half to even.  The rounding is done in decimal, where the last
+bits of a double (4.225 held as 4.2249999999999996) do not decide.
 """
 
 from __future__ import annotations
@@ -12,8 +13,12 @@ from pyspark.sql import functions as F
 NOT_AVAILABLE = "N/A"
 
 
+def _rounded(value: Column, places: int) -> Column:
+    return F.round(value.cast("decimal(30,10)"), places)
+
+
 def _money(value: Column, places: int, unit: str) -> Column:
-    rounded = F.round(value, places)
+    rounded = _rounded(value, places)
     sign = F.when(rounded < 0, "-").otherwise("")
     return F.concat(
         sign, F.lit("$"), F.format_number(F.abs(rounded), places), F.lit(unit)
@@ -37,14 +42,15 @@ def dollars(value: Column) -> Column:
 
 def percent(share: Column, places: int = 2) -> Column:
     """``0.00%`` (or ``0.0%``) of a share; a missing share prints as ``N/A``."""
-    text = F.format_string(f"%.{places}f%%", F.round(share * 100, places))
+    rounded = _rounded(share * 100, places).cast("double")
+    text = F.format_string(f"%.{places}f%%", rounded)
     return F.when(share.isNull(), NOT_AVAILABLE).otherwise(text)
 
 
 def signed_percent(share: Column) -> Column:
     """``+0.0%;-0.0%;0.0%`` of a share; a missing share prints as ``N/A``."""
     text = percent(share, 1)
-    return F.when(F.round(share * 100, 1) > 0, F.concat(F.lit("+"), text)).otherwise(text)
+    return F.when(_rounded(share * 100, 1) > 0, F.concat(F.lit("+"), text)).otherwise(text)
 
 
 def rate_percent(rate: Column) -> Column:
