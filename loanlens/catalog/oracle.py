@@ -656,6 +656,22 @@ def _oracle() -> dict[str, str]:
             f"SELECT loan_status, count(*) AS records, {empties('empty')} "
             "FROM messy GROUP BY loan_status",
         ),
+        "raw_step_counts": sql(
+            ["filled"],
+            f"""SELECT count(*) AS loaded, count(*) FILTER (WHERE NOT {good}) AS corrupt,
+            count(DISTINCT loan_number) FILTER (WHERE {good}) AS written,
+            (SELECT cast(coalesce(sum(n - 1), 0) AS bigint) FROM (SELECT count(*) AS n
+             FROM filled WHERE {good} GROUP BY {', '.join(columns)})) AS exact_duplicates
+            FROM filled""",
+        ),
+        "standard_names": sql(
+            ["messy"],
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS column_name, count({c}) AS filled "
+                f"FROM messy WHERE {good}"
+                for c in columns
+            ),
+        ),
         "landing_check": sql(
             ["messy"],
             f"SELECT count(*) AS row_count, 33 AS column_count, count(*) > 0 AS passed "

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,8 @@ from loanlens.functions.scalars import (
     year_boundaries,
 )
 from loanlens.operators import cleanse, dedup, joins, keys, quality, ranking, star
-from loanlens.plans import dashboards, features, kpis, model, questions
+from loanlens.plans import dashboards, features, kpis, medallion, model, questions
+from loanlens.scratch import new_folder
 from loanlens.sources import bronze, lake
 from loanlens.sources.statements import latest_statements, statements
 from loanlens.streaming import alerts, loader
@@ -82,8 +83,8 @@ def _totals(df: DataFrame) -> DataFrame:
 
 @query
 def cancellation_rate_by_region(spark: SparkSession, sf: str) -> DataFrame:
-    """Flagship: latest statements, a keyed country dimension, a ratio of exact sums."""
-    silver = latest_statements(spark, sf)
+    """Flagship: latest statements, a country dimension, a ratio of exact sums."""
+    silver = tables.silver(spark, sf)
     countries = star.dimension_rows(silver, "dim_country").select("country_code", "region")
     return (
         silver.drop("region")
@@ -254,6 +255,28 @@ def landed_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def raw_step_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per step of the raw-to-Silver run, counted while it writes."""
+    raw_dir = tables.bronze_dir(spark, sf)
+    counts = medallion.bronze_to_silver(spark, raw_dir, new_folder(spark, "steps"), "20020101")
+    good, _ = bronze.split_quarantine(bronze.read_bronze(spark, raw_dir))
+    copies = dedup.exact_duplicate_count(cleanse.typed_rows(good))
+    seen = {name: F.lit(value) for name, value in counts._asdict().items()}
+    return copies.withColumns(seen)
+
+
+@query
+def standard_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Names of the raw columns after standardisation, with their filled values."""
+    good, _ = bronze.split_quarantine(
+        bronze.read_bronze(spark, tables.bronze_dir(spark, sf))
+    )
+    named = cleanse.standardize_names(good)
+    counts = named.agg(*[F.count(c).alias(c) for c in named.columns])
+    return counts.unpivot([], named.columns, "column_name", "filled")
+
+
 @query
 def landing_check(spark: SparkSession, sf: str) -> DataFrame:
     good, _ = bronze.split_quarantine(
@@ -650,6 +673,13 @@ def load_history(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def recent_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """History report of the last day, newest first; file names differ per run."""
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    return loader.recent_loads(spark, tables.warehouse_dir(spark, sf), "fact_loans", now)
+
+
 # --------------------------------------------------------------------- model
 
 
@@ -700,6 +730,10 @@ def model_importances(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def model_tuning(spark: SparkSession, sf: str) -> DataFrame:
-    """Cross-validated score of every grid point."""
+    """Cross-validated scores on all training loans, for the shallow half of the grid.
+
+    The full grid is the default of ``cross_validate``; its deep forests take minutes.
+    """
     train, _ = model.split(tables.feature_rows(spark, sf))
-    return model.grid_scores(spark, model.cross_validate(train))
+    tuned = model.cross_validate(train, trees=model.GRID_TREES[:2], depths=model.GRID_DEPTHS[:2])
+    return model.grid_scores(spark, tuned)

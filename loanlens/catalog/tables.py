@@ -131,7 +131,7 @@ def model_dir(spark: SparkSession, sf_dir: str) -> str:
 
     def build(folder: str) -> None:
         train, _ = model.split(feature_rows(spark, sf_dir))
-        model.save_model(model.build_estimator().fit(train), folder)
+        model.save_model(model.fit(train), folder)
 
     return stored(spark, sf_dir, "model", build)
 

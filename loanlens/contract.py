@@ -257,9 +257,8 @@ def table_schema(table: str) -> T.StructType:
     )
 
 
-def bronze_schema(header: list[str] | None = None) -> T.StructType:
+def bronze_schema(header: list[str]) -> T.StructType:
     """All columns as text plus the column that receives malformed lines."""
-    header = header or BRONZE_HEADER
     return T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
 
 

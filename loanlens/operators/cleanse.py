@@ -114,8 +114,8 @@ def warehouse_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     )
 
 
-def cleanse(raw: DataFrame) -> DataFrame:
-    """Raw text rows to Silver rows, one per loan.
+def typed_rows(raw: DataFrame) -> DataFrame:
+    """Raw text rows under contract names, typed and filled, duplicates included.
 
     Columns of the contract that a file lacks are added as missing, so they are
     filled and reported rather than silently absent downstream.
@@ -124,4 +124,9 @@ def cleanse(raw: DataFrame) -> DataFrame:
     lacking = [c for c in contract.COLUMNS if c not in named.columns]
     named = named.withColumns({c: F.lit(None).cast("string") for c in lacking})
     filled = fill_defaults(parse_dates(cast_numbers(named)))
-    return latest_loans(filled.select(*contract.COLUMNS))
+    return filled.select(*contract.COLUMNS)
+
+
+def cleanse(raw: DataFrame) -> DataFrame:
+    """Raw text rows to Silver rows, one per loan."""
+    return latest_loans(typed_rows(raw))

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanlens.scratch import materialise
+
 # Fixed value: largest lookup table, in bytes, that is sent to every executor.
 BROADCAST_BYTES = 52_428_800
 
@@ -55,14 +58,16 @@ def lookup(
     if stored_bytes(dim) <= broadcast_bytes:
         return df.join(F.broadcast(dim), list(on), "left")
 
-    hot = F.broadcast(hot_keys(df if stored is None else stored, on))
+    hot = materialise(hot_keys(df if stored is None else stored, on))
     values = [c for c in dim.columns if c not in on]
-    hot_dim = dim.join(hot, list(on), "left_semi").select(
-        *on,
-        *[F.col(c).alias(f"_hot_{c}") for c in values],
+    hot_values = dim.join(F.broadcast(hot), list(on), "left_semi")
+    # A hot key without lookup row, or a missing one, is taken out like the others.
+    hot_dim = hot.join(F.broadcast(hot_values), list(on), "left").select(
+        *[F.col(c).alias(f"_hot_{c}") for c in (*on, *values)],
         F.lit(True).alias("_is_hot"),
     )
-    marked = df.join(F.broadcast(hot_dim), list(on), "left")
+    same_key = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in on])
+    marked = df.join(F.broadcast(hot_dim), same_key, "left")
     spread = F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS)).cast("int") + 1
     salt = F.when(F.col("_is_hot"), spread).otherwise(F.lit(0))
     cold = dim.withColumn("_salt", F.lit(0))

@@ -7,6 +7,7 @@ only its own step.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -64,10 +65,15 @@ def store_star(
         path = new_folder(spark, "silver")
         silver.write.parquet(path)
         silver = spark.read.schema(silver.schema).parquet(path)
-    rows = {}
-    for table in star_ops.DIMENSIONS:
-        dimension = star_ops.build_dimension(silver, table)
-        rows[table] = lake.write_gold(dimension, gold_dir, table)
+
+    def store_dimension(table: str) -> int:
+        return lake.write_gold(star_ops.build_dimension(silver, table), gold_dir, table)
+
+    # Independent jobs with short stages: run together they fill the cluster better.
+    with ThreadPoolExecutor(len(star_ops.DIMENSIONS)) as pool:
+        rows = dict(
+            zip(star_ops.DIMENSIONS, pool.map(store_dimension, star_ops.DIMENSIONS))
+        )
     dims = {t: lake.read_gold(spark, gold_dir, t) for t in star_ops.DIMENSIONS}
     # One fact row per Silver row: counting the stored Silver reads footers only.
     rows["fact_loans"] = lake.write_gold(

@@ -15,17 +15,26 @@ from loanlens import contract
 LANDING_CAP = 1_000_000
 
 
+def file_header(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Column names of raw files; reads the first line of one of them."""
+    return spark.read.option("header", True).csv(path).columns
+
+
 def read_bronze(
     spark: SparkSession, path: str | list[str], header: Sequence[str] | None = None
 ) -> DataFrame:
     """Raw files as text, malformed lines whole in the corrupt column.
 
-    Column pruning is off for this scan: with it, whether a line counts as malformed
-    would depend on which columns a query happens to use.
+    Columns go by the names in the files, in any order; a file whose header differs
+    from the others (or from a given ``header``) stops the job, since its values would
+    land in wrong columns.  Column pruning is off for this scan: with it, whether a
+    line counts as malformed would depend on which columns a query happens to use.
     """
+    names = list(header) if header else file_header(spark, path)
     return (
-        spark.read.schema(contract.bronze_schema(list(header) if header else None))
+        spark.read.schema(contract.bronze_schema(names))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", contract.CORRUPT)
         .option("columnPruning", False)
@@ -78,6 +87,12 @@ def land_pages(
     return records.fillna("")
 
 
+def write_landed(landed: DataFrame, path: str) -> None:
+    """Stores landed records as raw files; an empty text is written as no value."""
+    writer = landed.write.mode("errorifexists").option("header", True)
+    writer.option("emptyValue", "").csv(path)
+
+
 class CopyAudit(NamedTuple):
     """What a copy did."""
 

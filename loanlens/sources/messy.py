@@ -63,11 +63,15 @@ def is_malformed() -> Column:
 
 
 def write_bronze(messy: DataFrame, path: str) -> None:
-    """Raw files: good rows under the header, malformed rows in files of their own."""
+    """Raw files: good rows, and malformed rows in files of their own.
+
+    A malformed row is one ready-made line under a ready-made header line, written as
+    the only column of a file with another separator, so its commas stay as they are.
+    """
     header = dict(zip(contract.COLUMNS, contract.BRONZE_HEADER))
-    named = [F.col(c).alias(h) for c, h in header.items()]
     good, bad = messy.where(~is_malformed()), messy.where(is_malformed())
-    good.select(*named).write.mode("errorifexists").option("header", True).csv(path)
-    bad.select(*named, F.lit("surplus").alias("Surplus")).write.mode("append").option(
-        "header", True
-    ).csv(path)
+    named = good.select(*[F.col(c).alias(h) for c, h in header.items()])
+    named.write.option("header", True).csv(path)
+    values = [F.coalesce(c, F.lit("")) for c in header]
+    line = F.concat_ws(",", *values, F.lit("surplus")).alias(",".join(header.values()))
+    bad.select(line).write.mode("append").option("header", True).csv(path, sep="\u0001")

@@ -74,7 +74,8 @@ def test_lookup_gives_the_same_by_broadcast_and_by_salted_shuffle(spark):
     ).unionByName(spark.createDataFrame([("hot", -1)], "key string, value bigint"))
     small = joins.lookup(facts, dim, ["key"])
     large = joins.lookup(facts, dim, ["key"], broadcast_bytes=0)
-    assert [r.key for r in joins.hot_keys(facts, ["key"]).collect() if r.key == "hot"]
+    # The missing key and one without lookup row are hot as well.
+    assert {"hot", "absent", None} <= {r.key for r in joins.hot_keys(facts, ["key"]).collect()}
     as_rows = lambda df: sorted(tuple(r) for r in df.select("id", F.coalesce("value", F.lit(-9))).collect())
     assert as_rows(small) == as_rows(large) and large.count() == 9000
 
@@ -101,3 +102,36 @@ def test_small_table_is_one_file_and_large_one_is_clustered(spark, tmp_path):
     placed = lake.cluster(fact.repartition(5), "fact_loans")
     ordered = [r.country_key for r in placed.collect()]
     assert ordered == sorted(ordered)
+
+
+def test_hot_country_is_split_over_files_and_small_ones_are_not(spark, tmp_path):
+    changes = [{"loan_number": f"L{i}", "country_code": "HOT"} for i in range(400)]
+    changes += [{"loan_number": f"S{i}", "country_code": f"C{i % 4}"} for i in range(40)]
+    silver = silver_rows(spark, *changes)
+    big = silver.crossJoin(spark.range(60).select("id")).withColumn(
+        "loan_number", F.concat("loan_number", F.lit("-"), "id")
+    ).drop("id")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "20k")
+    try:
+        lake.write_silver(big, str(tmp_path / "silver"))
+    finally:
+        spark.conf.set(size, before)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "silver").glob("*=*")}
+    assert files["country_code=HOT"] > 2
+    assert all(n <= 2 for name, n in files.items() if name != "country_code=HOT")
+    assert lake.read_silver(spark, str(tmp_path / "silver")).count() == 440 * 60
+
+
+def test_dimension_outgrowing_the_broadcast_limit(spark):
+    """A third of all loans has one borrower, and no dimension may be broadcast."""
+    changes = [
+        {"loan_number": f"L{i}", "borrower": "HOT" if i % 3 == 0 else f"B{i}"} for i in range(600)
+    ]
+    silver = silver_rows(spark, *changes)
+    gold, _ = build(spark, silver)
+    dims = {t: gold[t] for t in star.DIMENSIONS}
+    small, large = (star.build_fact(silver, dims, limit) for limit in (joins.BROADCAST_BYTES, 0))
+    rows = lambda df: sorted((r.loan_number, r.borrower_key, r.country_key) for r in df.collect())
+    assert rows(small) == rows(large)
