@@ -884,6 +884,16 @@ def _oracle() -> dict[str, str]:
             "WHERE cancelled_amount > 1000000 GROUP BY 1",
         ),
         "loaded_fact": sql(["fact"], f"SELECT {_plain_list(fact_names)} FROM fact"),
+        "alert_ingestion": sql(
+            ["statements"],
+            "SELECT risk_level, count(*) AS alerts, count(*) AS with_time, "
+            f"count(*) AS with_file FROM ({_ALERTS}) GROUP BY risk_level",
+        ),
+        "load_history": sql(
+            ["latest"],
+            "SELECT batch_id, 'LOADED' AS status, count(*) AS rows, 0 AS lost_values "
+            "FROM latest, (VALUES (0), (1)) b(batch_id) GROUP BY batch_id",
+        ),
         "loaded_tables": sql(["fact"], _loaded_tables()),
         "model_features": sql(
             ["latest"],

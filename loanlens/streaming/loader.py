@@ -28,6 +28,7 @@ FILES_PER_BATCH = 1000
 HISTORY_HOURS = 24
 HISTORY_ROWS = 20
 
+_AUDIT = ["_loaded_at", "_source_file"]
 _FILE_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 _HISTORY = (
     "_source_file string, status string, rows bigint, lost_values bigint, "
@@ -86,7 +87,9 @@ def load_files(
     promised = rows.groupBy(name).agg(F.count(F.lit(1)).alias("promised_rows"))
     typed = typed_rows(rows.select("*", name), table)
     listed = spark.read.format("binaryFile").load(files).select(name)
-    loaded_at = F.current_timestamp().cast("timestamp_ntz")
+    loaded_at = F.convert_timezone(
+        F.current_timezone(), F.lit("UTC"), F.localtimestamp()
+    )
     part = f"batch_id={batch_id}"
 
     report = file_report(typed, promised, listed).withColumn("_loaded_at", loaded_at)
@@ -98,8 +101,7 @@ def load_files(
     stored = typed.drop("_cast_failures").join(
         good.select("_source_file", "_loaded_at"), "_source_file"
     )
-    columns = [*contract.names(table), "_loaded_at", "_source_file"]
-    stored.select(*columns).write.mode("overwrite").parquet(
+    stored.select(*contract.names(table), *_AUDIT).write.mode("overwrite").parquet(
         f"{_rows_dir(warehouse, table)}/{part}"
     )
 
@@ -151,12 +153,34 @@ def all_rows(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
     return spark.read.schema(schema).parquet(_rows_dir(warehouse, table))
 
 
-def current_rows(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
-    """The newest row of each business key; a key in two batches is not doubled."""
+def _present_files(spark: SparkSession, source: str) -> DataFrame:
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    return listing.load(source).select(F.col("_metadata.file_path").alias("_source_file"))
+
+
+def current_rows(
+    spark: SparkSession, warehouse: str, table: str, source: str | None = None
+) -> DataFrame:
+    """The newest row of each business key; a key in two batches is not doubled.
+
+    Give the ``source`` folder if every delivery replaces it as a whole, like a Gold
+    rebuild: rows of files that are no longer there are then left out, so members
+    and surrogate keys of different rebuilds do not mix.
+    """
     rows = all_rows(spark, warehouse, table)
+    if source is not None:
+        rows = rows.join(_present_files(spark, source), "_source_file", "left_semi")
     natural = contract.KEYS[table][1]
     latest = latest_per_key(rows, natural, ["batch_id", "_loaded_at", "_source_file"])
-    return latest.drop("batch_id")
+    return latest.select(*contract.names(table), *_AUDIT)
+
+
+def pending_files(
+    spark: SparkSession, source: str, warehouse: str, table: str
+) -> DataFrame:
+    """Files below ``source`` that no run has handled yet."""
+    handled = load_history(spark, warehouse, table).select("_source_file")
+    return _present_files(spark, source).join(handled, "_source_file", "left_anti")
 
 
 def load_history(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
@@ -173,7 +197,7 @@ def recent_loads(
     hours: int = HISTORY_HOURS,
     rows: int = HISTORY_ROWS,
 ) -> DataFrame:
-    """History report: files of the last hours, newest first."""
+    """History report: files of the last hours before ``now`` (UTC), newest first."""
     since = F.lit(now - timedelta(hours=hours)).cast("timestamp_ntz")
     recent = load_history(spark, warehouse, table).where(F.col("_loaded_at") >= since)
     return top_n(recent, rows, "_loaded_at", ["_source_file"])

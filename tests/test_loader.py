@@ -1,4 +1,4 @@
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -103,8 +103,24 @@ def test_recent_loads(spark, tmp_path):
     for i in range(3):
         deliver(projects(spark, [(i, f"P{i}", "a")]), tmp_path / "in")
         load(spark, tmp_path)
-    wh, now = str(tmp_path / "wh"), datetime.utcnow() + timedelta(minutes=1)
+    wh, now = str(tmp_path / "wh"), datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(minutes=1)
     recent = loader.recent_loads(spark, wh, "dim_project", now, rows=2).collect()
     assert [r.batch_id for r in recent] == [2, 1]
     later = loader.recent_loads(spark, wh, "dim_project", now + timedelta(hours=25))
     assert later.count() == 0
+
+
+def test_rebuilt_source_replaces_vanished_members(spark, tmp_path):
+    source = str(tmp_path / "in")
+    projects(spark, [(0, "P1", "a"), (1, "P2", "b")]).coalesce(1).write.parquet(source)
+    load(spark, tmp_path)
+    rebuilt = projects(spark, [(0, "P2", "b"), (1, "P3", "c")])
+    rebuilt.coalesce(1).write.mode("overwrite").parquet(source)
+    pending = loader.pending_files(spark, source, str(tmp_path / "wh"), "dim_project")
+    assert pending.count() == 1
+    load(spark, tmp_path)
+    pending = loader.pending_files(spark, source, str(tmp_path / "wh"), "dim_project")
+    assert pending.count() == 0
+    rows = loader.current_rows(spark, str(tmp_path / "wh"), "dim_project", source).collect()
+    assert {(r.project_key, r.project_id) for r in rows} == {(0, "P2"), (1, "P3")}
+    assert len(current(spark, tmp_path)) == 3
