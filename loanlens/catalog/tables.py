@@ -13,6 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from loanlens import contract
+from loanlens.operators.star import DIMENSIONS
 from loanlens.plans import features, medallion, model
 from loanlens.plans.dashboards import Star
 from loanlens.scratch import new_folder
@@ -95,13 +96,13 @@ def warehouse_dir(spark: SparkSession, sf_dir: str) -> str:
     gold = gold_dir(spark, sf_dir)
 
     def build(folder: str) -> None:
-        delivery = f"{folder}/delivery"
+        delivery = f"{folder}/delivery/fact_loans"
         fact = lake.read_gold(spark, gold, "fact_loans")
-        for _ in range(2):  # the second delivery repeats every loan
-            fact.write.mode("append").parquet(f"{delivery}/fact_loans")
-            loader.load_new_files(spark, f"{delivery}/fact_loans", folder, "fact_loans")
-        for table in ("dim_country", "dim_project", "dim_loan_type", "dim_borrower"):
-            loader.load_new_files(spark, f"{gold}/{table}", folder, table)
+        fact.write.parquet(delivery)
+        dims = {t: f"{gold}/{t}" for t in DIMENSIONS}
+        loader.load_tables(spark, {**dims, "fact_loans": delivery}, folder)
+        fact.write.mode("append").parquet(delivery)  # repeats every loan
+        loader.load_new_files(spark, delivery, folder, "fact_loans")
 
     return stored(spark, sf_dir, "warehouse", build)
 

@@ -1,8 +1,8 @@
 """Where intermediate tables live.
 
 Lineage is cut only through storage every executor can reach: the folder the
-cluster names in ``spark.checkpoint.dir``.  A local folder is made only when the
-session names none, which is the case in tests.
+cluster names in ``spark.checkpoint.dir``.  A local folder is made only for a local
+session that names none, as in tests.
 """
 
 from __future__ import annotations
@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_folder(spark: SparkSession) -> str:
     """Shared folder of the session; also set as its checkpoint folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="loanlens-")
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="loanlens-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder

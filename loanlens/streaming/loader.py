@@ -8,6 +8,8 @@ Readers see the newest row of each business key.  Source files are left in place
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -140,10 +142,20 @@ def load_new_files(
     query.awaitTermination()
 
 
+def load_tables(spark: SparkSession, sources: Mapping[str, str], warehouse: str) -> None:
+    """Loads the new files of several tables, each by its own query, side by side."""
+    with ThreadPoolExecutor(max(len(sources), 1)) as pool:
+        runs = [
+            pool.submit(load_new_files, spark, folder, warehouse, table)
+            for table, folder in sources.items()
+        ]
+        for run in runs:
+            run.result()
+
+
 def load_star(spark: SparkSession, gold_dir: str, warehouse: str) -> None:
     """Loads the new files of all five tables."""
-    for table in contract.WAREHOUSE:
-        load_new_files(spark, f"{gold_dir}/{table}", warehouse, table)
+    load_tables(spark, {t: f"{gold_dir}/{t}" for t in contract.WAREHOUSE}, warehouse)
 
 
 def all_rows(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
