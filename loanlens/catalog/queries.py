@@ -23,8 +23,7 @@ from loanlens.functions.scalars import (
     year_boundaries,
 )
 from loanlens.operators import cleanse, dedup, joins, keys, quality, ranking, star
-from loanlens.plans import dashboards, features, kpis, medallion, model, questions
-from loanlens.scratch import new_folder
+from loanlens.plans import dashboards, features, kpis, model, questions
 from loanlens.sources import bronze, lake
 from loanlens.sources.statements import latest_statements, statements
 from loanlens.streaming import alerts, loader
@@ -258,9 +257,10 @@ def landed_pages(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def raw_step_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per step of the raw-to-Silver run, counted while it writes."""
-    raw_dir = tables.bronze_dir(spark, sf)
-    counts = medallion.bronze_to_silver(spark, raw_dir, new_folder(spark, "steps"), "20020101")
-    good, _ = bronze.split_quarantine(bronze.read_bronze(spark, raw_dir))
+    counts = tables.raw_step_counts(spark, sf)
+    good, _ = bronze.split_quarantine(
+        bronze.read_bronze(spark, tables.bronze_dir(spark, sf))
+    )
     copies = dedup.exact_duplicate_count(cleanse.typed_rows(good))
     seen = {name: F.lit(value) for name, value in counts._asdict().items()}
     return copies.withColumns(seen)

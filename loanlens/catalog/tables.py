@@ -24,6 +24,7 @@ from loanlens.streaming import alerts, loader
 AS_OF = date(2002, 1, 1)
 
 _stored: dict[tuple[str, str, str], str] = {}
+_step_counts: dict[str, medallion.StepCounts] = {}
 
 
 def stored(
@@ -82,13 +83,19 @@ def bronze_dir(spark: SparkSession, sf_dir: str) -> str:
 def bronze_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver made from the raw files."""
     bronze = bronze_dir(spark, sf_dir)
-    folder = stored(
-        spark,
-        sf_dir,
-        "silver",
-        lambda path: medallion.bronze_to_silver(spark, bronze, path, "20020101"),
-    )
-    return lake.read_silver(spark, folder)
+
+    def build(folder: str) -> None:
+        counts = medallion.bronze_to_silver(spark, bronze, folder, "20020101")
+        _step_counts[folder] = counts
+
+    return lake.read_silver(spark, stored(spark, sf_dir, "silver", build))
+
+
+def raw_step_counts(spark: SparkSession, sf_dir: str) -> medallion.StepCounts:
+    """What the run that made this Silver counted."""
+    bronze_silver(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, "silver")
+    return _step_counts[_stored[key]]
 
 
 def warehouse_dir(spark: SparkSession, sf_dir: str) -> str:

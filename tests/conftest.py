@@ -1,6 +1,4 @@
-import os
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -10,7 +8,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 def make_session() -> SparkSession:
-    folder = os.environ.get("LOANLENS_TEST_DIR") or tempfile.mkdtemp(prefix="run-", dir="/tmp")
     session = (
         SparkSession.builder.master("local[8]")
         .appName("loanlens-tests")
@@ -19,8 +16,6 @@ def make_session() -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", f"{folder}/checkpoints")
-        .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
