@@ -10,15 +10,18 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanlens import contract
 from loanlens.operators import star as star_ops
 from loanlens.operators.cleanse import cleanse
 from loanlens.scratch import new_folder
 from loanlens.sources import bronze, lake
 from loanlens.streaming.loader import load_star
 
+_MALFORMED = "_malformed"
+
 
 class StepCounts(NamedTuple):
     """Rows seen by the raw-to-Silver step."""
@@ -33,24 +36,23 @@ def bronze_to_silver(
 ) -> StepCounts:
     """Cleanses raw files into Silver and stores malformed lines apart.
 
-    The raw rows are counted while Silver is written, the written ones from its file
-    footers.  A stage repeated after the loss of an executor may be counted twice.
+    The text is parsed once, into a stored table split by whether a line fits the
+    header.  Silver and quarantine read their part of it, and all counts come from
+    file footers, so they are exact even if a stage had to be repeated.
     """
     raw = bronze.read_bronze(spark, bronze_path)
-    seen = Observation("bronze")
-    observed = raw.observe(
-        seen,
-        F.count(F.lit(1)).alias("loaded"),
-        F.count(F.when(bronze.is_malformed(raw), 1)).alias("corrupt"),
-    )
-    good, _ = bronze.split_quarantine(observed)
+    staged = new_folder(spark, "raw")
+    flagged = raw.withColumn(_MALFORMED, bronze.is_malformed(raw))
+    flagged.write.partitionBy(_MALFORMED).parquet(staged)
+
+    rows = spark.read.schema(flagged.schema).parquet(staged)
+    good = rows.where(~F.col(_MALFORMED)).drop(_MALFORMED, contract.CORRUPT)
+    bad = rows.where(_MALFORMED).drop(_MALFORMED)
     lake.write_silver(cleanse(good), silver_path)
-    counts = seen.get
-    if counts["corrupt"]:
-        _, bad = bronze.split_quarantine(raw)
+    loaded, corrupt = rows.count(), bad.count()
+    if corrupt:
         bronze.write_quarantine(bad, bronze_path, day)
-    written = lake.read_silver(spark, silver_path).count()
-    return StepCounts(counts["loaded"], counts["corrupt"], written)
+    return StepCounts(loaded, corrupt, lake.read_silver(spark, silver_path).count())
 
 
 def store_star(
