@@ -22,6 +22,13 @@ TABLES = [
     "part",
     "orders",
     "lineitem",
+    "events",
+    "documents",
+    "embeddings",
+    "pages",
+    "benchmark",
+    "labels",
+    "conversations",
 ]
 
 
