@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loanlens import scratch
-from loanlens.llm import mixing
+from loanlens.llm import decontaminate, mixing, set_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,11 +21,57 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark passage, with the item and the overlap."""
+    return decontaminate.find_overlaps(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op6_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near copies each document belongs to: 3 words, Jaccard 0.9."""
+    return set_join.link_groups(table(spark, sf_dir, "documents"), size=3, numer=90, denom=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mix": op4_source_mix,
+    "op5_spaced_seeds": op5_spaced_seeds,
+    "op6_set_join": op6_set_join,
 }
 
 ORACLE = {
+    "op6_set_join": r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN []
+                        WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                        ELSE list_distinct([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)]) END AS s
+    FROM words
+), classes AS (
+    SELECT list_sort(s) AS s, min(doc_id) AS c FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)
+), items AS (
+    SELECT c, len(s) AS n, unnest(s) AS t FROM classes
+), pairs AS (
+    SELECT x.c AS a, y.c AS b, any_value(x.n) AS n, any_value(y.n) AS m, count(*) AS o
+    FROM items x JOIN items y ON x.t = y.t AND x.c < y.c
+        AND 100 * least(x.n, y.n) >= 90 * greatest(x.n, y.n)
+    GROUP BY x.c, y.c
+), links AS (
+    SELECT a, b FROM pairs WHERE 100 * o >= 90 * (n + m - o)
+), reach AS (
+    SELECT c AS node, c AS goal FROM classes
+    UNION
+    SELECT r.node, l.far FROM reach r
+    JOIN (SELECT a AS near, b AS far FROM links UNION ALL SELECT b, a FROM links) l ON r.goal = l.near
+), least AS (
+    SELECT node, min(goal) AS component_id FROM reach GROUP BY node
+)
+SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(l.component_id, d.doc_id) AS component_id
+FROM sets d LEFT JOIN classes k ON list_sort(d.s) = k.s LEFT JOIN least l ON k.c = l.node
+""",
     "op4_source_mix": r"""
 WITH sized AS (
     SELECT doc_id, source,

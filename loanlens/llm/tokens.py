@@ -9,7 +9,6 @@ factor, whatever the length of a text.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,8 +16,11 @@ import pyarrow as pa
 
 WINDOW = 1 << 20
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes between words: white space; or all of ASCII but letters and digits.
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+PUNCTUATION = np.ones(256, dtype=bool)
+PUNCTUATION[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -36,14 +38,12 @@ def stream(seed: int, n: int) -> np.ndarray:
     return mix(counter + mix(np.array([seed + 1], dtype=np.uint64)))
 
 
-_FACTORS = stream(1, 256) | np.uint64(1)
+_FACTORS = stream(1, 4096) | np.uint64(1)
 
 
 def _factors(length: int) -> np.ndarray:
-    global _FACTORS
-    if length > len(_FACTORS):
-        _FACTORS = stream(1, 1 << int(length).bit_length()) | np.uint64(1)
-    return _FACTORS
+    """One odd factor per position in a word; the same first ones for every length."""
+    return _FACTORS if length <= len(_FACTORS) else stream(1, length) | np.uint64(1)
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -70,9 +70,11 @@ def pieces(texts: pa.Array, size: int = WINDOW) -> Iterator[tuple[int, pa.Array]
         yield start, texts.slice(start)
 
 
-def word_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(
+    raw: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte start and end of every word, and per row the index of its first word."""
-    solid = ~_SPACE[raw]
+    solid = ~gaps[raw]
     inner = np.zeros(len(raw) + 1, dtype=bool)
     inner[1:-1] = solid[:-1] & solid[1:]
     inner[offsets] = False
@@ -81,10 +83,10 @@ def word_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.Array, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all lower-cased words, and per row the index of its first word."""
     raw, offsets = text_bytes(texts)
-    starts, ends, first = word_bounds(raw, offsets)
+    starts, ends, first = word_bounds(raw, offsets, gaps)
     out = np.empty(len(starts), np.uint64)
     lengths = ends - starts
     sums = np.concatenate([[0], np.cumsum(lengths)])
@@ -114,7 +116,6 @@ def windows(hashes: np.ndarray, size: int, seed: int = 2) -> np.ndarray:
     return mix(total)
 
 
-@functools.cache
 def _window_factors(seed: int, size: int) -> np.ndarray:
     return stream(seed + 1000 * size, size + 1) | np.uint64(1)
 
