@@ -5,15 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loanlens import scratch
-from loanlens.llm import decontaminate, mixing, set_join
+from loanlens.llm import decontaminate, grammar, language, mixing, set_join, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document, learned outside a held-out third."""
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.train(docs))
+
+
+def op3_secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All secrets of every document, by fixed patterns and by learned formats."""
+    docs = table(spark, sf_dir, "documents")
+    return grammar.find(docs, grammar.train(docs))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix's decision on every document."""
     sized = mixing.with_sizes(table(spark, sf_dir, "documents")).select("doc_id", "source", "size")
@@ -33,10 +46,23 @@ def op6_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.link_groups(table(spark, sf_dir, "documents"), size=3, numer=90, denom=100)
 
 
+def op9_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document, learned outside a held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    held = docs.select("doc_id", "text", toxicity.held_out(F.col("doc_id")).alias("held_out"))
+    return toxicity.score(held, model).select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
+    "op3_secret_grammar": op3_secret_grammar,
     "op4_source_mix": op4_source_mix,
     "op5_spaced_seeds": op5_spaced_seeds,
     "op6_set_join": op6_set_join,
+    "op9_toxicity_pu": op9_toxicity_pu,
 }
 
 ORACLE = {
