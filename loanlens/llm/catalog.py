@@ -8,13 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens import scratch
-from loanlens.llm import decontaminate, grammar, language, mixing, set_join, toxicity
+from loanlens.llm import decontaminate, forest, grammar, language, mixing, set_join, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return forest.search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document, learned outside a held-out third."""
     docs = table(spark, sf_dir, "documents")
@@ -57,6 +63,7 @@ def op9_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hash_forest": op1_hash_forest,
     "op2_language_id": op2_language_id,
     "op3_secret_grammar": op3_secret_grammar,
     "op4_source_mix": op4_source_mix,
