@@ -8,7 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens import scratch
-from loanlens.llm import decontaminate, forest, grammar, language, mixing, set_join, toxicity
+from loanlens.llm import (
+    chat,
+    decontaminate,
+    forest,
+    grammar,
+    language,
+    mixing,
+    set_join,
+    toxicity,
+    urls,
+    warc,
+)
+from loanlens.llm.store import Store, delete
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +64,22 @@ def op6_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.link_groups(table(spark, sf_dir, "documents"), size=3, numer=90, denom=100)
 
 
+def op7_tool_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's messages linked, ordered, validated, as canonical JSON."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+def op8_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to bundles and read back; the bundles go once they are read."""
+    store = Store(spark)
+    folder = scratch.new_folder(spark, "warc")
+    index = store.put("index", warc.write_bundles(table(spark, sf_dir, "pages"), folder))
+    records = store.put("records", warc.read_bundles(index))
+    delete(spark, folder)
+    store.drop("index")
+    return records
+
+
 def op9_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity score of every document, learned outside a held-out fifth."""
     docs = table(spark, sf_dir, "documents")
@@ -62,6 +90,11 @@ def op9_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_url_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_forest": op1_hash_forest,
     "op2_language_id": op2_language_id,
@@ -69,10 +102,59 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mix": op4_source_mix,
     "op5_spaced_seeds": op5_spaced_seeds,
     "op6_set_join": op6_set_join,
+    "op7_tool_chat": op7_tool_chat,
+    "op8_seekable_warc": op8_seekable_warc,
     "op9_toxicity_pu": op9_toxicity_pu,
+    "op10_url_segments": op10_url_segments,
 }
 
 ORACLE = {
+    "op7_tool_chat": r"""
+WITH events AS (
+    SELECT conv_id, turn, role, text,
+           CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+           CASE role WHEN 'user' THEN 'turn:' || turn WHEN 'assistant' THEN 'turn:' || (turn - 1) END AS call_id
+    FROM conversations
+), calls AS (
+    SELECT conv_id, call_id, min(turn) AS call_turn FROM events WHERE kind = 'call' GROUP BY conv_id, call_id
+), answered AS (
+    SELECT DISTINCT conv_id, call_id FROM events WHERE kind = 'result'
+), linked AS (
+    SELECT e.*, c.call_turn,
+           CASE e.kind WHEN 'call' THEN a.call_id IS NOT NULL WHEN 'result' THEN c.call_id IS NOT NULL ELSE false END AS linked,
+           CASE WHEN e.kind = 'result' AND c.call_id IS NOT NULL THEN 1 ELSE 0 END AS level
+    FROM events e
+    LEFT JOIN calls c ON e.conv_id = c.conv_id AND e.call_id = c.call_id
+    LEFT JOIN answered a ON e.conv_id = a.conv_id AND e.call_id = a.call_id
+)
+SELECT conv_id, turn, kind, call_id, linked, level,
+       kind <> 'call' OR text IS NOT NULL AS valid,
+       CASE WHEN kind = 'call' AND text IS NULL THEN 'text is missing' ELSE '' END AS problems,
+       row_number() OVER (PARTITION BY conv_id ORDER BY
+           CASE WHEN kind = 'result' THEN coalesce(call_turn, turn) ELSE turn END, level, turn, kind, call_id) - 1 AS position,
+       CASE kind
+           WHEN 'call' THEN '{"arguments":{' || coalesce('"text":' || to_json(text)::VARCHAR, '') || '},"call_id":"' || call_id
+                            || '","kind":"call","name":"reply","role":"' || role || '","turn":' || turn || '}'
+           WHEN 'result' THEN '{"call_id":"' || call_id || '","content":' || coalesce(to_json(text)::VARCHAR, 'null')
+                            || ',"kind":"result","role":"' || role || '","turn":' || turn || '}'
+           ELSE '{"content":' || coalesce(to_json(text)::VARCHAR, 'null')
+                            || ',"kind":"message","role":"' || role || '","turn":' || turn || '}' END AS json
+FROM linked
+""",
+    "op8_seekable_warc": """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+    FROM pages
+), kept AS (
+    SELECT *, CASE WHEN payload_bytes >= 1000
+                   THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS keeper
+    FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM kept
+""",
     "op6_set_join": r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -227,6 +227,19 @@ def _by_shuffle(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def _index(benchmark: DataFrame, most_words: int) -> tuple[DataFrame, Index | None, list]:
+    """The items with text, and their index if it is small enough for every task."""
+    items = benchmark.select(F.col("item_id").cast("long"), "text").where("text is not null")
+    words = items.agg(F.sum(F.regexp_count("text", F.lit(r"[A-Za-z0-9\x80-\x{10FFFF}]+")))).first()[0]
+    if (words or 0) > most_words:
+        return items, None, []
+    rows = items.collect()
+    texts = pa.array([r["text"] for r in rows], pa.string())
+    hashes, first = tokens.word_hashes(texts, tokens.PUNCTUATION)
+    index = Index([hashes[first[i] : first[i + 1]] for i in range(len(rows))])
+    return items, index, [r["item_id"] for r in rows]
+
+
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, most_words: int = BROADCAST_WORDS) -> DataFrame:
     """One row per document and benchmark item that overlap, the best overlap of each.
 
@@ -241,23 +254,34 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, most_words: int = BROAD
     ``most_words`` words, counted first; beyond, both sides' seeds are joined by shuffle.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    items = benchmark.select(F.col("item_id").cast("long"), "text").where("text is not null")
-    words = items.agg(F.sum(F.regexp_count("text", F.lit(r"[A-Za-z0-9\x80-\x{10FFFF}]+")))).first()[0]
-    if (words or 0) > most_words:
+    items, index, ids = _index(benchmark, most_words)
+    if index is None:
         return _by_shuffle(docs, items)
-    rows = items.toPandas()
-    parts = pa.array(rows["text"].tolist(), pa.string())
-    hashes, first = tokens.word_hashes(parts, tokens.PUNCTUATION)
-    index = Index([hashes[first[i] : first[i + 1]] for i in range(len(parts))])
-    ids = [None if value != value else int(value) for value in rows["item_id"].tolist()]
     return docs.mapInArrow(_scan(index, ids), _HITS)
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id overlaps with a benchmark item.
+def _clean(index: Index):
+    """The rows whose text overlaps with no item."""
 
-    Rows without doc_id stay unless such a row overlaps.
-    """
-    hit = find_overlaps(docs, benchmark).select("doc_id").distinct()
-    found = hit.withColumnRenamed("doc_id", "_hit")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan = _scan(index, [0] * len(index.items))
+        for batch in batches:
+            rows = pa.array(range(batch.num_rows), pa.int64())
+            numbered = pa.RecordBatch.from_arrays([rows, batch.column("text")], names=["doc_id", "text"])
+            keep = np.ones(batch.num_rows, bool)
+            for found in scan([numbered]):
+                keep[found.column("doc_id").to_numpy()] = False
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, most_words: int = BROADCAST_WORDS) -> DataFrame:
+    """The rows of ``docs`` that overlap with no benchmark item, unchanged."""
+    items, index, _ = _index(benchmark, most_words)
+    if index is not None:
+        return docs.mapInArrow(_clean(index), docs.schema)
+    numbered = Store(docs.sparkSession).put("rows", docs.withColumn("_row", F.monotonically_increasing_id()))
+    hit = _by_shuffle(numbered.select(F.col("_row").alias("doc_id"), "text"), items)
+    hit = hit.select(F.col("doc_id").alias("_row")).distinct()
+    return numbered.join(hit, "_row", "left_anti").select(*docs.columns)
