@@ -51,7 +51,7 @@ def train(spark: SparkSession, root: str, day: str) -> None:
     features.class_balance(rows).show()
     rows = scratch.materialise(rows)
     training, held_out = model.split(rows)
-    best = model.cross_validate(training).bestModel
+    best = model.cross_validate(training).best_model
     model.save_model(best, f"{root}/model")
     scored = best.transform(held_out)
     model.metrics(scored).show(truncate=False)

@@ -108,6 +108,11 @@ def _messy() -> str:
             "CASE WHEN l_partkey % 29 = 0 THEN '1,000' ELSE {} END"
         ),
         "cancelled_amount": "CASE WHEN cancelled_amount > 0 THEN {} END",
+        "undisbursed_amount": "CASE WHEN l_partkey % 41 = 0 THEN 'NaN' ELSE {} END",
+        "disbursed_amount": "CASE WHEN l_partkey % 43 = 0 THEN 'Infinity' ELSE {} END",
+        "repaid_to_ibrd": "CASE WHEN l_partkey % 47 = 0 THEN '1e20' ELSE {} END",
+        "sold_3rd_party": "CASE WHEN l_partkey % 53 = 0 THEN '12d' ELSE {} END",
+        "service_charge_rate": "CASE WHEN l_partkey % 37 = 0 THEN '123456.5' ELSE {} END",
         "closed_date_most_recent": (
             "CASE WHEN l_partkey % 13 = 0 THEN 'not a date' ELSE {} END"
         ),
@@ -136,11 +141,21 @@ def _read_date(column: str) -> str:
     )
 
 
+def _read_number(column: str) -> str:
+    """A plain decimal that the column's declared type can hold."""
+    kind = "decimal(8,4)" if column in RATES else "decimal(18,2)"
+    return (
+        f"CASE WHEN regexp_full_match({column}, '[+-]?[0-9]+(\\.[0-9]+)?([eE][0-9]+)?') "
+        f"AND try_cast(try_cast({column} AS double) AS {kind}) IS NOT NULL "
+        f"THEN try_cast({column} AS double) END"
+    )
+
+
 def _typed() -> str:
     columns = []
     for c in contract.COLUMNS:
         if c in contract.NUMERIC:
-            columns.append(f"try_cast({c} AS double) AS {c}")
+            columns.append(f"{_read_number(c)} AS {c}")
         elif c in DATES:
             columns.append(f"{_read_date(c)} AS {c}")
         else:
@@ -374,7 +389,7 @@ def _null_percentages() -> str:
 def _cast_failures() -> str:
     rows = []
     for c in contract.NUMERIC + DATES:
-        typed = f"try_cast({c} AS double)" if c in contract.NUMERIC else _read_date(c)
+        typed = _read_number(c) if c in contract.NUMERIC else _read_date(c)
         rows.append(
             f"SELECT '{c}' AS column_name, "
             f"count(*) FILTER (WHERE {c} IS NOT NULL AND ({typed}) IS NULL) "
@@ -542,7 +557,6 @@ def _visuals() -> dict[str, str]:
 
 def _oracle() -> dict[str, str]:
     columns = contract.COLUMNS
-    three = ["interest_rate", "original_principal_amount", "cancelled_amount"]
     share = _ratio("cancelled_amount", "original_principal_amount")
     sparse = ["region", "guarantor", "cancelled_amount", "last_disbursement_date"]
     good = "l_partkey % 97 <> 0"
@@ -586,9 +600,9 @@ def _oracle() -> dict[str, str]:
         "numbers_from_text": sql(
             ["typed"],
             "SELECT l_linenumber, "
-            + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}_missing" for c in three)
+            + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}_missing" for c in contract.NUMERIC)
             + ", "
-            + ", ".join(_sum(f"cast({c} AS decimal(18,4))", f"{c}_sum") for c in three)
+            + ", ".join(_sum(f"cast({c} AS decimal(18,4))", f"{c}_sum") for c in contract.NUMERIC)
             + " FROM typed GROUP BY l_linenumber",
         ),
         "dates_from_text": sql(
@@ -629,7 +643,11 @@ def _oracle() -> dict[str, str]:
                 for c in contract.NUMERIC
             )
             + ", cast(sum(CASE WHEN l_suppkey % 17 = 0 THEN 1 ELSE 0 END "
-            "+ CASE WHEN l_partkey % 29 = 0 THEN 1 ELSE 0 END) AS bigint) AS cast_failures "
+            + "".join(
+                f"+ CASE WHEN l_partkey % {n} = 0 THEN 1 ELSE 0 END "
+                for n in (29, 37, 41, 43, 47, 53)
+            )
+            + ") AS bigint) AS cast_failures "
             "FROM messy GROUP BY loan_type",
         ),
         "bronze_row_counts": sql(

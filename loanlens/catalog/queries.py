@@ -142,7 +142,7 @@ def duplicate_commitments(spark: SparkSession, sf: str) -> DataFrame:
 def numbers_from_text(spark: SparkSession, sf: str) -> DataFrame:
     """Unreadable and missing numbers per column and the sum of the others."""
     typed = cleanse.cast_numbers(tables.messy_rows(spark, sf))
-    columns = ["interest_rate", "original_principal_amount", "cancelled_amount"]
+    columns = contract.NUMERIC
     exact = {c: F.col(c).cast("decimal(18,4)") for c in columns}
     return typed.groupBy("l_linenumber").agg(
         *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"{c}_missing") for c in columns],
@@ -731,10 +731,6 @@ def model_importances(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def model_tuning(spark: SparkSession, sf: str) -> DataFrame:
-    """Cross-validated scores on all training loans, for the shallow half of the grid.
-
-    The full grid is the default of ``cross_validate``; its deep forests take minutes.
-    """
+    """Cross-validated scores on all training loans, for the whole grid."""
     train, _ = model.split(tables.feature_rows(spark, sf))
-    tuned = model.cross_validate(train, trees=model.GRID_TREES[:2], depths=model.GRID_DEPTHS[:2])
-    return model.grid_scores(spark, tuned)
+    return model.grid_scores(spark, model.cross_validate(train))

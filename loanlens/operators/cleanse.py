@@ -49,8 +49,19 @@ def standardize_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def number_from_text(column: str) -> Column:
-    return F.col(column).try_cast("double")
+    """Number of a plain decimal text that fits the column's declared type, else NULL.
+
+    Words a cast would take for numbers (NaN, Infinity, a trailing d) are not, and a
+    value Gold could not hold is lost here, where it is counted, not there.
+    """
+    text = F.col(column)
+    number = F.when(text.rlike(_NUMBER), text).try_cast("double")
+    kind = contract.RATE_TYPE if column in contract.RATES else contract.MONEY_TYPE
+    return F.when(number.try_cast(kind).isNotNull(), number)
 
 
 def date_from_text(column: str) -> Column:

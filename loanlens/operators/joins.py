@@ -18,7 +18,6 @@ BROADCAST_BYTES = 52_428_800
 # A key is hot when it holds more than 1/HOT_SHARE of the rows, so there are at
 # most HOT_SHARE of them and their lookup rows always fit a broadcast.
 HOT_SHARE = 1000
-_SALTS = 64
 
 
 def stored_bytes(df: DataFrame) -> int:
@@ -50,10 +49,9 @@ def lookup(
     """Left equi join of a lookup table with one row per key.
 
     ``dim`` should be stored, since its size is measured first.  A small one is
-    broadcast.  A large one is joined by shuffle with the hot keys taken out: their
-    few lookup rows are broadcast, and their rows get a salt that spreads them over
-    the shuffle, where they need no partner.  Keys are counted in ``stored``, the
-    table ``df`` was made from, if given.
+    broadcast.  A large one is joined by shuffle without the rows of hot keys: their
+    few lookup rows are broadcast, so those rows never cross the shuffle.  Keys are
+    counted in ``stored``, the table ``df`` was made from, if given.
     """
     if stored_bytes(dim) <= broadcast_bytes:
         return df.join(F.broadcast(dim), list(on), "left")
@@ -68,12 +66,12 @@ def lookup(
     )
     same_key = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in on])
     marked = df.join(F.broadcast(hot_dim), same_key, "left")
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS)).cast("int") + 1
-    salt = F.when(F.col("_is_hot"), spread).otherwise(F.lit(0))
-    cold = dim.withColumn("_salt", F.lit(0))
-    joined = marked.withColumn("_salt", salt).join(cold, [*on, "_salt"], "left")
-    found = [F.coalesce(f"_hot_{c}", c).alias(c) for c in values]
-    return joined.select(*df.columns, *found)
+    hot_rows = marked.where("_is_hot").select(
+        *df.columns, *[F.col(f"_hot_{c}").alias(c) for c in values]
+    )
+    cold_rows = marked.where("_is_hot IS NULL").select(*df.columns)
+    cold = cold_rows.join(dim, list(on), "left").select(*df.columns, *values)
+    return hot_rows.unionByName(cold)
 
 
 # How the fact reaches each dimension.

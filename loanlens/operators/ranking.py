@@ -20,10 +20,16 @@ def top_n(df: DataFrame, n: int, by: str, tie_break: Sequence[str]) -> DataFrame
 def top_n_with_ties(df: DataFrame, n: int, by: str) -> DataFrame:
     """Rows ranked ``n`` or better, with a ``rank`` column; ties are all kept.
 
-    Spark drops rows beyond the rank in each partition before it brings them together.
+    Only the ``n`` largest values meet in one task.  They give the rank of each value
+    among them; the rows that have such a value are then found where they are, so ties
+    are never gathered.  Missing values rank last, equal among themselves.
     """
-    rank = F.rank().over(Window.orderBy(F.col(by).desc_nulls_last()))
-    return df.withColumn("rank", rank).where(F.col("rank") <= n)
+    order = F.col("_by").desc_nulls_last()
+    best = df.select(F.col(by).alias("_by")).orderBy(order).limit(n)
+    ranks = best.withColumn("rank", F.rank().over(Window.orderBy(order))).distinct()
+    return df.join(F.broadcast(ranks), F.col(by).eqNullSafe(F.col("_by"))).select(
+        *df.columns, "rank"
+    )
 
 
 def joined_names(name: str, by: str) -> Column:

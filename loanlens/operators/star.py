@@ -42,22 +42,6 @@ def build_dimension(silver: DataFrame, table: str) -> DataFrame:
     return keyed.select(*contract.names(table))
 
 
-def build_dim_country(silver: DataFrame) -> DataFrame:
-    return build_dimension(silver, "dim_country")
-
-
-def build_dim_project(silver: DataFrame) -> DataFrame:
-    return build_dimension(silver, "dim_project")
-
-
-def build_dim_loan_type(silver: DataFrame) -> DataFrame:
-    return build_dimension(silver, "dim_loan_type")
-
-
-def build_dim_borrower(silver: DataFrame) -> DataFrame:
-    return build_dimension(silver, "dim_borrower")
-
-
 def build_fact(
     silver: DataFrame,
     dims: Mapping[str, DataFrame],
@@ -65,17 +49,35 @@ def build_fact(
 ) -> DataFrame:
     """Loan fact with four foreign keys; ``dims`` must be stored tables.
 
-    Every declared column is present: one that Silver lacks is a typed NULL.
+    Every declared column is present: one that Silver lacks is a typed NULL, and a
+    value outside its declared type is one too (``fact_cast_losses`` counts those).
+    Loans are keyed first, from their numbers alone, so no lookup runs twice.
     """
-    fact = silver
+    fact = attach_dense_key(silver, "loan_number", "loan_fact_key")
     for table in DIMENSIONS:
         key, natural = contract.KEYS[table]
         dim = dims[table].select(key, *natural)
         fact = fill_natural_key(fact, table)
         fact = lookup(fact, dim, natural, broadcast_bytes, fill_natural_key(silver, table))
-    fields = contract.WAREHOUSE["fact_loans"][1:]
-    typed = [
-        (F.col(f.name) if f.name in fact.columns else F.lit(None)).cast(f.type).alias(f.name)
-        for f in fields
+    return fact.select(
+        *[
+            (F.col(f.name) if f.name in fact.columns else F.lit(None))
+            .try_cast(f.type)
+            .alias(f.name)
+            for f in contract.WAREHOUSE["fact_loans"]
+        ]
+    )
+
+
+def fact_cast_losses(silver: DataFrame) -> DataFrame:
+    """One row per typed fact column: values that do not fit the declared type."""
+    typed = {
+        f.name: f.type
+        for f in contract.WAREHOUSE["fact_loans"]
+        if f.type != "string" and f.name in silver.columns
+    }
+    lost = [
+        F.count(F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), 1)).alias(c)
+        for c, t in typed.items()
     ]
-    return attach_dense_key(fact.select(*typed), "loan_number", "loan_fact_key")
+    return silver.agg(*lost).unpivot([], list(typed), "column_name", "cast_losses")

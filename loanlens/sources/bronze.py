@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 
 from loanlens import contract
 
-# Fixed value: most records a landing run of the original service takes.
-LANDING_CAP = 1_000_000
-
-
 def file_header(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Column names of raw files; reads the first line of one of them."""
     return spark.read.option("header", True).csv(path).columns
@@ -42,11 +38,6 @@ def read_bronze(
     )
 
 
-def with_source_file(df: DataFrame) -> DataFrame:
-    """Adds the file each row was read from."""
-    return df.withColumn("_source_file", F.col("_metadata.file_path"))
-
-
 def is_malformed(df: DataFrame) -> Column:
     """Whether the line of a row did not fit the header.
 
@@ -73,18 +64,12 @@ def write_quarantine(bad: DataFrame, bronze_dir: str, day: str) -> str:
     return target
 
 
-def land_pages(
-    spark: SparkSession, paths: str | list[str], max_records: int | None = None
-) -> DataFrame:
+def land_pages(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """JSON pages with differing fields as one wide text table.
 
-    The columns are the union of all fields; a field a record lacks is an empty
-    text.  ``max_records`` is the safety cap of the landing step, off by default.
+    The columns are the union of all fields; a field a record lacks is an empty text.
     """
-    records = spark.read.option("primitivesAsString", True).json(paths)
-    if max_records is not None:
-        records = records.limit(max_records)
-    return records.fillna("")
+    return spark.read.option("primitivesAsString", True).json(paths).fillna("")
 
 
 def write_landed(landed: DataFrame, path: str) -> None:

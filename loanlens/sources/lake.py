@@ -8,10 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loanlens import contract
 
-# Fixed value: tables below this many rows are stored as one file.
-SMALL_TABLE_ROWS = 100_000
-
-
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """Explicit schema, so a partition value like ``01`` stays a text."""
     return spark.read.schema(contract.silver_schema()).parquet(path)
@@ -34,24 +30,26 @@ def write_silver(df: DataFrame, path: str) -> None:
 def cluster(df: DataFrame, table: str) -> DataFrame:
     """Sorts a table the way it is filtered, so file statistics skip most of it.
 
-    The whole sort key decides the range, so one large country is still cut by date.
+    The surrogate key ends the range key: rows of one country and date, or without a
+    date, are still cut into even pieces.  How many is left to the adaptive execution.
     """
     columns = contract.CLUSTERING.get(table)
     if not columns:
         return df
-    return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    order = [c for c in (*columns, contract.KEYS[table][0]) if c in df.columns]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def write_gold(df: DataFrame, gold_dir: str, table: str, rows: int | None = None) -> int:
-    """Overwrites one Gold table and returns its row count.
+    """Stores one Gold table in its declared order and returns its row count.
 
-    Without a known ``rows`` the table is counted, so pass it or a stored ``df``.
+    Rows that are not known beforehand are counted in the written files' footers.
     """
-    rows = df.count() if rows is None else rows
-    placed = df.coalesce(1) if rows < SMALL_TABLE_ROWS else cluster(df, table)
-    writer = placed.write.mode("overwrite").option("compression", "snappy")
-    writer.parquet(f"{gold_dir}/{table}")
-    return rows
+    target = f"{gold_dir}/{table}"
+    cluster(df, table).write.parquet(target, mode="overwrite", compression="snappy")
+    if rows is not None:
+        return rows
+    return df.sparkSession.read.schema(df.schema).parquet(target).count()
 
 
 def read_gold(spark: SparkSession, gold_dir: str, table: str) -> DataFrame:

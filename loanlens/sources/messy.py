@@ -38,6 +38,16 @@ def messy_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     text["original_principal_amount"] = F.when(part % 29 == 0, "1,000").otherwise(
         text["original_principal_amount"]
     )
+    # Texts that a plain cast takes for numbers, or that no declared type can hold.
+    odd = {
+        "undisbursed_amount": (41, "NaN"),
+        "disbursed_amount": (43, "Infinity"),
+        "repaid_to_ibrd": (47, "1e20"),
+        "sold_3rd_party": (53, "12d"),
+        "service_charge_rate": (37, "123456.5"),
+    }
+    for column, (every, junk) in odd.items():
+        text[column] = F.when(part % every == 0, junk).otherwise(text[column])
     text["cancelled_amount"] = F.when(
         F.col("cancelled_amount") > 0, text["cancelled_amount"]
     )

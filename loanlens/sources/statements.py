@@ -17,15 +17,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spreads a scan of fewer pieces than there are cores over all of them.
-
-    Large inputs already have more pieces than cores and pass unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def _money(value: Column) -> Column:
     return value.cast(contract.MONEY_TYPE)
 
@@ -70,7 +61,7 @@ def statements(
         F.col("n_nationkey").alias("g_nationkey"), F.col("n_name").alias("g_name")
     )
     joined = (
-        spread(_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+        _table(spark, sf_dir, "lineitem")
         .join(
             _table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
         )

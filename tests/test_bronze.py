@@ -74,12 +74,6 @@ def test_copy_csv(spark, tmp_path):
     assert all(f.read_text().startswith('"End of Period"') for f in files)
 
 
-def test_source_file(spark, tmp_path):
-    write_csv(tmp_path / "a.csv", [bronze_line()])
-    df = bronze.with_source_file(bronze.read_bronze(spark, str(tmp_path)))
-    assert df.first()["_source_file"].endswith("a.csv")
-
-
 def test_columns_go_by_name(spark, tmp_path):
     header = [contract.BRONZE_HEADER[1], contract.BRONZE_HEADER[0], *contract.BRONZE_HEADER[2:], "New"]
     values = [*bronze_line().split(","), "n"]

@@ -111,9 +111,3 @@ def test_quality_tables(spark):
     assert quality.validate_landing(df, 3).first().passed
     long = quality.length_violations(df, {"country": 4}).first()
     assert (long.violations, long.longest) == (3, 5)
-
-
-def test_step_counter(spark):
-    df, counter = quality.step_counter("rows seen", spark.range(7))
-    df.write.format("noop").mode("overwrite").save()
-    assert counter.get["rows"] == 7

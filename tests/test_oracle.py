@@ -11,7 +11,6 @@ from loanlens.sources.statements import latest_statements, statements
 from loanlens.streaming.alerts import high_risk
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"model_tuning"}
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +32,7 @@ def test_query_equals_sql(spark, connection, name):
     assert difference(result, connection, entry.oracle_sql()[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
 def test_other_queries_give_rows(spark, name):
     assert entry.queries()[name](spark, SF).count() > 0
 

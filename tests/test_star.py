@@ -93,15 +93,46 @@ def test_unmatched_key_is_an_empty_group(spark):
     assert {(r.region, r.v) for r in joined.collect()} == {("A", 5), (None, 7)}
 
 
-def test_small_table_is_one_file_and_large_one_is_clustered(spark, tmp_path):
+def test_stored_tables_keep_their_declared_order(spark, tmp_path):
     fact = spark.range(1000).select(
         (F.col("id") % 7).alias("country_key"), F.lit(None).cast("date").alias("board_approval_date")
     )
-    lake.write_gold(fact.repartition(5), str(tmp_path), "small")
-    assert len(list((tmp_path / "small").glob("*.parquet"))) == 1
-    placed = lake.cluster(fact.repartition(5), "fact_loans")
-    ordered = [r.country_key for r in placed.collect()]
+    ordered = [r.country_key for r in lake.cluster(fact.repartition(5), "fact_loans").collect()]
     assert ordered == sorted(ordered)
+    rows = [(i, f"C{i}", f"Land {i}", f"R{9 - i}", None, None) for i in range(9)]
+    schema = contract.table_schema("dim_country")
+    assert lake.write_gold(spark.createDataFrame(rows, schema), str(tmp_path), "dim_country") == 9
+    regions = [r.region for r in lake.read_gold(spark, str(tmp_path), "dim_country").collect()]
+    assert regions == [f"R{i}" for i in range(1, 10)]
+
+
+def test_one_country_without_dates_is_cut_into_even_pieces(spark):
+    rows = spark.range(40_000).select(
+        F.col("id").alias("loan_fact_key"),
+        F.when(F.col("id") % 4 > 0, 1).otherwise(F.col("id") % 50).cast("long").alias("country_key"),
+        F.lit(None).cast("date").alias("board_approval_date"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = lake.cluster(rows, "fact_loans")
+        sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 1 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+def test_values_outside_the_declared_types_are_counted_not_fatal(spark):
+    silver = silver_rows(spark, {"loan_number": "A"}, {"loan_number": "B"}).withColumns(
+        {
+            "cancelled_amount": F.when(F.col("loan_number") == "A", 1e20).otherwise(5.0),
+            "interest_rate": F.when(F.col("loan_number") == "B", 123456.0).otherwise(1.0),
+        }
+    )
+    dims = {t: star.build_dimension(silver, t) for t in star.DIMENSIONS}
+    fact = {r.loan_number: r for r in star.build_fact(silver, dims).collect()}
+    assert fact["A"].cancelled_amount is None and float(fact["B"].cancelled_amount) == 5.0
+    lost = {r.column_name: r.cast_losses for r in star.fact_cast_losses(silver).collect()}
+    assert {c: n for c, n in lost.items() if n} == {"cancelled_amount": 1, "interest_rate": 1}
 
 
 def test_hot_country_is_split_over_files_and_small_ones_are_not(spark, tmp_path):
