@@ -120,6 +120,7 @@ def _messy() -> str:
             "CASE WHEN l_partkey % 19 = 0 THEN '1/5/2024' ELSE {} END"
         ),
         "last_disbursement_date": "CASE WHEN l_suppkey % 11 <> 0 THEN {} END",
+        "loan_number": "CASE WHEN l_partkey % 59 <> 0 THEN {} END",
         "region": "CASE WHEN l_partkey % 31 <> 0 THEN {} END",
         "guarantor": "CASE WHEN l_suppkey % 23 <> 0 THEN {} END",
     }
@@ -560,6 +561,7 @@ def _oracle() -> dict[str, str]:
     share = _ratio("cancelled_amount", "original_principal_amount")
     sparse = ["region", "guarantor", "cancelled_amount", "last_disbursement_date"]
     good = "l_partkey % 97 <> 0"
+    keyed = f"{good} AND loan_number IS NOT NULL"
     fact_names = contract.names("fact_loans")
 
     def empties(alias: str) -> str:
@@ -657,15 +659,40 @@ def _oracle() -> dict[str, str]:
         ),
         "silver_from_raw_files": sql(
             ["filled"],
-            f"SELECT {_plain_list(columns)} FROM (SELECT * FROM filled WHERE {good} "
+            f"SELECT {_plain_list(columns)} FROM (SELECT * FROM filled WHERE {keyed} "
             "QUALIFY row_number() OVER (PARTITION BY loan_number "
             f"ORDER BY {_default_order()}) = 1)",
         ),
+        "loaded_after_rebuild": sql(
+            ["latest"],
+            "SELECT loan_number, cast(cancelled_amount + CASE WHEN l_orderkey % 5 = 0 THEN 1 "
+            "ELSE 0 END AS double) AS cancelled_amount FROM latest WHERE l_orderkey % 7 <> 0 "
+            "UNION ALL SELECT concat('N', loan_number), cast(cancelled_amount AS double) "
+            "FROM latest WHERE l_orderkey % 11 = 0",
+        ),
+        "loaded_with_bad_file": sql(
+            ["latest"],
+            "SELECT status, cast(count(*) AS bigint) AS rows FROM (SELECT DISTINCT project_id, "
+            "dense_rank() OVER (ORDER BY project_id) - 1 AS k FROM latest) "
+            "JOIN (VALUES ('visible', 0), ('LOADED', 0), ('SKIPPED', 1)) s(status, odd) "
+            "ON k % 2 = odd GROUP BY status",
+        ),
+        "fact_from_raw_files": sql(
+            ["filled"],
+            "SELECT loan_number, "
+            + ", ".join(
+                f"cast(cast({c} AS decimal({'8,4' if c in RATES else '18,2'})) AS double) AS {c}"
+                for c in contract.NUMERIC
+            )
+            + ", " + _plain_list(DATES)
+            + f" FROM (SELECT * FROM filled WHERE {keyed} QUALIFY row_number() OVER "
+            f"(PARTITION BY loan_number ORDER BY {_default_order()}) = 1)",
+        ),
         "silver_of_one_country": sql(
             ["filled"],
             "SELECT country_code, loan_status, count(*) AS loans, "
             + _sum("cast(disbursed_amount AS decimal(18,2))", "disbursed_amount")
-            + f" FROM (SELECT * FROM filled WHERE {good} QUALIFY row_number() OVER "
+            + f" FROM (SELECT * FROM filled WHERE {keyed} QUALIFY row_number() OVER "
             f"(PARTITION BY loan_number ORDER BY {_default_order()}) = 1) "
             "WHERE country_code = 'C07' GROUP BY country_code, loan_status",
         ),
@@ -677,6 +704,7 @@ def _oracle() -> dict[str, str]:
         "raw_step_counts": sql(
             ["filled"],
             f"""SELECT count(*) AS loaded, count(*) FILTER (WHERE NOT {good}) AS corrupt,
+            count(*) FILTER (WHERE {good} AND loan_number IS NULL) AS without_key,
             count(DISTINCT loan_number) FILTER (WHERE {good}) AS written,
             (SELECT cast(coalesce(sum(n - 1), 0) AS bigint) FROM (SELECT count(*) AS n
              FROM filled WHERE {good} GROUP BY {', '.join(columns)})) AS exact_duplicates

@@ -23,7 +23,7 @@ from loanlens.functions.scalars import (
     year_boundaries,
 )
 from loanlens.operators import cleanse, dedup, joins, keys, quality, ranking, star
-from loanlens.plans import dashboards, features, kpis, model, questions
+from loanlens.plans import dashboards, features, kpis, medallion, model, questions
 from loanlens.sources import bronze, lake
 from loanlens.sources.statements import latest_statements, statements
 from loanlens.streaming import alerts, loader
@@ -227,6 +227,18 @@ def silver_from_raw_files(spark: SparkSession, sf: str) -> DataFrame:
     return tables.bronze_silver(spark, sf).select(*contract.COLUMNS)
 
 
+@query
+def fact_from_raw_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Typed values of the fact built from the cleansed raw files."""
+
+    def build(folder: str) -> None:
+        medallion.store_star(spark, tables.bronze_silver(spark, sf), folder)
+
+    gold = tables.stored(spark, sf, "raw-gold", build)
+    fact = lake.read_gold(spark, gold, "fact_loans")
+    return fact.select("loan_number", *contract.NUMERIC, *contract.DATES)
+
+
 @query
 def silver_of_one_country(spark: SparkSession, sf: str) -> DataFrame:
     """Reads one country's partition of Silver only."""
@@ -665,6 +677,24 @@ def loaded_tables(spark: SparkSession, sf: str) -> DataFrame:
     return result
 
 
+@query
+def loaded_after_rebuild(spark: SparkSession, sf: str) -> DataFrame:
+    """The warehouse fact after a delivery that changed, removed and added loans."""
+    folder = tables.rebuilt_warehouse_dir(spark, sf)
+    rows = loader.current_rows(spark, folder, "fact_loans")
+    return rows.select("loan_number", "cancelled_amount")
+
+
+@query
+def loaded_with_bad_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of a delivery by status: one with a lost value contributes nothing."""
+    folder = tables.bad_file_warehouse_dir(spark, sf)
+    rows = loader.current_rows(spark, folder, "dim_project")
+    loaded = rows.agg(F.lit("visible").alias("status"), F.count(F.lit(1)).alias("rows"))
+    history = loader.load_history(spark, folder, "dim_project")
+    return loaded.unionByName(history.groupBy("status").agg(F.sum("rows").alias("rows")))
+
+
 @query
 def load_history(spark: SparkSession, sf: str) -> DataFrame:
     """Rows and lost values per batch of the fact, each delivered twice."""

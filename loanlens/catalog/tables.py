@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loanlens import contract
 from loanlens.operators.star import DIMENSIONS
@@ -114,6 +115,48 @@ def warehouse_dir(spark: SparkSession, sf_dir: str) -> str:
     return stored(spark, sf_dir, "warehouse", build)
 
 
+def rebuilt_warehouse_dir(spark: SparkSession, sf_dir: str) -> str:
+    """A fact delivered twice as a whole, compacted in between; the second differs."""
+    gold = gold_dir(spark, sf_dir)
+
+    def build(folder: str) -> None:
+        delivery = f"{folder}/delivery/fact_loans"
+        fact = lake.read_gold(spark, gold, "fact_loans")
+        fact.write.parquet(delivery)
+        loader.load_new_files(spark, delivery, folder, "fact_loans")
+        loader.compact(spark, folder, "fact_loans")
+        order = F.substring("loan_number", 2, 20).cast("long")
+        kept = fact.where(order % 7 != 0).withColumn(
+            "cancelled_amount",
+            (F.col("cancelled_amount") + F.when(order % 5 == 0, 1).otherwise(0)).cast("decimal(18,2)"),
+        )
+        new = fact.where(order % 11 == 0).withColumn(
+            "loan_number", F.concat(F.lit("N"), "loan_number")
+        )
+        kept.unionByName(new).write.mode("overwrite").parquet(delivery)
+        loader.load_new_files(spark, delivery, folder, "fact_loans")
+
+    return stored(spark, sf_dir, "rebuilt", build)
+
+
+def bad_file_warehouse_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Projects delivered in two files, one with a key that is no number."""
+    gold = gold_dir(spark, sf_dir)
+
+    def build(folder: str) -> None:
+        delivery = f"{folder}/delivery/dim_project"
+        projects = lake.read_gold(spark, gold, "dim_project")
+        text = projects.withColumn("project_key", F.col("project_key").cast("string"))
+        odd = F.col("project_key").cast("long") % 2 == 1
+        bad = F.when(F.col("project_key") == "1", "one").otherwise(F.col("project_key"))
+        text.where(~odd).coalesce(1).write.parquet(delivery)
+        spoilt = text.where(odd).withColumn("project_key", bad)
+        spoilt.coalesce(1).write.mode("append").parquet(delivery)
+        loader.load_new_files(spark, delivery, folder, "dim_project", text.schema)
+
+    return stored(spark, sf_dir, "bad-file", build)
+
+
 def streamed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts of the file stream over all statements."""
 

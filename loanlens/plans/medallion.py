@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from loanlens import contract
 from loanlens.operators import star as star_ops
 from loanlens.operators.cleanse import cleanse
-from loanlens.scratch import new_folder
+from loanlens.scratch import temporary
 from loanlens.sources import bronze, lake
 from loanlens.streaming.loader import load_star
 
-_MALFORMED = "_malformed"
+_FATE = "_fate"
+_QUARANTINE = {"corrupt": "bad_records", "without_key": "rows_without_key"}
 
 
 class StepCounts(NamedTuple):
@@ -28,31 +29,40 @@ class StepCounts(NamedTuple):
 
     loaded: int
     corrupt: int
+    without_key: int
     written: int
 
 
 def bronze_to_silver(
     spark: SparkSession, bronze_path: str, silver_path: str, day: str
 ) -> StepCounts:
-    """Cleanses raw files into Silver and stores malformed lines apart.
+    """Cleanses raw files into Silver and stores unusable lines apart.
 
-    The text is parsed once, into a stored table split by whether a line fits the
-    header.  Silver and quarantine read their part of it, and all counts come from
-    file footers, so they are exact even if a stage had to be repeated.
+    Unusable are lines that do not fit the header, and rows without a loan number:
+    these have no identity, and the latest snapshot would make one loan of them all.
+    The text is parsed once, into a stored table split by what becomes of a line, which
+    is removed at the end.  All counts come from file footers, so they are exact even
+    if a stage had to be repeated.
     """
     raw = bronze.read_bronze(spark, bronze_path)
-    staged = new_folder(spark, "raw")
-    flagged = raw.withColumn(_MALFORMED, bronze.is_malformed(raw))
-    flagged.write.partitionBy(_MALFORMED).parquet(staged)
-
-    rows = spark.read.schema(flagged.schema).parquet(staged)
-    good = rows.where(~F.col(_MALFORMED)).drop(_MALFORMED, contract.CORRUPT)
-    bad = rows.where(_MALFORMED).drop(_MALFORMED)
-    lake.write_silver(cleanse(good), silver_path)
-    loaded, corrupt = rows.count(), bad.count()
-    if corrupt:
-        bronze.write_quarantine(bad, bronze_path, day)
-    return StepCounts(loaded, corrupt, lake.read_silver(spark, silver_path).count())
+    fate = (
+        F.when(bronze.is_malformed(raw), "corrupt")
+        .when(bronze.lacks_key(raw), "without_key")
+        .otherwise("good")
+    )
+    flagged = raw.withColumn(_FATE, fate)
+    with temporary(spark, "raw") as staged:
+        flagged.write.partitionBy(_FATE).parquet(staged)
+        rows = spark.read.schema(flagged.schema).parquet(staged)
+        part = lambda name: rows.where(F.col(_FATE) == name).drop(_FATE)
+        lake.write_silver(cleanse(part("good").drop(contract.CORRUPT)), silver_path)
+        lost = {}
+        for name, folder in _QUARANTINE.items():
+            lost[name] = part(name).count()
+            if lost[name]:
+                bronze.write_quarantine(part(name), bronze_path, day, folder)
+        written = lake.read_silver(spark, silver_path).count()
+        return StepCounts(rows.count(), lost["corrupt"], lost["without_key"], written)
 
 
 def store_star(
@@ -64,9 +74,10 @@ def store_star(
     A Silver frame that is not backed by files is stored once before its five uses.
     """
     if not silver_is_stored:
-        path = new_folder(spark, "silver")
-        silver.write.parquet(path)
-        silver = spark.read.schema(silver.schema).parquet(path)
+        with temporary(spark, "silver") as path:
+            silver.write.parquet(path)
+            stored = spark.read.schema(silver.schema).parquet(path)
+            return store_star(spark, stored, gold_dir)
 
     def store_dimension(table: str) -> int:
         return lake.write_gold(star_ops.build_dimension(silver, table), gold_dir, table)

@@ -1,14 +1,20 @@
 """Where intermediate tables live.
 
 Lineage is cut only through storage every executor can reach: the folder the
-cluster names in ``spark.checkpoint.dir``.  A local folder is made only for a local
-session that names none, as in tests.
+cluster names in ``spark.checkpoint.dir``.  A session without one gets a folder of its
+own, removed at the end, but only if its executors are threads of the driver.
 """
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,9 +24,10 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[0-9*, ]+\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="loanlens-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
@@ -32,6 +39,29 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder of whatever file system Spark keeps it in."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def complete_folders(spark: SparkSession, path: str) -> list[PurePosixPath]:
+    """Success marks of the folders below a folder, none if it does not exist."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return [PurePosixPath(status.getPath().toUri().getPath()) for status in found or ()]
+
+
+@contextmanager
+def temporary(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder that is removed at the end, whether or not the work succeeded."""
+    path = new_folder(spark, name)
+    try:
+        yield path
+    finally:
+        remove(spark, path)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Computes ``df`` once into reliable storage and reads it from there."""
     shared_folder(df.sparkSession)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens import contract
+from loanlens.operators.cleanse import standard_name
 
 def file_header(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Column names of raw files; reads the first line of one of them."""
@@ -54,12 +55,22 @@ def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(~malformed).drop(contract.CORRUPT), df.where(malformed)
 
 
-def write_quarantine(bad: DataFrame, bronze_dir: str, day: str) -> str:
-    """Stores malformed rows below the raw folder, the line as received in the last column.
+def lacks_key(df: DataFrame) -> Column:
+    """Whether a row has no loan number, or a blank one; true if no column holds it."""
+    names = [c for c in df.columns if standard_name(c) == "loan_number"]
+    if not names:
+        return F.lit(True)
+    return F.trim(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) == ""
+
+
+def write_quarantine(
+    bad: DataFrame, bronze_dir: str, day: str, kind: str = "bad_records"
+) -> str:
+    """Stores unusable rows below the raw folder, the line as received in the last column.
 
     The folder starts with an underscore, so readers of the raw folder skip it.
     """
-    target = f"{bronze_dir}/_quarantine/bad_records_{day}"
+    target = f"{bronze_dir}/_quarantine/{kind}_{day}"
     bad.write.mode("overwrite").option("header", True).csv(target)
     return target
 

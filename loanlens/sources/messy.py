@@ -60,6 +60,7 @@ def messy_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     text["last_disbursement_date"] = F.when(
         supplier % 11 != 0, text["last_disbursement_date"]
     )
+    text["loan_number"] = F.when(part % 59 != 0, F.col("loan_number"))
     text["region"] = F.when(part % 31 != 0, F.col("region"))
     text["guarantor"] = F.when(supplier % 23 != 0, F.col("guarantor"))
     return rows.select(

@@ -3,11 +3,14 @@
 The stream carries file names, not rows: each batch is a bounded list of files the
 checkpoint has not seen.  Its rows go to a folder of their own, replaced if the batch
 is repeated, so loading costs what the new files cost and never rewrites a table.
-Readers see the newest row of each business key.  Source files are left in place.
+Readers see the newest row of each business key among the files of the last delivery.
+Compaction replaces the batches so far by what readers see.  Source files are left in
+place.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
@@ -20,6 +23,7 @@ from loanlens import contract
 from loanlens.operators.cleanse import trim_text, warehouse_types
 from loanlens.operators.dedup import latest_per_key
 from loanlens.operators.ranking import top_n
+from loanlens.scratch import complete_folders, remove
 
 LOADED, SKIPPED = "LOADED", "SKIPPED"
 
@@ -46,6 +50,21 @@ def _history_dir(warehouse: str, table: str) -> str:
     return f"{warehouse}/{table}/history"
 
 
+def _delivery_dir(warehouse: str, table: str) -> str:
+    """Per run the files that were in the source."""
+    return f"{warehouse}/{table}/delivery"
+
+
+def _compacted_dir(warehouse: str, table: str) -> str:
+    return f"{warehouse}/{table}/compacted"
+
+
+def _compacted(spark: SparkSession, warehouse: str, table: str) -> int:
+    """The last batch of the newest complete compaction, -1 without any."""
+    done = [p.parent.name for p in complete_folders(spark, _compacted_dir(warehouse, table))]
+    return max((int(name.removeprefix("upto=")) for name in done), default=-1)
+
+
 def typed_rows(rows: DataFrame, table: str) -> DataFrame:
     """Trimmed rows in the declared types; ``_cast_failures`` counts lost values."""
     types = {f.name: f.type for f in contract.WAREHOUSE[table]}
@@ -81,7 +100,11 @@ def load_files(
     table: str,
     source_schema: T.StructType,
 ) -> None:
-    """Stores the rows of the whole files of a batch, and a report on every file."""
+    """Stores the typed rows of a batch, and a report on every file.
+
+    Rows are read and typed once; the report is taken from what was stored, and readers
+    see the rows of files it calls loaded.
+    """
     name = F.col("_metadata.file_path").alias("_source_file")
     reader = spark.read.schema(source_schema).option("ignoreCorruptFiles", True)
     rows = reader.parquet(*files)
@@ -93,19 +116,14 @@ def load_files(
         F.current_timezone(), F.lit("UTC"), F.localtimestamp()
     )
     part = f"batch_id={batch_id}"
-
-    report = file_report(typed, promised, listed).withColumn("_loaded_at", loaded_at)
-    report_dir = f"{_history_dir(warehouse, table)}/{part}"
-    report.write.mode("overwrite").parquet(report_dir)
-
-    # The stored report is read back, so rows and report agree on what was loaded.
-    good = spark.read.schema(_HISTORY).parquet(report_dir).where(F.col("status") == LOADED)
-    stored = typed.drop("_cast_failures").join(
-        good.select("_source_file", "_loaded_at"), "_source_file"
-    )
-    stored.select(*contract.names(table), *_AUDIT).write.mode("overwrite").parquet(
-        f"{_rows_dir(warehouse, table)}/{part}"
+    rows_dir = f"{_rows_dir(warehouse, table)}/{part}"
+    stored = typed.withColumn("_loaded_at", loaded_at).select(
+        *contract.names(table), *_AUDIT, "_cast_failures"
     )
+    stored.write.mode("overwrite").parquet(rows_dir)
+    read_back = spark.read.schema(stored.schema).parquet(rows_dir)
+    report = file_report(read_back, promised, listed).withColumn("_loaded_at", loaded_at)
+    report.write.mode("overwrite").parquet(f"{_history_dir(warehouse, table)}/{part}")
 
 
 def load_new_files(
@@ -140,6 +158,10 @@ def load_new_files(
         .start()
     )
     query.awaitTermination()
+    run = time.time_ns()
+    _present_files(spark, source).write.parquet(
+        f"{_delivery_dir(warehouse, table)}/run={run}"
+    )
 
 
 def load_tables(spark: SparkSession, sources: Mapping[str, str], warehouse: str) -> None:
@@ -159,10 +181,43 @@ def load_star(spark: SparkSession, gold_dir: str, warehouse: str) -> None:
 
 
 def all_rows(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
-    """Every loaded row of every batch, with ``batch_id``."""
+    """Every loaded row of every batch that was not compacted, and the compacted rows."""
     fields = ", ".join(f"{f.name} {f.type}" for f in contract.WAREHOUSE[table])
     schema = f"{fields}, _loaded_at timestamp_ntz, _source_file string, batch_id bigint"
-    return spark.read.schema(schema).parquet(_rows_dir(warehouse, table))
+    history = load_history(spark, warehouse, table).where(F.col("status") == LOADED)
+    loaded = history.select("batch_id", "_source_file")
+    upto = _compacted(spark, warehouse, table)
+    rows = spark.read.schema(schema).parquet(_rows_dir(warehouse, table))
+    rows = rows.where(F.col("batch_id") > upto).join(
+        loaded, ["batch_id", "_source_file"], "left_semi"
+    )
+    columns = [*contract.names(table), *_AUDIT, "batch_id"]
+    if upto < 0:
+        return rows.select(*columns)
+    done = spark.read.schema(schema).parquet(f"{_compacted_dir(warehouse, table)}/upto={upto}")
+    return rows.select(*columns).unionByName(done.select(*columns))
+
+
+def compact(spark: SparkSession, warehouse: str, table: str) -> None:
+    """Replaces the batches so far by the rows that readers see of them.
+
+    The new version is complete before anything it replaces is removed, and a reader
+    takes the newest complete one.  Run it between loads.
+    """
+    handled = load_history(spark, warehouse, table).agg(F.max("batch_id")).first()[0]
+    before = _compacted(spark, warehouse, table)
+    if handled is None or handled <= before:
+        return
+    target = f"{_compacted_dir(warehouse, table)}/upto={handled}"
+    _visible(spark, warehouse, table).write.mode("overwrite").parquet(target)
+    rows_dir = _rows_dir(warehouse, table)
+    kind = spark.read.parquet(rows_dir).drop("batch_id").schema
+    # One empty batch stays, so that the folder can be read while no other is there.
+    spark.createDataFrame([], kind).write.mode("overwrite").parquet(f"{rows_dir}/batch_id={handled}")
+    for batch in range(max(before, 0), handled):
+        remove(spark, f"{rows_dir}/batch_id={batch}")
+    if before >= 0:
+        remove(spark, f"{_compacted_dir(warehouse, table)}/upto={before}")
 
 
 def _present_files(spark: SparkSession, source: str) -> DataFrame:
@@ -170,21 +225,32 @@ def _present_files(spark: SparkSession, source: str) -> DataFrame:
     return listing.load(source).select(F.col("_metadata.file_path").alias("_source_file"))
 
 
+def _visible(
+    spark: SparkSession, warehouse: str, table: str, keep_vanished: bool = False
+) -> DataFrame:
+    rows = all_rows(spark, warehouse, table)
+    if not keep_vanished:
+        schema = "_source_file string, run bigint"
+        runs = spark.read.schema(schema).parquet(_delivery_dir(warehouse, table))
+        last = runs.agg(F.max("run").alias("run"))
+        there = runs.join(F.broadcast(last), "run").select("_source_file")  # last: one row
+        rows = rows.join(there, "_source_file", "left_semi")
+    natural = contract.KEYS[table][1]
+    return latest_per_key(rows, natural, ["batch_id", "_loaded_at", "_source_file"])
+
+
 def current_rows(
-    spark: SparkSession, warehouse: str, table: str, source: str | None = None
+    spark: SparkSession, warehouse: str, table: str, keep_vanished: bool = False
 ) -> DataFrame:
     """The newest row of each business key; a key in two batches is not doubled.
 
-    Give the ``source`` folder if every delivery replaces it as a whole, like a Gold
-    rebuild: rows of files that are no longer there are then left out, so members
-    and surrogate keys of different rebuilds do not mix.
+    A delivery replaces the one before it: rows of files that were no longer in the
+    source at the last load are left out, so members and surrogate keys of different
+    rebuilds do not mix.  ``keep_vanished`` keeps them, for sources whose old files
+    are cleared away after loading.
     """
-    rows = all_rows(spark, warehouse, table)
-    if source is not None:
-        rows = rows.join(_present_files(spark, source), "_source_file", "left_semi")
-    natural = contract.KEYS[table][1]
-    latest = latest_per_key(rows, natural, ["batch_id", "_loaded_at", "_source_file"])
-    return latest.select(*contract.names(table), *_AUDIT)
+    rows = _visible(spark, warehouse, table, keep_vanished)
+    return rows.select(*contract.names(table), *_AUDIT)
 
 
 def pending_files(

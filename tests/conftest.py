@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -6,6 +7,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+FOLDER = tempfile.mkdtemp(prefix="loanlens-tests-")
+
 
 def make_session() -> SparkSession:
     session = (
@@ -16,6 +19,9 @@ def make_session() -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.warehouse.dir", f"{FOLDER}/warehouse")
+        .config("spark.checkpoint.dir", f"{FOLDER}/shared")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -121,6 +121,23 @@ def test_rebuilt_source_replaces_vanished_members(spark, tmp_path):
     load(spark, tmp_path)
     pending = loader.pending_files(spark, source, str(tmp_path / "wh"), "dim_project")
     assert pending.count() == 0
-    rows = loader.current_rows(spark, str(tmp_path / "wh"), "dim_project", source).collect()
-    assert {(r.project_key, r.project_id) for r in rows} == {(0, "P2"), (1, "P3")}
-    assert len(current(spark, tmp_path)) == 3
+    assert current(spark, tmp_path) == {"P2": (0, "b"), "P3": (1, "c")}
+    wh = str(tmp_path / "wh")
+    assert loader.current_rows(spark, wh, "dim_project", keep_vanished=True).count() == 3
+
+
+def test_compaction_keeps_what_readers_see(spark, tmp_path):
+    wh = str(tmp_path / "wh")
+    for i in range(3):
+        deliver(projects(spark, [(0, "P0", f"v{i}"), (i + 1, f"P{i + 1}", "a")]), tmp_path / "in")
+        load(spark, tmp_path)
+    before = current(spark, tmp_path)
+    loader.compact(spark, wh, "dim_project")
+    loader.compact(spark, wh, "dim_project")  # nothing new
+    assert current(spark, tmp_path) == before == {"P0": (0, "v2"), **{f"P{i}": (i, "a") for i in (1, 2, 3)}}
+    assert spark.read.parquet(f"{wh}/dim_project/rows").count() == 0
+    deliver(projects(spark, [(0, "P0", "late")]), tmp_path / "in")
+    load(spark, tmp_path)
+    loader.compact(spark, wh, "dim_project")
+    assert current(spark, tmp_path) == {**before, "P0": (0, "late")}
+    assert len(list((tmp_path / "wh" / "dim_project" / "compacted").iterdir())) == 1

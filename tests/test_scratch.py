@@ -26,8 +26,9 @@ def test_named_folder_is_used():
     assert scratch.new_folder(spark, "gold").startswith("hdfs://shared/cp/app/gold-")
 
 
-def test_cluster_without_a_shared_folder_is_an_error():
-    spark, _ = session("spark://host:7077")
+@pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[2,1,1024]", "yarn"])
+def test_cluster_without_a_shared_folder_is_an_error(master):
+    spark, _ = session(master)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.shared_folder(spark)
 
@@ -37,6 +38,15 @@ def test_local_session_gets_a_folder():
     assert scratch.shared_folder(spark) == calls[0]
 
 
+def test_temporary_folder_goes_even_after_an_error(spark):
+    with pytest.raises(ValueError), scratch.temporary(spark, "raw") as path:
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+        raise ValueError
+    with pytest.raises(Exception):
+        spark.read.parquet(path)
+
+
 @given(st.text())
 def test_standard_names_are_stable(text):
     name = standard_name(text)
