@@ -23,11 +23,11 @@ from loanlens.llm.store import Store
 
 #: Kept (1) and ignored (0) word positions.  No two replaced words hide 12 words from all.
 MASKS = ("111111", "1101100101", "10010111011", "1110010001011")
-#: Matching words an overlap needs, or this share of a shorter item.
+#: Matching words an overlap needs, or this share of a shorter item; and their share of it.
 LEAST_WORDS = 12
 LEAST_SHARE = 0.8
-#: What a differing word costs against a matching one: 4 keeps stretches above 80 percent.
-PENALTY = 4
+#: What a differing word costs against a matching one in the search for the best stretch.
+PENALTY = 2
 #: Up to so many words of benchmark (about 200 MB of tables) go to every task.
 BROADCAST_WORDS = 1_000_000
 
@@ -68,12 +68,12 @@ def least_matches(item_words: int) -> int:
 
 
 def best_stretch(same: np.ndarray) -> tuple[int, int, int]:
-    """(start, stop, matches) of the stretch with the best score; empty if none matches."""
+    """(start, stop, matches) of the stretch with the best score, the longest of such."""
     score = np.where(same, 1, -PENALTY)
     total = np.concatenate([[0], np.cumsum(score)])
     lowest = np.minimum.accumulate(total)
-    stop = int(np.argmax(total - lowest))
-    start = int(np.flatnonzero(total[: stop + 1] == lowest[stop])[-1])
+    stop = len(same) - int(np.argmax((total - lowest)[::-1]))
+    start = int(np.argmax(total[: stop + 1] == lowest[stop]))
     return start, stop, int(same[start:stop].sum())
 
 
@@ -86,7 +86,8 @@ def overlaps(doc: np.ndarray, items: list[np.ndarray], hits: set[tuple[int, int]
         if high <= low:
             continue
         start, stop, matches = best_stretch(doc[low + diagonal : high + diagonal] == words[low:high])
-        if matches >= least_matches(len(words)) and (item not in best or matches > best[item][1]):
+        enough = matches >= least_matches(len(words)) and matches >= LEAST_SHARE * (stop - start)
+        if enough and (item not in best or matches > best[item][1]):
             at = low + start
             best[item] = (len(words), matches, at + diagonal, at, stop - start)
     yield from best.items()
@@ -245,8 +246,8 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, most_words: int = BROAD
 
     doc_id, item_id, item_words, matched_words, and the overlap's first word in the
     document and in the item and its length (words from 0).  An overlap needs 12
-    matching words, or 80 percent of a shorter item, in a stretch where matches outweigh
-    four times the differing words.  Null and wordless texts on either side overlap with
+    matching words, or 80 percent of a shorter item, in a stretch of which they make up
+    80 percent.  Null and wordless texts on either side overlap with
     nothing; repeated rows give repeated rows; null ids are kept as null; other columns
     are ignored; empty tables give an empty result.
 

@@ -119,7 +119,8 @@ def learn(decided: DataFrame, words: dict[str, int], seeds: Sequence[str] = SEED
     """Per token the log odds of block against allow; '' holds the prior's.
 
     ``decided`` has host, path and verdict; all its rows are counted, the ``most``
-    frequent tokens kept.  Each seed word stands for some blocked urls.
+    frequent tokens kept.  Each seed word counts as that of some blocked hosts.  Host and
+    path words have distributions of their own, so that seeds do not thin the path's.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,9 +146,12 @@ def learn(decided: DataFrame, words: dict[str, int], seeds: Sequence[str] = SEED
     for word in seeds:
         block[f"h:{word}"] += SEED_WEIGHT
     prior = math.log((block.pop("", 0) + SMOOTHING) / (allow.pop("", 0) + SMOOTHING))
-    names = block.keys() | allow.keys()
-    sums = [sum(c.values()) + SMOOTHING * (len(names) + 1) for c in (block, allow)]
-    odds = {t: math.log((block[t] + SMOOTHING) / sums[0]) - math.log((allow[t] + SMOOTHING) / sums[1]) for t in sorted(names)}
+    odds = {}
+    for place in ("h:", "p:"):
+        names = sorted(t for t in block.keys() | allow.keys() if t.startswith(place))
+        sums = [sum(c[t] for t in names) + SMOOTHING * (len(names) + 1) for c in (block, allow)]
+        for t in names:
+            odds[t] = math.log((block[t] + SMOOTHING) / sums[0]) - math.log((allow[t] + SMOOTHING) / sums[1])
     return odds | {"": prior}
 
 
