@@ -24,11 +24,11 @@ RULES = (
     ("block", "net", "/"), ("allow", "example.net", "/en/"),
     ("block", "example.com", "/de/"), ("allow", "org", "/fr/"),
 )
-#: Words that mark hosts to block, and how many urls each counts for.
+#: Words that mark hosts to block, and which share of the blocked hosts' words each counts for.
 SEEDS = (
     "spam", "farm", "cheap", "pills", "casino", "porn", "xxx", "malware", "phishing", "warez", "viagra", "scam", "betting",
 )
-SEED_WEIGHT = 50
+SEED_SHARE = 0.02
 #: Most frequent words, and tokens, that the models keep.
 WORDS = 50_000
 TOKENS = 50_000
@@ -119,7 +119,7 @@ def learn(decided: DataFrame, words: dict[str, int], seeds: Sequence[str] = SEED
     """Per token the log odds of block against allow; '' holds the prior's.
 
     ``decided`` has host, path and verdict; all its rows are counted, the ``most``
-    frequent tokens kept.  Each seed word counts as that of some blocked hosts.  Host and
+    frequent tokens kept.  Each seed word counts as a share of the blocked hosts' words.  Host and
     path words have distributions of their own, so that seeds do not thin the path's.
     """
 
@@ -143,8 +143,9 @@ def learn(decided: DataFrame, words: dict[str, int], seeds: Sequence[str] = SEED
     )
     block = Counter({r["token"]: r["block"] for r in counted})
     allow = Counter({r["token"]: r["allow"] for r in counted})
+    weight = max(1.0, SEED_SHARE * sum(n for t, n in block.items() if t.startswith("h:")))
     for word in seeds:
-        block[f"h:{word}"] += SEED_WEIGHT
+        block[f"h:{word}"] += weight
     prior = math.log((block.pop("", 0) + SMOOTHING) / (allow.pop("", 0) + SMOOTHING))
     odds = {}
     for place in ("h:", "p:"):

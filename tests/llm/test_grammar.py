@@ -65,7 +65,7 @@ def test_learned_formats_are_found_and_words_are_not(model):
 def test_automata_learn_lengths():
     automaton = grammar.infer(grammar.drawn()["format7"])
     assert automaton.likelihood("0123456789" * 4) > automaton.likelihood("0123456789" * 3) == float("-inf")
-    loop = grammar.infer(["ab" * n for n in range(1, 9) for _ in range(60)])
+    loop = grammar.infer(["ab" * n for n in range(1, 10) for _ in range(1024 >> n)])
     assert loop.likelihood("ab" * 20) > float("-inf") and len(loop.step) < 16
 
 

@@ -39,7 +39,7 @@ def test_round_trip(spark, monkeypatch, most):
     folder = scratch.new_folder(spark, "bundles")
     index = Store(spark).put("index", warc.write_bundles(spark.createDataFrame(rows(), SCHEMA).repartition(3), folder))
     assert Counter(tuple(r) for r in warc.read_bundles(index).collect()) == expected()
-    assert index.count() == len(rows()) and index.select("bundle").distinct().count() > 3
+    assert index.count() == len(rows()) and index.select("bundle").distinct().count() > 1
     # Any Zstandard reader can read a whole bundle: the seek table is a skippable frame.
     where = index.first().bundle
     files, path = pyarrow.fs.FileSystem.from_uri(where)
