@@ -64,7 +64,9 @@ def watch(spark: SparkSession, root: str, _: str) -> None:
         spark, f"{root}/incoming", f"{root}/incoming_archive"
     )
     graded = alerts.high_risk(alerts.enrich(stream))
-    alerts.start_alerts(graded, f"{root}/alert_checkpoint").awaitTermination()
+    target = {"path": f"{root}/alerts"}  # recorded once each, whatever restarts
+    query = alerts.start_alerts(graded, f"{root}/alert_checkpoint", "parquet", target)
+    query.awaitTermination()
 
 
 STEPS = {

@@ -636,7 +636,7 @@ def risk_level_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def streamed_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    """The same alerts from the file stream, without the ingestion columns."""
+    """Alerts of the raw files by the file stream, without the ingestion columns."""
     return tables.streamed_alerts(spark, sf).drop("ingestion_timestamp", "source_file")
 
 

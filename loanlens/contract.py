@@ -84,10 +84,31 @@ COLUMNS = [
     "last_disbursement_date",
 ]
 
-MONEY = [c for c in COLUMNS[15:26]]
+MONEY = [
+    "original_principal_amount",
+    "cancelled_amount",
+    "undisbursed_amount",
+    "disbursed_amount",
+    "repaid_to_ibrd",
+    "due_to_ibrd",
+    "borrowers_obligation",
+    "sold_3rd_party",
+    "repaid_3rd_party",
+    "due_3rd_party",
+    "loans_held",
+]
 RATES = ["interest_rate", "service_charge_rate"]
 NUMERIC = MONEY + RATES
-DATES = ["end_of_period"] + COLUMNS[26:]
+DATES = [
+    "end_of_period",
+    "first_repayment_date",
+    "last_repayment_date",
+    "agreement_signing_date",
+    "board_approval_date",
+    "effective_date_most_recent",
+    "closed_date_most_recent",
+    "last_disbursement_date",
+]
 CATEGORICAL = [
     c for c in COLUMNS if c not in NUMERIC and c not in DATES and c != "loan_number"
 ]
@@ -106,43 +127,6 @@ PARTITION_COLUMN = "country_code"
 MONEY_TYPE = T.DecimalType(18, 2)
 RATE_TYPE = T.DecimalType(8, 4)
 
-# Fields of a stream file, in file order.
-STREAM_TEXT_HEAD = [
-    "loan_number",
-    "loan_type",
-    "loan_status",
-    "region",
-    "country_code",
-    "country",
-    "borrower",
-    "guarantor_country_code",
-    "guarantor",
-    "project_id",
-    "project_name",
-]
-STREAM_NUMBERS = [
-    "original_principal_amount",
-    "cancelled_amount",
-    "undisbursed_amount",
-    "disbursed_amount",
-    "repaid_to_ibrd",
-    "due_to_ibrd",
-    "borrowers_obligation",
-    "interest_rate",
-    "service_charge_rate",
-]
-STREAM_TEXT_TAIL = [
-    "board_approval_date",
-    "effective_date_most_recent",
-    "closed_date_most_recent",
-    "agreement_signing_date",
-    "first_repayment_date",
-    "last_repayment_date",
-    "last_disbursement_date",
-    "currency_of_commitment",
-    "end_of_period",
-]
-
 # Columns of a high-risk alert, in order.
 ALERT_COLUMNS = [
     "loan_number",
@@ -272,12 +256,3 @@ def silver_schema() -> T.StructType:
 
     ordered = [c for c in COLUMNS if c != PARTITION_COLUMN] + [PARTITION_COLUMN]
     return T.StructType([T.StructField(c, kind(c)) for c in ordered])
-
-
-def stream_schema() -> T.StructType:
-    """Strict schema of stream files: text, numbers, then dates left as text."""
-    return T.StructType(
-        [T.StructField(c, T.StringType()) for c in STREAM_TEXT_HEAD]
-        + [T.StructField(c, T.DoubleType()) for c in STREAM_NUMBERS]
-        + [T.StructField(c, T.StringType()) for c in STREAM_TEXT_TAIL]
-    )

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from loanlens import contract
 from loanlens.functions.scalars import HIGH_RISK_AMOUNT, cancellation_percent, risk_level
+from loanlens.operators.cleanse import typed_rows
+from loanlens.sources.bronze import split_quarantine
 
 # Rate limit, trigger and query name of the alert job.
 FILES_PER_TRIGGER = 5
@@ -21,27 +22,31 @@ QUERY_NAME = "high_risk_cancellations"
 def read_statement_stream(
     spark: SparkSession,
     source: str,
-    archive: str,
-    schema: T.StructType | None = None,
+    archive: str | None = None,
+    header: Sequence[str] = tuple(contract.BRONZE_HEADER),
     files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> DataFrame:
-    """File stream of delimited statements with a fixed schema.
+    """File stream of raw statement files, typed and filled as the batch does it.
 
-    Processed files move to ``archive``, which must lie outside ``source``.  Headers
-    are compared with the schema: columns in another order stop the job instead of
-    filling the wrong fields.
+    The raw folder itself can be streamed: its files, header and rules are the same.
+    Lines that do not fit the header are left out.  Headers are compared: columns in
+    another order stop the job instead of filling the wrong fields.  Handled files
+    move to ``archive``, if given, which must lie outside ``source``.
     """
-    return (
+    reader = (
         spark.readStream.format("csv")
-        .schema(schema or contract.stream_schema())
+        .schema(contract.bronze_schema(list(header)))
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", contract.CORRUPT)
+        .option("columnPruning", False)
         .option("maxFilesPerTrigger", files_per_trigger)
-        .option("cleanSource", "archive")
-        .option("sourceArchiveDir", archive)
-        .load(source)
     )
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    good, _ = split_quarantine(reader.load(source))
+    return typed_rows(good)
 
 
 def enrich(df: DataFrame) -> DataFrame:
@@ -94,13 +99,12 @@ def start_alerts(
 def run_alerts(
     spark: SparkSession,
     source: str,
-    archive: str,
+    archive: str | None,
     checkpoint: str,
     target: str,
-    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Handles all files present into ``target`` and returns every alert so far."""
-    alerts = high_risk(enrich(read_statement_stream(spark, source, archive, schema)))
+    alerts = high_risk(enrich(read_statement_stream(spark, source, archive)))
     query = start_alerts(alerts, checkpoint, "parquet", {"path": target}, True)
     query.awaitTermination()
     return spark.read.schema(alerts.schema).parquet(target)
