@@ -375,6 +375,9 @@ WHERE cancelled_amount > 1000000 AND original_principal_amount > 0
 """
 
 
+# Loans of the training part.
+_TRAIN = "('0x' || substr(md5(loan_number || '|42'), 1, 8))::BIGINT % 100 < 80"
+
 # The same over raw rows as cleansing leaves them, a lost principal being 0.
 _RAW_ALERTS = (
     _ALERTS.replace("FROM statements", "FROM filled")
@@ -970,6 +973,35 @@ def _oracle() -> dict[str, str]:
             cast(CASE WHEN ({share}) > cast(0.1 AS double) THEN 1 ELSE 0 END AS double)
              AS is_high_cancellation FROM latest""",
         ),
+        "model_split": sql(
+            ["latest"],
+            f"""SELECT CASE WHEN {_TRAIN} THEN 'train' ELSE 'test' END AS part,
+            cast(sum(y) AS bigint) AS positive, cast(sum(1 - y) AS bigint) AS negative,
+            (sum(y) * 20000 + count(*)) // (2 * count(*)) / 100.0 AS positive_percent
+            FROM (SELECT loan_number, CASE WHEN ({share}) > cast(0.1 AS double) THEN 1 ELSE 0 END
+                  AS y FROM latest) GROUP BY 1""",
+        ),
+        "scored_loans": sql(
+            ["latest"],
+            f"""SELECT loan_number, cast(CASE WHEN ({share}) > cast(0.1 AS double) THEN 1
+            ELSE 0 END AS double) AS is_high_cancellation, true AS is_scored
+            FROM latest WHERE NOT ({_TRAIN})""",
+        ),
+        "confusion_labels": sql(
+            ["latest"],
+            f"""SELECT cast(CASE WHEN ({share}) > cast(0.1 AS double) THEN 1 ELSE 0 END
+            AS double) AS is_high_cancellation, count(*) AS loans
+            FROM latest WHERE NOT ({_TRAIN}) GROUP BY 1""",
+        ),
+        "model_stages": sql(
+            ["latest"],
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS feature, {c} AS category, cast(row_number() OVER "
+                f"(ORDER BY count(*) DESC, {c}) - 1 AS integer) AS code "
+                f"FROM latest WHERE {_TRAIN} GROUP BY {c}"
+                for c in ("region", "loan_type", "loan_status")
+            ),
+        ),
         "class_balance": sql(
             ["latest"],
             f"""SELECT sum(y) AS positive, sum(1 - y) AS negative,

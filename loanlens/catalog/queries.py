@@ -742,6 +742,27 @@ def model_scores(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("loan_number", features.LABEL, "prediction")
 
 
+@query
+def scored_loans(spark: SparkSession, sf: str) -> DataFrame:
+    """The held-out loans, their label, and whether scoring gave them a class."""
+    scored = tables.test_predictions(spark, sf)
+    given = F.col("prediction").isin(0.0, 1.0)
+    return scored.select("loan_number", features.LABEL, given.alias("is_scored"))
+
+
+@query
+def confusion_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Loans per label in the confusion matrix."""
+    matrix = model.confusion_matrix(tables.test_predictions(spark, sf))
+    return matrix.groupBy(features.LABEL).agg(F.sum("loans").alias("loans"))
+
+
+@query
+def model_stages(spark: SparkSession, sf: str) -> DataFrame:
+    """What the preparation stages learned: category codes by frequency."""
+    return model.category_codes(tables.fitted(spark, sf), spark)
+
+
 @query
 def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return model.metrics(tables.test_predictions(spark, sf))

@@ -17,7 +17,6 @@ from pyspark.sql.window import Window
 from loanlens.functions import measures as m
 from loanlens.operators.joins import star_join
 from loanlens.operators.ranking import top_n
-from loanlens.scratch import materialise
 
 Star = Mapping[str, DataFrame]
 
@@ -27,6 +26,9 @@ EFFICIENCY_TARGET = 0.90
 TOP_COUNTRIES = 10
 TOP_BORROWERS = 20
 
+# Most loan types the matrix takes by itself.
+MATRIX_COLUMNS = 100
+
 
 def slice_star(
     star: Star,
@@ -158,12 +160,14 @@ def region_type_rates(star: Star) -> DataFrame:
 def region_type_matrix(star: Star, loan_types: Sequence[str] | None = None) -> DataFrame:
     """One row per region, one rate column per loan type.
 
-    Without given types they are read from the small loan-type dimension, so the fact
-    is not scanned to find the columns.
+    Without given types they are read from the loan-type dimension; more than a report
+    can show are an error, then ``region_type_rates`` has them as rows.
     """
     if loan_types is None:
         found = star["dim_loan_type"].select("loan_type").distinct().orderBy("loan_type")
-        loan_types = [row["loan_type"] for row in found.collect()]
+        loan_types = [row["loan_type"] for row in found.limit(MATRIX_COLUMNS + 1).collect()]
+        if len(loan_types) > MATRIX_COLUMNS:
+            raise ValueError(f"more than {MATRIX_COLUMNS} loan types: name those to show")
     rates = region_type_rates(star)
     return (
         rates.groupBy("region")
@@ -241,9 +245,7 @@ def top_borrowers(star: Star) -> DataFrame:
         .groupBy("borrower_key", "country")
         .agg(*[F.sum(c).alias(c) for c in ("principal", "cancelled", "loan_count")])
     )
-    top = materialise(
-        top_n(totals, TOP_BORROWERS, "principal", ["borrower_key", "country"])
-    )
+    top = top_n(totals, TOP_BORROWERS, "principal", ["borrower_key", "country"])
     names = (
         star["dim_borrower"]
         .select("borrower_key", "borrower")
