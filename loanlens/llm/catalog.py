@@ -20,7 +20,7 @@ from loanlens.llm import (
     urls,
     warc,
 )
-from loanlens.llm.store import Store, delete
+from loanlens.llm.store import Store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,7 +75,7 @@ def op8_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch.new_folder(spark, "warc")
     index = store.put("index", warc.write_bundles(table(spark, sf_dir, "pages"), folder))
     records = store.put("records", warc.read_bundles(index))
-    delete(spark, folder)
+    scratch.remove(spark, folder)
     store.drop("index")
     return records
 

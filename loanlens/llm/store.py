@@ -7,12 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from loanlens import scratch
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Removes a folder of whatever file system Spark keeps it in."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 class Store:
     """Tables written once and read back, so that nothing is computed twice.
 
@@ -32,4 +26,8 @@ class Store:
 
     def drop(self, *names: str) -> None:
         for name in names:
-            delete(self.spark, self.paths.pop(name))
+            scratch.remove(self.spark, self.paths.pop(name))
+
+    def keep(self, *prefixes: str) -> None:
+        """Removes all tables but those whose names start so."""
+        self.drop(*[n for n in list(self.paths) if not n.startswith(prefixes)])
