@@ -109,9 +109,11 @@ def nearest(
     unit, query_unit = rows / norms[:, None], queries / query_norms[:, None]
     forest = Forest(unit, unit.mean(axis=0), trees, bits, seed)
     need = max(k + 1, LEAST, int(np.ceil(share * len(rows))))
-    want = int(np.ceil(-len(rows) * np.log(max(1e-9, 1 - min(need, len(rows)) / len(rows)))))
+    want = trees * len(rows)
+    if need < len(rows):
+        want = min(want, int(np.ceil(-len(rows) * np.log(1 - need / len(rows)))))
     out = []
-    for q, found in enumerate(forest.candidates(query_unit, min(want, trees * len(rows)))):
+    for q, found in enumerate(forest.candidates(query_unit, want)):
         found = found[ids[found] != query_ids[q]]
         score = rows[found] @ queries[q] / (norms[found] * query_norms[q])
         if len(found) > k:
