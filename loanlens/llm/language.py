@@ -173,12 +173,17 @@ def train(docs: DataFrame, sample: int = SAMPLE, folds: int = 3, fold: int = 1)
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"), folds, fold)
     )
     ids = known.select("doc_id", "lang")
-    languages = sorted(r.lang for r in ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample).collect())
+    sizes = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample).collect()
+    languages = sorted(r["lang"] for r in sizes)
     if not languages:
         return None
     each = max(1, sample // len(languages))
+    # Twice the share that is needed, by hash, so that ranking sees few rows of a language.
+    shares = [(r["lang"], min(1.0, (2 * each + 100) / r["count"])) for r in sizes]
+    share = F.create_map(*[F.lit(x) for pair in shares for x in pair])[F.col("lang")]
+    drawn = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * float(1 << 30))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = ids.withColumn("place", place).where(F.col("place") <= each)
+    chosen = drawn.withColumn("place", place).where(F.col("place") <= each)
     texts = known.join(F.broadcast(chosen.select("doc_id", "place").distinct()), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
