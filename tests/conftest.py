@@ -21,7 +21,6 @@ def make_session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", f"{FOLDER}/warehouse")
         .config("spark.checkpoint.dir", f"{FOLDER}/shared")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
