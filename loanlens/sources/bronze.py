@@ -113,7 +113,9 @@ def copy_csv(
     """
     now = now or datetime.now(timezone.utc)
     batch = f"{target}/batch={now:%Y%m%d_%H%M%S}"
-    raw = read_bronze(spark, source, header)
+    # In a session of its own: one that holds an observation can't ship the models fitted
+    # in it, whose training summaries carry their session into the tasks.
+    raw = read_bronze(spark.newSession(), source, header)
     fits = ~is_malformed(raw)
     counted = Observation("copy")
     observed = raw.observe(
