@@ -26,8 +26,8 @@ MASKS = ("111111", "1101100101", "10010111011", "1110010001011")
 #: Matching words an overlap needs, or this share of a shorter item; and their share of it.
 LEAST_WORDS = 12
 LEAST_SHARE = 0.8
-#: What a differing word costs against a matching one in the search for the best stretch.
-PENALTY = 2
+#: What a differing word costs against a matching one: a stretch has its share from a sum of 0.
+PENALTY = 4
 #: Up to so many words of benchmark (about 200 MB of tables) go to every task.
 BROADCAST_WORDS = 1_000_000
 
@@ -67,14 +67,24 @@ def least_matches(item_words: int) -> int:
     return max(1, min(LEAST_WORDS, int(np.ceil(LEAST_SHARE * item_words))))
 
 
-def best_stretch(same: np.ndarray) -> tuple[int, int, int]:
-    """(start, stop, matches) of the stretch with the best score, the longest of such."""
-    score = np.where(same, 1, -PENALTY)
-    total = np.concatenate([[0], np.cumsum(score)])
-    lowest = np.minimum.accumulate(total)
-    stop = len(same) - int(np.argmax((total - lowest)[::-1]))
-    start = int(np.argmax(total[: stop + 1] == lowest[stop]))
-    return start, stop, int(same[start:stop].sum())
+def best_stretch(same: np.ndarray, least: int) -> tuple[int, int, int] | None:
+    """(start, stop, matches) of the stretch with most matches among all that are an overlap.
+
+    Such a stretch has ``least`` matches and ``LEAST_SHARE`` of its words match; the shortest,
+    then first of those with most.  For each end the earliest start whose sum is no larger.
+    """
+    at = np.flatnonzero(same)
+    if len(at) < least:
+        return None
+    total = np.concatenate([[0], np.cumsum(np.where(same, 1, -PENALTY))])
+    start = np.searchsorted(-np.minimum.accumulate(total), -total[at + 1], "left")
+    first = np.searchsorted(at, start)
+    matches = np.arange(1, len(at) + 1) - first
+    if matches.max() < least:
+        return None
+    length = at + 1 - at[first]
+    best = np.lexsort((length, -matches))[0]
+    return int(at[first[best]]), int(at[best]) + 1, int(matches[best])
 
 
 def overlaps(doc: np.ndarray, items: list[np.ndarray], hits: set[tuple[int, int]]) -> Iterator[tuple]:
@@ -85,9 +95,10 @@ def overlaps(doc: np.ndarray, items: list[np.ndarray], hits: set[tuple[int, int]
         low, high = max(0, -diagonal), min(len(words), len(doc) - diagonal)
         if high <= low:
             continue
-        start, stop, matches = best_stretch(doc[low + diagonal : high + diagonal] == words[low:high])
-        enough = matches >= least_matches(len(words)) and matches >= LEAST_SHARE * (stop - start)
-        if enough and (item not in best or matches > best[item][1]):
+        same = doc[low + diagonal : high + diagonal] == words[low:high]
+        found = best_stretch(same, least_matches(len(words)))
+        if found is not None and (item not in best or found[2] > best[item][1]):
+            start, stop, matches = found
             at = low + start
             best[item] = (len(words), matches, at + diagonal, at, stop - start)
     yield from best.items()

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -77,3 +78,25 @@ def test_any_single_substitution_is_found(spark):
         doc, _ = tokens.word_hashes(pa.array([" ".join(["x"] * 5 + changed)]), tokens.PUNCTUATION)
         hits = {(int(i), int(p - q)) for place, item, pos in index.hits(doc) for p, i, q in zip(place, item, pos, strict=True)}
         assert list(decontaminate.overlaps(doc, [hashes], hits)), at
+
+
+def test_stretch_equals_all_stretches():
+    rng = np.random.default_rng(3)
+    for _ in range(400):
+        same = rng.random(rng.integers(1, 45)) < rng.choice([0.6, 0.75, 0.85, 0.95])
+        least = int(rng.integers(1, 14))
+        all_of = [(i, j, int(same[i:j].sum())) for i in range(len(same)) for j in range(i + 1, len(same) + 1)]
+        fit = [(-m, j - i, i) for i, j, m in all_of if m >= least and 5 * m >= 4 * (j - i)]
+        found = decontaminate.best_stretch(same, least)
+        assert (found is None) == (not fit)
+        if fit:
+            assert (-found[2], found[1] - found[0], found[0]) == min(fit)
+
+
+def test_exact_start_of_an_edited_passage_is_found(spark):
+    words = [f"t{i}" for i in range(59)]
+    text = " ".join("other" if i >= 20 and i % 3 == 1 else w for i, w in enumerate(words))
+    docs, items = spark.createDataFrame([(1, text, None, None)], DOCS), spark.createDataFrame([(7, " ".join(words), None)], ITEMS)
+    for most in (10**6, 0):
+        row = decontaminate.find_overlaps(docs, items, most).first()
+        assert row.item_id == 7 and row.matched_words >= 20 and row.matched_words >= 0.8 * row.overlap_words
