@@ -15,14 +15,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.llm import tokens
 from loanlens.llm.store import Store
 
-#: Kept (1) and ignored (0) word positions.  No two replaced words hide 12 words from all.
-MASKS = ("111111", "1101100101", "10010111011", "1110010001011")
+#: Kept (1) and ignored (0) word positions.  Every overlap with an item of 14 words or more
+#: leaves a seed of these, whatever words differ.
+MASKS = ("111111", "1101100101", "10010111011", "1110010001011", "11101011")
+#: With these, every overlap with an item of 10 words or more does.
+TWO_MISSES = ("1100011011", "10110111", "11110011")
+#: Every overlap with an item of 5 words or more has 5 words of which one differs at most.
+ONE_MISS = ("1111", "11011", "10111", "11101")
 #: Matching words an overlap needs, or this share of a shorter item; and their share of it.
 LEAST_WORDS = 12
 LEAST_SHARE = 0.8
@@ -37,30 +42,31 @@ _SCHEMA = pa.schema(
 )
 
 
-def seeds(words: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per mask the hash at every position; one exact seed where no mask fits."""
-    out = []
-    for k, mask in enumerate(MASKS):
-        kept = [i for i, c in enumerate(mask) if c == "1"]
-        n = len(words) - len(mask) + 1
-        if n <= 0:
-            out.append(np.zeros(0, np.uint64))
-            continue
-        factors = tokens.stream(100 + k, len(kept) + 1) | np.uint64(1)
-        total = words[kept[0] : kept[0] + n] * factors[0]
-        for j, at in enumerate(kept[1:], 1):
-            total += words[at : at + n] * factors[j]
-        total += factors[len(kept)]
-        out.append(tokens.mix(total))
-    return out
+def masks_of(item_words: int) -> tuple[str, ...]:
+    """The masks by which an item of so many words is found; below 5 words none may differ."""
+    if item_words < 5:
+        return ("1" * item_words,) if item_words else ()
+    if item_words < 10:
+        return ONE_MISS
+    return MASKS if item_words >= LONG else MASKS + TWO_MISSES
 
 
-def short_seeds(words: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of whole runs, for items shorter than every mask."""
-    return tokens.windows(words, size, seed=200)
+#: Items from here on have the same masks.
+LONG = 14
 
 
-SHORTEST = min(map(len, MASKS))
+def seeds(words: np.ndarray, mask: str) -> np.ndarray:
+    """The mask's hash at every position, none in texts shorter than it."""
+    kept = [i for i, c in enumerate(mask) if c == "1"]
+    n = len(words) - len(mask) + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    factors = tokens.stream(int(mask, 2) + 100, len(kept) + 1) | np.uint64(1)
+    total = words[kept[0] : kept[0] + n] * factors[0]
+    for j, at in enumerate(kept[1:], 1):
+        total += words[at : at + n] * factors[j]
+    total += factors[len(kept)]
+    return tokens.mix(total)
 
 
 def least_matches(item_words: int) -> int:
@@ -111,24 +117,17 @@ class Index:
 
     def __init__(self, items: list[np.ndarray]) -> None:
         self.items = items
-        lists = [([], [], []) for _ in MASKS]
-        short: dict[int, tuple[list, list, list]] = {}
+        lists: dict[str, tuple[list, list, list]] = {}
         for i, words in enumerate(items):
-            if len(words) < SHORTEST:
-                if len(words):
-                    where = short.setdefault(len(words), ([], [], []))
-                    for column, value in zip(where, (short_seeds(words, len(words)), [i], [0]), strict=True):
-                        column.append(np.asarray(value))
-                continue
-            for where, found in zip(lists, seeds(words), strict=True):
-                for column, value in zip(where, (found, np.full(len(found), i), np.arange(len(found))), strict=True):
-                    column.append(value)
-        self.masks = [self._table(where) for where in lists]
-        self.short = {n: self._table(where) for n, where in short.items()}
+            for mask in masks_of(len(words)):
+                found = seeds(words, mask)
+                if len(found):
+                    where = lists.setdefault(mask, ([], [], []))
+                    for column, value in zip(where, (found, np.full(len(found), i), np.arange(len(found))), strict=True):
+                        column.append(value)
+        self.tables = {mask: self._table(where) for mask, where in lists.items()}
 
     def _table(self, where: tuple[list, list, list]):
-        if not where[0]:
-            return None
         hashes, item, at = (np.concatenate(c) for c in where)
         order = np.argsort(hashes, kind="stable")
         bits = np.zeros(1 << self.BITS, bool)
@@ -137,12 +136,8 @@ class Index:
 
     def hits(self, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(position in ``words``, item, position in the item) of all equal seeds."""
-        tables = list(zip(self.masks, seeds(words), strict=True))
-        tables += [(t, short_seeds(words, n)) for n, t in self.short.items()]
-        for table, found in tables:
-            if table is None or not len(found):
-                continue
-            hashes, item, at, bits = table
+        for mask, (hashes, item, at, bits) in self.tables.items():
+            found = seeds(words, mask)
             place = np.flatnonzero(bits[found >> np.uint64(64 - self.BITS)])
             low = np.searchsorted(hashes, found[place], "left")
             n = np.searchsorted(hashes, found[place], "right") - low
@@ -180,8 +175,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_SCHEMA)
 
 
-def _emit_seeds(key: str, out: str, item_side: bool):
-    """(seed, key, position) rows for the join by shuffle; seeds of all masks and lengths."""
+def _emit_seeds(key: str, out: str, masks: list[str] | None = None):
+    """(seed, key, position) rows for the join by shuffle; by an item's own masks if none are given."""
     schema = pa.schema([("seed", pa.int64()), (out, pa.int64()), ("at", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,13 +186,8 @@ def _emit_seeds(key: str, out: str, item_side: bool):
                 words, first = tokens.word_hashes(part, tokens.PUNCTUATION)
                 for d in range(len(part)):
                     own = words[first[d] : first[d + 1]]
-                    if item_side and len(own) < SHORTEST:
-                        lists = [short_seeds(own, len(own))] if len(own) else []
-                    else:
-                        lists = seeds(own)
-                        if not item_side:
-                            lists += [short_seeds(own, n) for n in range(1, SHORTEST)]
-                    for found in lists:
+                    for mask in masks_of(len(own)) if masks is None else masks:
+                        found = seeds(own, mask)
                         if len(found):
                             arrays = [
                                 pa.array(found.view(np.int64)),
@@ -226,8 +216,10 @@ def _by_shuffle(docs: DataFrame, items: DataFrame) -> DataFrame:
     store = Store(docs.sparkSession)
     docs = store.put("numbered", docs.withColumn("row", F.monotonically_increasing_id()))
     items = store.put("items", items.withColumn("item", F.monotonically_increasing_id()))
-    wanted = items.mapInArrow(_emit_seeds("item", "item", True), "seed long, item long, at long")
-    there = docs.mapInArrow(_emit_seeds("row", "row", False), "seed long, row long, at long")
+    lengths = items.select(F.least(_word_count(), F.lit(LONG)).alias("n")).distinct().collect()
+    masks = sorted({mask for r in lengths for mask in masks_of(r["n"])})
+    wanted = items.mapInArrow(_emit_seeds("item", "item"), "seed long, item long, at long")
+    there = docs.mapInArrow(_emit_seeds("row", "row", masks), "seed long, row long, at long")
     hits = (
         there.withColumnRenamed("at", "doc_at").join(wanted, "seed")
         .groupBy("row", "item").agg(F.collect_set(F.col("doc_at") - F.col("at")).alias("diagonals"))
@@ -239,10 +231,14 @@ def _by_shuffle(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def _word_count() -> Column:
+    return F.regexp_count("text", F.lit(r"[A-Za-z0-9\x80-\x{10FFFF}]+"))
+
+
 def _index(benchmark: DataFrame, most_words: int) -> tuple[DataFrame, Index | None, list]:
     """The items with text, and their index if it is small enough for every task."""
     items = benchmark.select(F.col("item_id").cast("long"), "text").where("text is not null")
-    words = items.agg(F.sum(F.regexp_count("text", F.lit(r"[A-Za-z0-9\x80-\x{10FFFF}]+")))).first()[0]
+    words = items.agg(F.sum(_word_count())).first()[0]
     if (words or 0) > most_words:
         return items, None, []
     rows = items.collect()
@@ -258,7 +254,8 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, most_words: int = BROAD
     doc_id, item_id, item_words, matched_words, and the overlap's first word in the
     document and in the item and its length (words from 0).  An overlap needs 12
     matching words, or 80 percent of a shorter item, in a stretch of which they make up
-    80 percent.  Null and wordless texts on either side overlap with
+    80 percent.  Every such overlap is found: of a shorter item no word may differ below 5
+    words, one from 5 to 9, two from 10 to 14.  Null and wordless texts on either side overlap with
     nothing; repeated rows give repeated rows; null ids are kept as null; other columns
     are ignored; empty tables give an empty result.
 

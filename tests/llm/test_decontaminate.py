@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -100,3 +101,47 @@ def test_exact_start_of_an_edited_passage_is_found(spark):
     for most in (10**6, 0):
         row = decontaminate.find_overlaps(docs, items, most).first()
         assert row.item_id == 7 and row.matched_words >= 20 and row.matched_words >= 0.8 * row.overlap_words
+
+
+def leaves_seed(same, masks):
+    return any(all(same[s + i] for i, c in enumerate(m) if c == "1") for m in masks for s in range(len(same) - len(m) + 1))
+
+
+@pytest.mark.parametrize("n", range(1, 17))
+def test_every_allowed_pattern_leaves_a_seed(n):
+    for misses in range(n - decontaminate.least_matches(n) + 1):
+        for gone in combinations(range(n), misses):
+            same = np.array([i not in gone for i in range(n)])
+            if decontaminate.best_stretch(same, decontaminate.least_matches(n)):
+                assert leaves_seed(same, decontaminate.masks_of(n)), gone
+
+
+def test_no_stretch_of_a_long_item_is_without_a_seed():
+    """The best sum of stretches without seeds, by length and last words; longer ones are put together of these."""
+    keep = max(map(len, decontaminate.MASKS))
+    state = np.arange(1 << keep)
+    bad = np.zeros(1 << keep, bool)
+    for mask in decontaminate.MASKS:
+        bad |= state & int(mask, 2) == int(mask, 2)
+    best = np.full(1 << keep, -10_000)
+    best[0] = 0
+    for length in range(1, 30):
+        before = np.maximum(best[state >> 1], best[(state >> 1) | (1 << (keep - 1))])
+        best = np.where(bad, -10_000, before + np.where(state & 1, 1, -decontaminate.PENALTY))
+        if length >= 15:
+            assert best.max() < 0
+        elif length >= 12:
+            assert (best.max() + 4 * length) / 5 < 12
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_short_items_with_replaced_words_are_found(spark, most):
+    items, docs, expected = [], [], set()
+    for n, gone in ((5, [2]), (6, [3]), (7, [2]), (8, [4]), (9, [4]), (10, [2, 6]), (11, [3, 7]), (12, [3, 7])):
+        words = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(words), None))
+        docs.append((n, "before " + " ".join("other" if i in gone else w for i, w in enumerate(words)) + " after", None, None))
+        docs.append((100 + n, " ".join("other" if i in (0, n // 2, n - 1) else w for i, w in enumerate(words)), None, None))
+        expected.add((n, n))
+    out = decontaminate.find_overlaps(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), most).collect()
+    assert {(r.doc_id, r.item_id) for r in out} == expected
