@@ -3,7 +3,7 @@
 The formats of labelled credentials are inferred: a prefix tree of each kind's strings is
 generalised by merging states whose outgoing and stopping frequencies agree within
 Hoeffding's bound, which leaves a probabilistic automaton per kind.  Every candidate in a
-text, a run of credential characters outside the fixed patterns' finds, is scored by
+text, what the fixed patterns' finds leave of a run of credential characters, is scored by
 each automaton against an automaton-free model of ordinary tokens.
 """
 
@@ -35,6 +35,9 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 _PIECE = re.compile(r"[A-Za-z0-9+_-]{16,}")
+#: Characters of a candidate; and those that join pieces, though credentials may hold them.
+LEAST = 16
+_JOINERS = "+_-"
 
 #: Publicly documented credential formats, fixed values: prefix, alphabet, length of the rest.
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -273,7 +276,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, common: int = ORDINARY) -> Mode
                     continue
                 spans = base_spans(text)
                 found |= {(KINDS[k], v) for _, k, _, v in spans if len(v) <= LONGEST}
-                found |= {("other", text[a:b]) for a, b in _candidates(text, spans) if b - a <= LONGEST}
+                found |= {("other", text[a:b]) for (a, b), *_ in _candidates(text, spans) if b - a <= LONGEST}
             kinds, values = zip(*sorted(found), strict=True) if found else ([], [])
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string())], names=["kind", "value"])
 
@@ -290,20 +293,52 @@ def train(docs: DataFrame, sample: int = SAMPLE, common: int = ORDINARY) -> Mode
     return learn(labelled | drawn(), other)
 
 
-def _candidates(text: str, spans: list[tuple[int, int, int, str]]) -> list[tuple[int, int]]:
-    """Runs of credential characters, and their pieces, that no fixed find touches.
+def _rests(start: int, stop: int, spans: list[tuple[int, int, int, str]]) -> list[tuple[int, int, bool, bool]]:
+    """What fixed finds leave of a run, and whether one of them ends before or starts after it."""
+    out, at, cut = [], start, False
+    for x, _, y, _ in spans:
+        if start < y and x < stop and y > at:
+            if x > at:
+                out.append((at, x, cut, True))
+            at, cut = y, True
+    return [*out, (at, stop, cut, False)] if at < stop else out
+
+
+def _trimmed(text: str, a: int, b: int, left: bool, right: bool) -> Iterator[tuple[int, int]]:
+    """A part, then the part without joining characters beside fixed finds, each number of them."""
+    value = text[a:b]
+    most = len(value) - len(value.lstrip(_JOINERS)) if left else 0
+    last = len(value) - len(value.rstrip(_JOINERS)) if right else 0
+    for i in range(most + 1):
+        for j in range(last + 1):
+            if b - j - a - i < LEAST:
+                break
+            yield a + i, b - j
+
+
+def _candidates(text: str, spans: list[tuple[int, int, int, str]]) -> Iterator[list[tuple[int, int]]]:
+    """Runs of credential characters, or what fixed finds leave of them, and their pieces.
 
-    A run is followed by its pieces between ``=``, ``/`` and ``.``, if it has any.
+    A run is followed by its pieces between ``=``, ``/`` and ``.``, if it has any.  Each is
+    a list: itself, then, beside a fixed find, itself without the characters that join them.
     """
-    out = []
+    low = 0
     for m in _RUN.finditer(text):
-        start, stop = m.span()
-        if any(start < y and x < stop for x, _, y, _ in spans):
-            continue
-        out.append((start, stop))
-        pieces = [(start + p.start(), start + p.end()) for p in _PIECE.finditer(m.group())]
-        out += [p for p in pieces if p != (start, stop)]
-    return out
+        while low < len(spans) and spans[low][2] <= m.start():
+            low += 1
+        near = []
+        for span in spans[low:]:
+            if span[0] >= m.end():
+                break
+            near.append(span)
+        for start, stop, left, right in _rests(*m.span(), near):
+            if stop - start < LEAST:
+                continue
+            yield list(_trimmed(text, start, stop, left, right))
+            for p in _PIECE.finditer(text, start, stop):
+                if p.span() != (start, stop):
+                    first, last = not text[start : p.start()].strip("=/."), not text[p.end() : stop].strip("=/.")
+                    yield list(_trimmed(text, *p.span(), left and first, right and last))
 
 
 def spans_of(text: str | None, model: Model | None) -> list[tuple[int, int, str]]:
@@ -314,10 +349,11 @@ def spans_of(text: str | None, model: Model | None) -> list[tuple[int, int, str]
     found = [(a, k, b) for a, k, b, _ in base]
     if model is not None:
         done = 0
-        for a, b in _candidates(text, base):
-            if a >= done and model.is_secret(text[a:b]):
-                found.append((a, len(KINDS), b))
-                done = b
+        for forms in _candidates(text, base):
+            for a, b in forms:
+                if a >= done and model.is_secret(text[a:b]):
+                    found.append((a, len(KINDS), b))
+                    done = b
     names = (*KINDS, GRAMMAR)
     return [(a, b, names[k]) for a, k, b in sorted(found)]
 

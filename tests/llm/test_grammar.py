@@ -81,3 +81,24 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], DOCS)
     assert grammar.find(empty, grammar.train(empty)).collect() == []
     assert grammar.redact(empty, None).collect() == []
+
+
+def test_credentials_joined_to_fixed_finds_are_found(model):
+    rng = random.Random(12)
+    letters = grammar.LOWER + grammar.UPPER + grammar.DIGITS
+    draw = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    bases = [lambda: "AKIA" + draw(grammar.UPPER + grammar.DIGITS, 16), lambda: draw(HEX, 40)]
+    others = [lambda: "ghp_" + draw(letters, 36), lambda: "glpat-" + draw(letters, 20), lambda: "npm_" + draw(letters, 36), lambda: "sk_live_" + draw(letters, 24)]
+    found, total = 0, 0
+    for joint in ("/", ".", "=", "-", "_", "+", "--", "=-"):
+        for first in bases:
+            for other in others:
+                for _ in range(4):
+                    secret, fixed, last = other(), first(), other()
+                    text = f"see {fixed}{joint}{secret} and {last}{joint}{first()} end"
+                    spans = grammar.spans_of(text, model)
+                    assert sum(kind != grammar.GRAMMAR for *_, kind in spans) == 2
+                    found += sum((text.index(s), text.index(s) + len(s), grammar.GRAMMAR) in spans for s in (secret, last))
+                    total += 2
+    assert found >= 0.9 * total
+    assert grammar.spans_of(f"see {draw(HEX, 40)}/ordinarywordsofsomelength end", model)[1:] == []
