@@ -1,5 +1,7 @@
+import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from loanlens.llm import urls
@@ -65,3 +67,25 @@ def test_word_counts_and_odds(spark):
 def test_empty_table(spark):
     assert urls.judge(spark.createDataFrame([], SCHEMA)).collect() == []
     assert spark.range(1).select(urls.host_of(F.lit(None).cast("string"))).first()[0] == ""
+
+
+@pytest.mark.parametrize("held", [urls.HELD_BYTES, 0])
+def test_rare_words_and_tokens_count(spark, held):
+    """60,000 words and tokens more frequent than those that decide."""
+    rng = random.Random(2)
+    many = ["".join(rng.choice("abcdefghijklm") for _ in range(9)) for _ in range(60_000)]
+    rows = [(i, f"http://x{i}.org/fr/" + "/".join(many[i * 100 : i * 100 + 100]), " ".join(many[i * 100 : i * 100 + 100]), None, None) for i in range(600)]
+    rows += [(1000, "http://a.net/zzqwert/", "zzqwert", None, None), *((1001 + i, "http://b.org/fr/yyqwert/", "yyqwert", None, None) for i in range(4))]
+    rows += [(2000, "http://c.example.com/" + "zzqwert" * 4, None, None, None), (2001, "http://c.example.com/" + "yyqwert" * 4, None, None, None), (2002, "http://c.example.com/", None, None, None)]
+    out = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows, SCHEMA), held_bytes=held).collect()}
+    assert len(out) == len(rows)
+    assert out[2000].score > out[2002].score > out[2001].score
+
+
+def test_joined_odds_equal_held_ones(spark):
+    rows = [(i, u, "<p>cheap pills spam farm good words</p>", None, "x") for i, u in enumerate(CASES * 3)] + [(None, None, None, None, None)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    key = lambda r: (-1 if r.page_id is None else r.page_id)
+    one, two = (sorted(urls.judge(frame, held_bytes=b).collect(), key=key) for b in (urls.HELD_BYTES, 0))
+    assert [r[:5] for r in one] == [r[:5] for r in two]
+    assert all(abs(a.score - b.score) < 1e-9 for a, b in zip(one, two, strict=True))
