@@ -55,8 +55,6 @@ FORMATS = (
 #: Strings drawn per format, and at most so many strings per kind found in documents.
 DRAWN = 200
 SAMPLE = 1000
-#: Ordinary tokens that the comparison model sees at most.
-ORDINARY = 20_000
 #: Confidence of the merge test, and the share of own strings an automaton may miss.
 ALPHA = 0.05
 MISSED = 0.02
@@ -211,14 +209,18 @@ class Ordinary:
         return total + self.pair[before, END]
 
 
-def ordinary(strings: list[str]) -> Ordinary:
-    counts = np.ones((END + 1, END + 1))
-    for text in strings:
-        before = END
-        for c in text:
-            counts[before, _GROUP[c]] += 1
-            before = _GROUP[c]
-        counts[before, END] += 1
+def count_pairs(counts: np.ndarray, text: str) -> None:
+    """Adds a token's pairs of character groups, with its start and end, to ``counts``."""
+    before = END
+    for c in text:
+        counts[before, _GROUP[c]] += 1
+        before = _GROUP[c]
+    counts[before, END] += 1
+
+
+def ordinary(pairs: np.ndarray) -> Ordinary:
+    """The model of counted pairs, each counted once more."""
+    counts = pairs + 1.0
     return Ordinary(np.log(counts / counts.sum(axis=1, keepdims=True)))
 
 
@@ -244,8 +246,11 @@ def drawn(seed: int = 11) -> dict[str, list[str]]:
     return out
 
 
-def learn(labelled: dict[str, list[str]], common: list[str]) -> Model:
-    """One automaton per kind; every fifth string sets what the automaton must accept."""
+def learn(labelled: dict[str, list[str]], pairs: np.ndarray) -> Model:
+    """One automaton per kind; every fifth string sets what the automaton must accept.
+
+    ``pairs`` are the pair counts of ordinary tokens.
+    """
     automata = []
     for kind in sorted(labelled):
         strings = [s for s in sorted(set(labelled[kind])) if s and len(s) <= LONGEST and all(c in _GROUP for c in s)]
@@ -257,40 +262,45 @@ def learn(labelled: dict[str, list[str]], common: list[str]) -> Model:
         if len(fits) >= (1 - 5 * MISSED) * len(kept):
             automaton.least = float(np.quantile(fits, MISSED)) - 0.2
             automata.append(automaton)
-    return Model(automata, ordinary(common))
+    return Model(automata, ordinary(pairs))
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, common: int = ORDINARY) -> Model:
+def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Formats of the documented kinds and of the values found in documents.
 
-    A bounded sample is collected: per kind at most ``sample`` distinct values of the
-    fixed patterns, and ``common`` of a sixteenth of the other tokens of 16 or more
-    characters, each time those with the smallest hashes.
+    Per kind at most ``sample`` distinct values of the fixed patterns are collected, those
+    with the smallest hashes.  Pairs of character groups are counted in the tasks, over
+    all other tokens of 16 or more characters as often as they stand in all documents.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = set()
+            pairs = np.zeros((END + 1, END + 1), np.int64)
             for text in batch.column("text").to_pylist():
                 if not text:
                     continue
                 spans = base_spans(text)
-                found |= {(KINDS[k], v) for _, k, _, v in spans if len(v) <= LONGEST}
-                found |= {("other", text[a:b]) for (a, b), *_ in _candidates(text, spans) if b - a <= LONGEST}
-            kinds, values = zip(*sorted(found), strict=True) if found else ([], [])
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string())], names=["kind", "value"])
-
-    seen = docs.select("text").mapInArrow(run, "kind string, value string")
-    order = F.xxhash64("value")
+                found |= {(KINDS[k], v, 0) for _, k, _, v in spans if len(v) <= LONGEST}
+                for (a, b), *_ in _candidates(text, spans):
+                    if b - a <= LONGEST:
+                        count_pairs(pairs, text[a:b])
+            rows = sorted(found) + [("pair", str(i), int(n)) for i, n in enumerate(pairs.flat) if n]
+            arrays = [pa.array([r[i] for r in rows], pa.int64() if i == 2 else pa.string()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["kind", "value", "n"])
+
+    seen = docs.select("text").mapInArrow(run, "kind string, value string, n long")
     store = Store(docs.sparkSession)
-    thin = store.put("tokens", seen.where((F.col("kind") != "other") | (F.pmod(order, F.lit(16)) == 0)).distinct())
+    seen = store.put("tokens", seen.groupBy("kind", "value").agg(F.sum("n").alias("n")))
     labelled: dict[str, list[str]] = {}
-    for kind, most in [*((k, sample) for k in KINDS), ("other", common)]:
-        rows = thin.where(F.col("kind") == kind).orderBy(order, "value").limit(most).collect()
+    for kind in KINDS:
+        rows = seen.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(sample).collect()
         labelled[kind] = [r["value"] for r in rows]
+    pairs = np.zeros((END + 1) ** 2)
+    for r in seen.where("kind = 'pair'").collect():
+        pairs[int(r["value"])] = r["n"]
     store.drop("tokens")
-    other = labelled.pop("other")
-    return learn(labelled | drawn(), other)
+    return learn(labelled | drawn(), pairs.reshape(END + 1, END + 1))
 
 
 def _rests(start: int, stop: int, spans: list[tuple[int, int, int, str]]) -> list[tuple[int, int, bool, bool]]:

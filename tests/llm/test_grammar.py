@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from loanlens.llm import grammar
@@ -102,3 +103,15 @@ def test_credentials_joined_to_fixed_finds_are_found(model):
                     total += 2
     assert found >= 0.9 * total
     assert grammar.spans_of(f"see {draw(HEX, 40)}/ordinarywordsofsomelength end", model)[1:] == []
+
+
+def test_every_ordinary_token_counts(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choice(grammar.LOWER + "/-") for _ in range(20)) + "g" for _ in range(30)]
+    texts = [f"a {w} b {w} c" for w in words]
+    pairs = np.zeros((grammar.END + 1, grammar.END + 1))
+    for text in texts:
+        for (a, b), *_ in grammar._candidates(text, []):
+            grammar.count_pairs(pairs, text[a:b])
+    docs = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(texts)], DOCS).repartition(5)
+    assert pairs.sum() >= 60 * 22 and np.array_equal(grammar.train(docs).rest.pair, grammar.ordinary(pairs).pair)
