@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from loanlens.llm import (
     grammar,
     language,
     mixing,
+    packing,
     set_join,
     toxicity,
     urls,
@@ -95,6 +97,16 @@ def op10_url_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op12_square_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids in sequences of 1024, with a digest of each piece."""
+    pieces = packing.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_forest": op1_hash_forest,
     "op2_language_id": op2_language_id,
@@ -106,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_seekable_warc": op8_seekable_warc,
     "op9_toxicity_pu": op9_toxicity_pu,
     "op10_url_segments": op10_url_segments,
+    "op12_square_packing": op12_square_packing,
 }
 
 ORACLE = {
