@@ -17,6 +17,8 @@ from loanlens.llm import (
     language,
     mixing,
     packing,
+    phrases,
+    runs,
     set_join,
     toxicity,
     urls,
@@ -97,6 +99,47 @@ def op10_url_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` with the texts of a tenth, by a hash of the id, repeating from a word on.
+
+    With h the CRC-32 of the decimal id and g = h div 10, a text of n words with h
+    divisible by 10 repeats its 1 + (n - a) div (3 + g % 8) words from word a = g % n.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    repeated = F.expr(r"""
+        transform(transform(transform(array(
+            regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)),
+            w -> named_struct('w', w, 'a', if(size(w) > 0, int(_g % size(w)), 0))),
+            s -> named_struct('w', s.w, 'a', s.a, 'p', int(1 + (size(s.w) - s.a) div (3 + _g % 8)))),
+            s -> array_join(transform(s.w, (x, i) -> if(i < s.a, x, s.w[s.a + (i - s.a) % s.p])), ' '))[0]
+    """)
+    hashed = docs.select("doc_id", "text", h.alias("_h"), F.floor(h / 10).alias("_g"))
+    text = F.when(F.col("_h") % 10 == 0, repeated).otherwise(F.col("text"))
+    return hashed.select("doc_id", text.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All periodic runs of every document, the strongest, and the text without repeats."""
+    found = runs.find_runs(_with_planted_runs(table(spark, sf_dir, "documents")))
+    stronger = F.aggregate(
+        "runs",
+        F.get("runs", F.lit(0)),
+        lambda held, run: F.when(run["length"] * held["period"] > held["length"] * run["period"], run).otherwise(held),
+    )
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.transform(line, lambda text: F.concat(text, F.lit("\n")))
+    return found.withColumn("best", stronger).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_square_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids in sequences of 1024, with a digest of each piece."""
     pieces = packing.pack(
@@ -107,6 +150,11 @@ def op12_square_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_forest": op1_hash_forest,
     "op2_language_id": op2_language_id,
@@ -118,10 +166,104 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_seekable_warc": op8_seekable_warc,
     "op9_toxicity_pu": op9_toxicity_pu,
     "op10_url_segments": op10_url_segments,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_square_packing": op12_square_packing,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE = {
+    "op13_collocations": r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), split AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang
+), grams AS (
+    SELECT lang, k, phrase, count(*) AS a
+    FROM (SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+          FROM split, (VALUES (1), (2), (3)) AS sizes(k))
+    GROUP BY lang, k, phrase HAVING count(*) >= 10
+), candidates AS (
+    SELECT *, str_split(phrase, ' ') AS parts FROM grams WHERE k > 1
+), cuts AS (
+    SELECT lang, k, phrase, a, cut, array_to_string(parts[1:cut], ' ') AS head, array_to_string(parts[cut + 1:], ' ') AS tail
+    FROM candidates, (VALUES (1), (2)) AS places(cut) WHERE cut < k
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, c.cut, x.a AS l, y.a AS r,
+           ((1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a))::BIGINT AS score
+    FROM cuts c JOIN grams x ON c.lang = x.lang AND c.head = x.phrase JOIN grams y ON c.lang = y.lang AND c.tail = y.phrase
+), weakest AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM scored
+), longer AS (
+    SELECT lang, part, max(a) AS a
+    FROM (SELECT lang, a, unnest([array_to_string(parts[1:2], ' '), array_to_string(parts[2:3], ' ')]) AS part
+          FROM candidates WHERE k = 3)
+    GROUP BY lang, part
+), kept AS (
+    SELECT w.* FROM weakest w LEFT JOIN longer g ON w.lang = g.lang AND w.phrase = g.part
+    WHERE w.place = 1 AND (g.a IS NULL OR 100 * g.a < 50 * w.a)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT k.lang, k.rank, k.phrase, k.a, k.l, k.r, t.n, k.score FROM ranked k JOIN totals t ON k.lang = t.lang WHERE k.rank <= 2000
+""",
+    "op11_periodic_runs": r"""
+WITH RECURSIVE bits AS (
+    SELECT DISTINCT doc_id, doc_id::VARCHAR AS s, 0 AS k, 4294967295::BIGINT AS c FROM documents WHERE doc_id IS NOT NULL
+    UNION ALL
+    SELECT doc_id, s, k + 1, CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END
+    FROM (SELECT *, CASE WHEN k % 8 = 0 THEN xor(c, ascii(substr(s, k // 8 + 1, 1))::BIGINT) ELSE c END AS x
+          FROM bits WHERE k < 8 * length(s))
+), hashes AS (
+    SELECT doc_id, xor(c, 4294967295::BIGINT) AS h FROM bits WHERE k = 8 * length(s)
+), split AS (
+    SELECT d.doc_id, coalesce(h.h, 1) AS h, coalesce(h.h, 1) // 10 AS g,
+           coalesce(regexp_extract_all(d.text, '[^\x20\x09-\x0D]+'), []) AS w
+    FROM documents d LEFT JOIN hashes h ON d.doc_id = h.doc_id
+), placed AS (
+    SELECT *, len(w) AS n, CASE WHEN len(w) > 0 THEN g % len(w) ELSE 0 END AS a FROM split
+), texts AS (
+    SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+        THEN [w[1 + CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END] FOR i IN range(n)]
+        ELSE w END AS w
+    FROM placed
+), places AS (
+    SELECT doc_id, n, w, unnest(range(n - 15)) AS i FROM texts WHERE n >= 24
+), grams AS (
+    SELECT doc_id, n, i, array_to_string(w[i + 1:i + 16], ' ') AS gram FROM places
+), matched AS (
+    SELECT x.doc_id, y.i - x.i AS q, x.i
+    FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i AND 3 * (y.i - x.i) <= x.n
+), islands AS (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM matched
+), stretches AS (
+    SELECT doc_id, q, min(i) AS start, max(i) + 16 + q - min(i) AS length FROM islands GROUP BY doc_id, q, island
+), runs AS (
+    SELECT doc_id, start, length, min(q) AS period FROM stretches
+    WHERE length >= greatest(24, 3 * q) GROUP BY doc_id, start, length
+), listed AS (
+    SELECT doc_id, count(*) AS n_runs,
+           first(struct_pack(s := start, l := length, p := period) ORDER BY length / period DESC, start, period) AS best,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+    FROM runs GROUP BY doc_id
+), words AS (
+    SELECT doc_id, unnest(range(n)) AS i, unnest(w) AS word FROM texts WHERE doc_id IN (SELECT doc_id FROM runs)
+), collapsed AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words
+    WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = words.doc_id
+                      AND words.i >= r.start + r.period AND words.i < r.start + r.length)
+    GROUP BY doc_id
+)
+SELECT t.doc_id, coalesce(l.n_runs, 0)::BIGINT AS n_runs, l.best.s::BIGINT AS start, l.best.l::BIGINT AS length,
+       l.best.p::BIGINT AS period, (1000 * l.best.l // l.best.p)::BIGINT AS exponent_milli,
+       sha256(coalesce(l.lines, '')) AS runs_sha256,
+       sha256(CASE WHEN l.doc_id IS NULL THEN array_to_string(t.w, ' ') ELSE c.text END) AS collapsed_sha256
+FROM texts t LEFT JOIN listed l ON t.doc_id = l.doc_id LEFT JOIN collapsed c ON t.doc_id = c.doc_id
+""",
     "op7_tool_chat": r"""
 WITH events AS (
     SELECT conv_id, turn, role, text,

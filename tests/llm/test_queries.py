@@ -23,7 +23,7 @@ def test_query_equals_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE)))
 def test_one_row_per_row(spark, name):
-    sources = {"op1": None, "op5": None, "op10": "pages", "op12": None}
+    sources = {"op1": None, "op5": None, "op10": "pages", "op12": None, "op13": None}
     rows = catalog.QUERIES[name](spark, SF).count()
     source = sources.get(name.split("_")[0], "documents")
     assert rows > 0 and (source is None or rows == catalog.table(spark, SF, source).count())
