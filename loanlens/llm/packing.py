@@ -10,101 +10,187 @@ as sequences whose lengths are powers of two, so no window is padded.
 
 from __future__ import annotations
 
-import re
-from array import array
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+
+from loanlens.llm import tokens
 
 WINDOW = 1024
 END = 0
 #: Open windows of a task; when there are more they fill each other up at once.
 MOST_OPEN = 4096
-#: Distinct chunks whose ids a Python worker remembers before it starts anew.
-MOST_CHUNKS = 400_000
-#: Characters cut into chunks at a time, and the longest chunk that is remembered.
-SLICE = 1 << 20
-LONGEST_CHUNK = 64
+#: Bytes of text tokenised at once; slots of the table of known chunks; ids it may hold.
+SLICE = 1 << 22
+SLOTS = 1 << 20
+MOST_IDS = 1 << 23
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 )
 
-# A chunk ends only between a character that is no white space and a space.  Byte-level
-# tokenizers cut their input there as well, so a chunk's ids do not depend on the rest.
-_CHUNK = re.compile(r"\s*\S+(?:(?! )\s+\S*)*|\s+")
-_CUT = re.compile(r"\S(?= )")
+#: How byte-level tokenizer files cut a text before they merge bytes.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Bytes that such files write as themselves, others as 256 and up in order.
+PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+
+_BLANK = np.zeros(256, bool)
+_BLANK[[*range(9, 14), *range(28, 33)]] = True
+# The last byte, and the one before, of white space beyond ASCII.
+_LATE_BLANK, _BEFORE_BLANK = np.zeros(256, bool), np.zeros(256, bool)
+_LATE_BLANK[[*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = True
+_BEFORE_BLANK[[0x80, 0x81, 0x9A, 0xC2]] = True
+_KEPT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def _ranks(path: str) -> dict[bytes, int]:
+    """Bytes and id of every token of a byte-level BPE file whose ids are merge ranks."""
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    if content["normalizer"] or content["pre_tokenizer"] != {
+        "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True,
+    }:
+        raise ValueError(f"not a plain byte-level tokenizer: {path}")
+    rest = [b for b in range(256) if b not in set(PRINTED)]
+    byte = {chr(b): b for b in PRINTED} | {chr(256 + k): b for k, b in enumerate(rest)}
+    vocabulary = content["model"]["vocab"]
+    merged = [m if isinstance(m, list) else m.split(" ") for m in content["model"]["merges"]]
+    places = [vocabulary["".join(pair)] for pair in merged]
+    if any(a >= b for a, b in zip(places, places[1:], strict=False)):
+        raise ValueError(f"ids are not in the order of merges: {path}")
+    special = {token["content"] for token in content["added_tokens"]}
+    return {bytes(byte[c] for c in token): k for token, k in vocabulary.items() if token not in special}
 
 
 class Encoder:
-    """Ids of texts; each distinct chunk is tokenised once while it is remembered.
+    """Ids of texts by a tokenizer file; special tokens in a text are ordinary text.
 
-    Special tokens in a text are ordinary text.
+    A text may be cut between a character that is no white space and a space, since the
+    pattern cuts there whatever comes before and after.  The bytes of such a chunk, up
+    to 16, are looked up as two integers in a table of chunks whose ids are known, all
+    chunks of many texts at once; only those not found are merged byte by byte.
     """
 
     def __init__(self, path: str) -> None:
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        ranks = _ranks(path)
+        self.merge = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.widths = np.zeros(max(ranks.values()) + 1, np.int64)
+        for token, k in ranks.items():
+            self.widths[k] = len(token)
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat = array("I")
-        self.ends = array("q", [0])
-
-    def _ids(self, chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    def _learn(self, chunks: set[str]) -> None:
-        fresh = list(chunks)
-        for chunk, ids in zip(fresh, self._ids(fresh), strict=True):
-            self.known[chunk] = len(self.ends) - 1
-            self.flat.extend(ids)
-            self.ends.append(len(self.flat))
-
-    def _slice(self, text: str) -> np.ndarray:
-        chunks = _CHUNK.findall(text)
-        if max(map(len, chunks)) > LONGEST_CHUNK:
-            ordinary = [c for c in chunks if len(c) <= LONGEST_CHUNK]
-        else:
-            ordinary = chunks
-        unknown = set(ordinary).difference(self.known)
-        if len(self.known) + len(unknown) > MOST_CHUNKS:
+        self.low, self.high = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.uint64)
+        self.size, self.count = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
+        self.at = np.zeros(SLOTS, np.int64)
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+
+    def _append(self, ids: np.ndarray) -> int:
+        """Place of ``ids`` among all known ids."""
+        at, self.used = self.used, self.used + len(ids)
+        if self.used > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
+        self.flat[at : self.used] = ids
+        return at
+
+    def _merge(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and counts of the ids of chunks that can be joined to one text."""
+        sizes = ends - starts
+        before = np.cumsum(sizes) - sizes
+        joined = raw[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+        ids = np.array(self.merge.encode_ordinary(joined.tobytes().decode()), np.uint32)
+        reached = np.concatenate([[0], np.cumsum(self.widths[ids])])
+        first = np.searchsorted(reached, before)
+        return self._append(ids) + first, np.diff(np.append(first, len(ids)))
+
+    def _window(self, raw: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all bytes, and per place in ``begins`` (the first is 0) the ids before it."""
+        if self.used > MOST_IDS:
             self._forget()
-            unknown = set(ordinary)
-        if unknown:
-            self._learn(unknown)
-        if ordinary is not chunks:
-            parts, at = [], 0
-            for i in [i for i, c in enumerate(chunks) if len(c) > LONGEST_CHUNK]:
-                parts += [self._gather(chunks[at:i]), np.array(self._ids([chunks[i]])[0], np.uint32)]
-                at = i + 1
-            return np.concatenate([*parts, self._gather(chunks[at:])])
-        return self._gather(chunks)
-
-    def _gather(self, chunks: list[str]) -> np.ndarray:
-        if not chunks:
-            return np.zeros(0, np.uint32)
-        rows = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
-        ends = np.frombuffer(self.ends, np.int64)
-        lengths = ends[rows + 1] - ends[rows]
-        before = np.cumsum(lengths) - lengths
-        place = np.repeat(ends[rows] - before, lengths)
-        return np.frombuffer(self.flat, np.uint32)[place + np.arange(len(place))]
-
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of a whole text, which is read in slices."""
-        parts, at = [], 0
-        while at < len(text):
-            cut = _CUT.search(text, at + SLICE)
-            end = cut.end() if cut else len(text)
-            parts.append(self._slice(text[at:end]))
-            at = end
-        return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        cut = _cuts(raw)
+        cut[begins[begins < len(raw)]] = True
+        starts = np.flatnonzero(cut)
+        ends = np.append(starts[1:], len(raw))
+        sizes = ends - starts
+        padded = np.concatenate([raw, np.zeros(16, np.uint8)])
+        eight = np.ndarray((len(raw) + 9,), "<u8", padded.tobytes(), strides=(1,))
+        low = eight[starts] & _KEPT[np.minimum(sizes, 8)]
+        high = eight[np.minimum(starts + 8, len(raw))] & _KEPT[np.clip(sizes - 8, 0, 8)]
+        slot = (tokens.mix(low ^ tokens.mix(high + sizes.astype(np.uint64))) % np.uint64(SLOTS)).astype(np.int64)
+        at, count = self.at[slot], self.count[slot]
+        known = (self.low[slot] == low) & (self.high[slot] == high) & (self.size[slot] == sizes)
+        plain = (raw[starts] == 32) & _solid(raw, ends - 1) & (sizes <= 16)
+
+        fresh = np.flatnonzero(plain & ~known)
+        order = fresh[np.lexsort((sizes[fresh], high[fresh], low[fresh]))]
+        other = np.ones(len(order), bool)
+        other[1:] = (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0) | (np.diff(sizes[order]) != 0)
+        first = order[other]
+        if len(first):
+            places, counts = self._merge(raw, starts[first], ends[first])
+            which = np.cumsum(other) - 1
+            at[order], count[order] = places[which], counts[which]
+            into = slot[first]
+            self.low[into], self.high[into], self.size[into] = low[first], high[first], sizes[first]
+            self.at[into], self.count[into] = places, counts
+            # Of several chunks with one slot, each column holds the last one's value.
+        for i in np.flatnonzero(~plain).tolist():
+            ids = self.merge.encode_ordinary(raw[starts[i] : ends[i]].tobytes().decode())
+            at[i], count[i] = self._append(np.array(ids, np.uint32)), len(ids)
+        total = np.concatenate([[0], np.cumsum(count)])
+        place = np.repeat(at - total[:-1], count) + np.arange(int(total[-1]))
+        return self.flat[place], total[np.searchsorted(starts, begins)]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null is empty), and where each one's begin, and their end."""
+        raw, offsets = tokens.text_bytes(texts)
+        parts, bounds, low, held = [], np.zeros(len(offsets), np.int64), 0, 0
+        while low < len(raw):
+            high = _next_cut(raw, offsets, low + SLICE)
+            inside = np.flatnonzero((offsets >= low) & (offsets < high))
+            begins = np.append(offsets[inside], low) - low
+            ids, before = self._window(raw[low:high], begins)
+            bounds[inside] = held + before[:-1]
+            parts.append(ids)
+            held += len(ids)
+            low = high
+        bounds[offsets >= len(raw)] = held
+        return (np.concatenate(parts) if parts else np.zeros(0, np.uint32)), bounds
+
+
+def _solid(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the bytes at ``at`` surely end a character that is no white space."""
+    last, before = raw[at], raw[np.maximum(at - 1, 0)]
+    return ~(_BLANK[last] | (_LATE_BLANK[last] & _BEFORE_BLANK[before]))
+
+
+def _cuts(raw: np.ndarray) -> np.ndarray:
+    """Whether a chunk may begin at each byte, a space behind something else."""
+    out = raw == 32
+    places = np.flatnonzero(out)
+    places = places[places > 0]
+    out[places] = _solid(raw, places - 1)
+    out[:1] = True
+    return out
+
+
+def _next_cut(raw: np.ndarray, offsets: np.ndarray, at: int) -> int:
+    """The next place from ``at`` on where a text ends or may be cut."""
+    if at >= len(raw):
+        return len(raw)
+    end = int(offsets[np.searchsorted(offsets, at)])
+    while at < end:
+        found = np.flatnonzero(_cuts(raw[at - 4 : min(at + SLICE, end)])[4:])
+        if len(found):
+            return at + int(found[0])
+        at = min(at + SLICE, end)
+    return end
 
 
 class Packer:
@@ -242,11 +328,12 @@ def _pack(shared: Broadcast, path: str, window: int, end: int, most_open: int):
             return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                ids = encoder.encode(text.as_py() or "")
-                packer.add(doc.as_py(), np.concatenate([ids, last]))
-                if len(packer.done) >= 4096:
-                    yield ready()
+            names = batch.column("doc_id").to_pylist()
+            for first, part in tokens.pieces(batch.column("text"), SLICE):
+                ids, bounds = encoder.encode(part)
+                for k in range(len(part)):
+                    packer.add(names[first + k], np.concatenate([ids[bounds[k] : bounds[k + 1]], last]))
+                yield ready()
         packer.finish()
         yield ready()
 

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -52,15 +53,31 @@ def test_round_trip(spark, plain, window):
     check(packing.pack(docs, PATH, window).collect(), {r[0]: r[1] for r in rows}, plain, window)
 
 
-def test_chunks_slices_and_forgetting_change_no_id(plain, monkeypatch):
-    monkeypatch.setattr(packing, "SLICE", 7)
-    monkeypatch.setattr(packing, "MOST_CHUNKS", 3)
-    monkeypatch.setattr(packing, "LONGEST_CHUNK", 6)
+def encoded(encoder, texts):
+    ids, bounds = encoder.encode(pa.array(texts, pa.string()))
+    assert bounds[-1] == len(ids) and len(bounds) == len(texts) + 1
+    return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+@pytest.mark.parametrize("slice_bytes,slots,most_ids", [(1 << 22, 1 << 20, 1 << 23), (64, 16, 50), (500, 1, 1 << 23)])
+def test_ids_are_those_of_the_tokenizer(plain, monkeypatch, slice_bytes, slots, most_ids):
+    monkeypatch.setattr(packing, "SLICE", slice_bytes)
+    monkeypatch.setattr(packing, "SLOTS", slots)
+    monkeypatch.setattr(packing, "MOST_IDS", most_ids)
     encoder = packing.Encoder(PATH)
     rng = random.Random(5)
-    alphabet = "ab' .\n\t\x1c\x85  é9,日"
-    for text in [t or "" for t in TEXTS] + ["".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(3000)]:
-        assert encoder.encode(text).tolist() == plain(text), repr(text)
+    alphabet = "ab' .\n\t\x00\x1c\x85\u00a0\u1680\u2003\u2028\u202f\u205f\u3000  é9,日à٣"
+    texts = TEXTS + ["".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(3000)]
+    texts += ["".join(chr(rng.choice([rng.randrange(1, 0xD800), rng.randrange(0xE000, 0x20000)])) for _ in range(60)) for _ in range(200)]
+    expected = [plain(t) for t in texts]
+    assert encoded(encoder, texts) == expected
+    assert encoded(encoder, texts[::-1]) == expected[::-1]  # with what is known by now
+    assert encoded(encoder, []) == [] and encoded(encoder, [None, "", None]) == [[], [], []]
+
+
+def test_other_kinds_of_tokenizer_files_are_refused(tmp_path):
+    with pytest.raises(ValueError):
+        packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def test_level_minimises_the_sum_of_squares():
