@@ -52,6 +52,13 @@ def complete_folders(spark: SparkSession, path: str) -> list[PurePosixPath]:
     return [PurePosixPath(status.getPath().toUri().getPath()) for status in found or ()]
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly below a folder, none if it does not exist."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(status.getPath().getName() for status in found or ())
+
+
 @contextmanager
 def temporary(spark: SparkSession, name: str) -> Iterator[str]:
     """A new folder that is removed at the end, whether or not the work succeeded."""

@@ -4,16 +4,21 @@ The stream carries file names, not rows: each batch is a bounded list of files t
 checkpoint has not seen.  Its rows go to a folder of their own, replaced if the batch
 is repeated, so loading costs what the new files cost and never rewrites a table.
 Readers see the newest row of each business key among the files of the last delivery.
-Compaction replaces the batches so far by what readers see.  Source files are left in
-place.
+Compaction rewrites the batches so far into one folder and then writes a new version of
+the manifest, which names it; batches after those it covers are live as they are.  It
+removes nothing: a reader opened before finishes on the folders it knows, and ``vacuum``
+later removes what no kept version names.  Source files are left in place.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +28,7 @@ from loanlens import contract
 from loanlens.operators.cleanse import trim_text, warehouse_types
 from loanlens.operators.dedup import latest_per_key
 from loanlens.operators.ranking import top_n
-from loanlens.scratch import complete_folders, remove
+from loanlens.scratch import complete_folders, folders, remove
 
 LOADED, SKIPPED = "LOADED", "SKIPPED"
 
@@ -40,6 +45,8 @@ _HISTORY = (
     "_source_file string, status string, rows bigint, lost_values bigint, "
     "_loaded_at timestamp_ntz"
 )
+# One row: the compacted folder a version names, and the last batch it covers.
+_MANIFEST = "folder string, last_batch bigint"
 
 
 def _rows_dir(warehouse: str, table: str) -> str:
@@ -59,10 +66,37 @@ def _compacted_dir(warehouse: str, table: str) -> str:
     return f"{warehouse}/{table}/compacted"
 
 
-def _compacted(spark: SparkSession, warehouse: str, table: str) -> int:
-    """The last batch of the newest complete compaction, -1 without any."""
-    done = [p.parent.name for p in complete_folders(spark, _compacted_dir(warehouse, table))]
-    return max((int(name.removeprefix("upto=")) for name in done), default=-1)
+def _manifest_dir(warehouse: str, table: str) -> str:
+    return f"{warehouse}/{table}/manifest"
+
+
+class Version(NamedTuple):
+    """One version of a table's manifest: the folder that replaces batches up to one."""
+
+    number: int
+    folder: str
+    last_batch: int
+
+
+def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Sorted numbers of the complete folders ``prefix=number`` below a folder."""
+    names = [p.parent.name for p in complete_folders(spark, path)]
+    return sorted(int(n.removeprefix(prefix + "=")) for n in names)
+
+
+def versions(spark: SparkSession, warehouse: str, table: str) -> list[Version]:
+    """The complete versions of the manifest, oldest first; none before a compaction."""
+    path = _manifest_dir(warehouse, table)
+    return [
+        Version(number, row["folder"], row["last_batch"])
+        for number in _numbers(spark, path, "version")
+        for row in spark.read.schema(_MANIFEST).parquet(f"{path}/version={number}").collect()
+    ]
+
+
+def _newest(spark: SparkSession, warehouse: str, table: str) -> Version:
+    known = versions(spark, warehouse, table)
+    return known[-1] if known else Version(0, "", -1)
 
 
 def typed_rows(rows: DataFrame, table: str) -> DataFrame:
@@ -181,43 +215,94 @@ def load_star(spark: SparkSession, gold_dir: str, warehouse: str) -> None:
 
 
 def all_rows(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
-    """Every loaded row of every batch that was not compacted, and the compacted rows."""
+    """Every loaded row of every batch that was not compacted, and the compacted rows.
+
+    ``_vanished`` marks compacted rows whose file was no longer in the source then.
+    """
     fields = ", ".join(f"{f.name} {f.type}" for f in contract.WAREHOUSE[table])
     schema = f"{fields}, _loaded_at timestamp_ntz, _source_file string, batch_id bigint"
-    history = load_history(spark, warehouse, table).where(F.col("status") == LOADED)
-    loaded = history.select("batch_id", "_source_file")
-    upto = _compacted(spark, warehouse, table)
-    rows = spark.read.schema(schema).parquet(_rows_dir(warehouse, table))
-    rows = rows.where(F.col("batch_id") > upto).join(
-        loaded, ["batch_id", "_source_file"], "left_semi"
-    )
-    columns = [*contract.names(table), *_AUDIT, "batch_id"]
-    if upto < 0:
-        return rows.select(*columns)
-    done = spark.read.schema(schema).parquet(f"{_compacted_dir(warehouse, table)}/upto={upto}")
-    return rows.select(*columns).unionByName(done.select(*columns))
+    columns = [*contract.names(table), *_AUDIT, "batch_id", "_vanished"]
+    newest = _newest(spark, warehouse, table)
+    path = _rows_dir(warehouse, table)
+    live = [n for n in _numbers(spark, path, "batch_id") if n > newest.last_batch]
+    parts = []
+    if live:
+        stored = spark.read.schema(schema).option("basePath", path)
+        history = load_history(spark, warehouse, table).where(F.col("status") == LOADED)
+        rows = stored.parquet(*[f"{path}/batch_id={n}" for n in live]).join(
+            history.select("batch_id", "_source_file"), ["batch_id", "_source_file"], "left_semi"
+        )
+        parts.append(rows.withColumn("_vanished", F.lit(False)).select(*columns))
+    if newest.number:
+        done = spark.read.schema(f"{schema}, _vanished boolean")
+        folder = f"{_compacted_dir(warehouse, table)}/{newest.folder}"
+        parts.append(done.parquet(folder).select(*columns))
+    if not parts:
+        return spark.createDataFrame([], f"{schema}, _vanished boolean").select(*columns)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def compact(spark: SparkSession, warehouse: str, table: str) -> None:
-    """Replaces the batches so far by the rows that readers see of them.
+    """Rewrites the batches so far into one folder, named by a new manifest version.
 
-    The new version is complete before anything it replaces is removed, and a reader
-    takes the newest complete one.  Run it between loads.
+    No view loses a row: of files in the last delivery, the newest row of each key in
+    each file stays, since a later delivery may hold only some of them; of files that
+    had left the source, the newest row of each key, marked as vanished.  So
+    ``current_rows`` is the same before and after, with ``keep_vanished`` and without.
+    A marked row stays vanished, even if its file should come back under its old name.
+
+    The folder is complete before the version names it, and the version is swapped in
+    by one write.  Each version covers all batches up to its last, so whichever of two
+    compactions at a time comes last, its version is whole.  Nothing is removed.
     """
     handled = load_history(spark, warehouse, table).agg(F.max("batch_id")).first()[0]
-    before = _compacted(spark, warehouse, table)
-    if handled is None or handled <= before:
+    before = _newest(spark, warehouse, table)
+    if handled is None or handled <= before.last_batch:
         return
-    target = f"{_compacted_dir(warehouse, table)}/upto={handled}"
-    _visible(spark, warehouse, table).write.mode("overwrite").parquet(target)
-    rows_dir = _rows_dir(warehouse, table)
-    kind = spark.read.parquet(rows_dir).drop("batch_id").schema
-    # One empty batch stays, so that the folder can be read while no other is there.
-    spark.createDataFrame([], kind).write.mode("overwrite").parquet(f"{rows_dir}/batch_id={handled}")
-    for batch in range(max(before, 0), handled):
-        remove(spark, f"{rows_dir}/batch_id={batch}")
-    if before >= 0:
-        remove(spark, f"{_compacted_dir(warehouse, table)}/upto={before}")
+    natural, order = contract.KEYS[table][1], ["batch_id", "_loaded_at"]
+    rows = all_rows(spark, warehouse, table).where(F.col("batch_id") <= handled)
+    there = _last_delivery(spark, warehouse, table).withColumn("_there", F.lit(True))
+    marked = rows.join(there, "_source_file", "left").withColumn(
+        "_vanished", F.col("_vanished") | F.col("_there").isNull()
+    )
+    # Files count as one where they have vanished, each for itself where they have not.
+    marked = marked.drop("_there").withColumn(
+        "_scope", F.when(~F.col("_vanished"), F.col("_source_file"))
+    )
+    kept = latest_per_key(marked, [*natural, "_scope"], [*order, "_source_file"])
+    folder = f"rows-{uuid.uuid4().hex[:12]}"
+    kept.drop("_scope").write.parquet(f"{_compacted_dir(warehouse, table)}/{folder}")
+    manifest = _manifest_dir(warehouse, table)
+    # Numbers of unfinished versions are passed over.
+    taken = [int(n.removeprefix("version=")) for n in folders(spark, manifest)]
+    entry = spark.createDataFrame([(folder, handled)], _MANIFEST).coalesce(1)
+    entry.write.mode("errorifexists").parquet(f"{manifest}/version={max(taken, default=0) + 1}")
+
+
+def vacuum(spark: SparkSession, warehouse: str, table: str, keep: int = 1) -> list[str]:
+    """Removes what none of the newest ``keep`` versions needs; returns those folders.
+
+    These are batches an older compaction replaced, older compacted folders, and
+    compacted folders no version names.  Readers of kept versions are not touched.
+    Call it when no reader of an older one is left and no compaction runs.
+    """
+    known = versions(spark, warehouse, table)
+    if keep < 1 or not known:
+        return []
+    kept, gone = known[-keep:], known[:-keep]
+    rows, compacted = _rows_dir(warehouse, table), _compacted_dir(warehouse, table)
+    named = {v.folder for v in kept}
+    unused = [
+        f"{rows}/batch_id={n}"
+        for n in _numbers(spark, rows, "batch_id")
+        if n <= kept[0].last_batch
+    ]
+    unused += [f"{compacted}/{name}" for name in folders(spark, compacted) if name not in named]
+    # The old versions go first, so no reader starts from one that is half removed.
+    unused = [f"{_manifest_dir(warehouse, table)}/version={v.number}" for v in gone] + unused
+    for path in unused:
+        remove(spark, path)
+    return unused
 
 
 def _present_files(spark: SparkSession, source: str) -> DataFrame:
@@ -225,18 +310,13 @@ def _present_files(spark: SparkSession, source: str) -> DataFrame:
     return listing.load(source).select(F.col("_metadata.file_path").alias("_source_file"))
 
 
-def _visible(
-    spark: SparkSession, warehouse: str, table: str, keep_vanished: bool = False
-) -> DataFrame:
-    rows = all_rows(spark, warehouse, table)
-    if not keep_vanished:
-        schema = "_source_file string, run bigint"
-        runs = spark.read.schema(schema).parquet(_delivery_dir(warehouse, table))
-        last = runs.agg(F.max("run").alias("run"))
-        there = runs.join(F.broadcast(last), "run").select("_source_file")  # last: one row
-        rows = rows.join(there, "_source_file", "left_semi")
-    natural = contract.KEYS[table][1]
-    return latest_per_key(rows, natural, ["batch_id", "_loaded_at", "_source_file"])
+def _last_delivery(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
+    """The files that were in the source at the last load."""
+    path = _delivery_dir(warehouse, table)
+    last = _numbers(spark, path, "run")[-1:]
+    if not last:
+        return spark.createDataFrame([], "_source_file string")
+    return spark.read.schema("_source_file string").parquet(f"{path}/run={last[0]}")
 
 
 def current_rows(
@@ -249,8 +329,13 @@ def current_rows(
     rebuilds do not mix.  ``keep_vanished`` keeps them, for sources whose old files
     are cleared away after loading.
     """
-    rows = _visible(spark, warehouse, table, keep_vanished)
-    return rows.select(*contract.names(table), *_AUDIT)
+    rows = all_rows(spark, warehouse, table)
+    if not keep_vanished:
+        there = _last_delivery(spark, warehouse, table)
+        rows = rows.where(~F.col("_vanished")).join(there, "_source_file", "left_semi")
+    natural = contract.KEYS[table][1]
+    newest = latest_per_key(rows, natural, ["batch_id", "_loaded_at", "_source_file"])
+    return newest.select(*contract.names(table), *_AUDIT)
 
 
 def pending_files(

@@ -135,9 +135,89 @@ def test_compaction_keeps_what_readers_see(spark, tmp_path):
     loader.compact(spark, wh, "dim_project")
     loader.compact(spark, wh, "dim_project")  # nothing new
     assert current(spark, tmp_path) == before == {"P0": (0, "v2"), **{f"P{i}": (i, "a") for i in (1, 2, 3)}}
-    assert spark.read.parquet(f"{wh}/dim_project/rows").count() == 0
+    assert len(loader.vacuum(spark, wh, "dim_project")) == 3 and loader.vacuum(spark, wh, "dim_project") == []
+    assert current(spark, tmp_path) == before
     deliver(projects(spark, [(0, "P0", "late")]), tmp_path / "in")
     load(spark, tmp_path)
     loader.compact(spark, wh, "dim_project")
     assert current(spark, tmp_path) == {**before, "P0": (0, "late")}
+    assert [v.last_batch for v in loader.versions(spark, wh, "dim_project")] == [2, 3]
+    loader.vacuum(spark, wh, "dim_project")
+    assert current(spark, tmp_path) == {**before, "P0": (0, "late")}
     assert len(list((tmp_path / "wh" / "dim_project" / "compacted").iterdir())) == 1
+
+
+def both_views(spark, root):
+    wh = str(root / "wh")
+    views = [loader.current_rows(spark, wh, "dim_project", keep_vanished=k) for k in (False, True)]
+    return [sorted(map(str, v.collect())) for v in views]
+
+
+def test_compaction_of_a_cleared_source_loses_nothing(spark, tmp_path):
+    wh, source = str(tmp_path / "wh"), tmp_path / "in"
+    for i in range(3):
+        rows = [(10 * i + k, f"P{k}", f"v{i}") for k in range(i, i + 3)]
+        projects(spark, rows).coalesce(1).write.mode("overwrite").parquet(str(source))
+        load(spark, tmp_path)
+        before = both_views(spark, tmp_path)
+        loader.compact(spark, wh, "dim_project")
+        assert both_views(spark, tmp_path) == before
+        loader.vacuum(spark, wh, "dim_project")
+        assert both_views(spark, tmp_path) == before
+    assert [len(v) for v in before] == [3, 5]
+    names = {r.project_id: r.project_name for r in loader.current_rows(spark, wh, "dim_project", True).collect()}
+    assert names == {"P0": "v0", "P1": "v1", "P2": "v2", "P3": "v2", "P4": "v2"}
+
+
+def test_an_older_file_shows_again_when_the_newer_one_leaves(spark, tmp_path):
+    wh, source = str(tmp_path / "wh"), tmp_path / "in"
+    deliver(projects(spark, [(0, "P0", "old"), (1, "P1", "old")]), source)
+    load(spark, tmp_path)
+    first = set(source.glob("*.parquet"))
+    deliver(projects(spark, [(0, "P0", "new")]), source)
+    load(spark, tmp_path)
+    loader.compact(spark, wh, "dim_project")
+    assert current(spark, tmp_path) == {"P0": (0, "new"), "P1": (1, "old")}
+    (newer,) = set(source.glob("*.parquet")) - first
+    newer.unlink()
+    load(spark, tmp_path)
+    assert current(spark, tmp_path) == {"P0": (0, "old"), "P1": (1, "old")}
+    kept = loader.current_rows(spark, wh, "dim_project", keep_vanished=True)
+    assert {r.project_id: r.project_name for r in kept.collect()} == {"P0": "new", "P1": "old"}
+
+
+def test_a_reader_opened_before_compaction_finishes(spark, tmp_path):
+    wh = str(tmp_path / "wh")
+    deliver(projects(spark, [(0, "P0", "a"), (1, "P1", "b")]), tmp_path / "in")
+    load(spark, tmp_path)
+    opened = loader.current_rows(spark, wh, "dim_project")
+    loader.compact(spark, wh, "dim_project")
+    deliver(projects(spark, [(2, "P2", "c")]), tmp_path / "in")
+    load(spark, tmp_path)
+    loader.compact(spark, wh, "dim_project")
+    assert opened.count() == 2 and loader.current_rows(spark, wh, "dim_project").count() == 3
+    kept_version = loader.versions(spark, wh, "dim_project")
+    loader.vacuum(spark, wh, "dim_project", keep=2)
+    assert loader.versions(spark, wh, "dim_project") == kept_version
+    loader.vacuum(spark, wh, "dim_project", keep=0)
+    assert loader.versions(spark, wh, "dim_project") == kept_version
+
+
+def test_an_unfinished_compaction_is_not_read(spark, tmp_path):
+    wh = str(tmp_path / "wh")
+    deliver(projects(spark, [(0, "P0", "a")]), tmp_path / "in")
+    load(spark, tmp_path)
+    loader.compact(spark, wh, "dim_project")
+    stray = tmp_path / "wh" / "dim_project"
+    (stray / "manifest" / "version=2").mkdir()
+    (stray / "compacted" / "rows-half").mkdir()
+    assert current(spark, tmp_path) == {"P0": (0, "a")}
+    loader.vacuum(spark, wh, "dim_project")
+    assert not (stray / "compacted" / "rows-half").exists()
+    deliver(projects(spark, [(1, "P1", "b")]), tmp_path / "in")
+    load(spark, tmp_path)
+    loader.compact(spark, wh, "dim_project")
+    assert [v.number for v in loader.versions(spark, wh, "dim_project")] == [1, 3]
+    assert current(spark, tmp_path) == {"P0": (0, "a"), "P1": (1, "b")}
+    empty = loader.current_rows(spark, str(tmp_path / "none"), "dim_project", keep_vanished=True)
+    assert empty.count() == 0
