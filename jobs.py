@@ -12,7 +12,7 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
-from loanlens import scratch
+from loanlens import contract, scratch
 from loanlens.operators import quality
 from loanlens.plans import features, medallion, model
 from loanlens.sources import bronze, lake
@@ -60,20 +60,31 @@ def train(spark: SparkSession, root: str, day: str) -> None:
 
 
 def watch(spark: SparkSession, root: str, _: str) -> None:
-    stream = alerts.read_statement_stream(
-        spark, f"{root}/incoming", f"{root}/incoming_archive"
-    )
-    graded = alerts.high_risk(alerts.enrich(stream))
-    target = {"path": f"{root}/alerts"}  # recorded once each, whatever restarts
-    query = alerts.start_alerts(graded, f"{root}/alert_checkpoint", "parquet", target)
+    raw = alerts.read_raw_stream(spark, f"{root}/incoming", f"{root}/incoming_archive")
+    query = alerts.start_recording(raw, f"{root}/alert_checkpoint", f"{root}/alerts")
     query.awaitTermination()
 
 
+def deliver(spark: SparkSession, root: str, day: str) -> None:
+    """Takes a day's raw files into Silver; only the countries they touch are rewritten."""
+    counts = medallion.bronze_to_silver(
+        spark, f"{root}/bronze_{day}", f"{root}/silver", day, merge=True
+    )
+    print(counts)
+
+
+def compact(spark: SparkSession, root: str, _: str) -> None:
+    for table in contract.WAREHOUSE:
+        loader.compact(spark, f"{root}/warehouse", table)
+
+
 STEPS = {
     "land": land,
     "silver": silver,
+    "deliver": deliver,
     "gold": gold,
     "load": load,
+    "compact": compact,
     "all": everything,
     "train": train,
     "watch": watch,

@@ -7,7 +7,7 @@ is then filled, while ANSI mode stays on for everything else.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,19 +49,23 @@ def standardize_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+def _fits(column: str) -> Column:
+    """Whether a text is a plain decimal number that fits the column's declared type.
+
+    The cast to that type is the whole test: it refuses the words a cast to double would
+    take for numbers (NaN, Infinity, a trailing d) and values Gold could not hold.
+    """
+    kind = contract.RATE_TYPE if column in contract.RATES else contract.MONEY_TYPE
+    return F.col(column).try_cast(kind).isNotNull()
 
 
 def number_from_text(column: str) -> Column:
     """Number of a plain decimal text that fits the column's declared type, else NULL.
 
-    Words a cast would take for numbers (NaN, Infinity, a trailing d) are not, and a
-    value Gold could not hold is lost here, where it is counted, not there.
+    What Gold could not hold is lost here, where it is counted, not there.  Texts that
+    fit keep all their digits.
     """
-    text = F.col(column)
-    number = F.when(text.rlike(_NUMBER), text).try_cast("double")
-    kind = contract.RATE_TYPE if column in contract.RATES else contract.MONEY_TYPE
-    return F.when(number.try_cast(kind).isNotNull(), number)
+    return F.when(_fits(column), F.col(column).try_cast("double"))
 
 
 def date_from_text(column: str) -> Column:
@@ -82,6 +86,13 @@ def date_from_text(column: str) -> Column:
     )
 
 
+def is_unreadable(column: str) -> Column:
+    """Whether a text is there but is no number, or no date, of its column."""
+    text = F.col(column)
+    read = _fits(column) if column in contract.NUMERIC else date_from_text(column).isNotNull()
+    return text.isNotNull() & ~read
+
+
 def cast_numbers(df: DataFrame) -> DataFrame:
     present = [c for c in contract.NUMERIC if c in df.columns]
     return df.withColumns({c: number_from_text(c) for c in present})
@@ -125,9 +136,11 @@ def warehouse_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     )
 
 
-def typed_rows(raw: DataFrame) -> DataFrame:
+def typed_rows(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Raw text rows under contract names, typed and filled, duplicates included.
 
+    ``keep`` names further columns, in standard form, that stay as they are.
+
     Columns of the contract that a file lacks are added as missing, so they are
     filled and reported rather than silently absent downstream.
     """
@@ -135,7 +148,7 @@ def typed_rows(raw: DataFrame) -> DataFrame:
     lacking = [c for c in contract.COLUMNS if c not in named.columns]
     named = named.withColumns({c: F.lit(None).cast("string") for c in lacking})
     filled = fill_defaults(parse_dates(cast_numbers(named)))
-    return filled.select(*contract.COLUMNS)
+    return filled.select(*contract.COLUMNS, *keep)
 
 
 def cleanse(raw: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from loanlens.sources import bronze, lake
 from loanlens.streaming.loader import load_star
 
 _FATE = "_fate"
-_QUARANTINE = {"corrupt": "bad_records", "without_key": "rows_without_key"}
+_QUARANTINE = {bronze.CORRUPT_LINE: "bad_records", bronze.WITHOUT_KEY: "rows_without_key"}
 
 
 class StepCounts(NamedTuple):
@@ -34,35 +34,43 @@ class StepCounts(NamedTuple):
 
 
 def bronze_to_silver(
-    spark: SparkSession, bronze_path: str, silver_path: str, day: str
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    day: str,
+    merge: bool = False,
+    multi_line: bool = False,
 ) -> StepCounts:
     """Cleanses raw files into Silver and stores unusable lines apart.
 
+    Silver is rebuilt from these files alone; with ``merge`` they are a delivery that is
+    taken into it, and only the countries it touches are rewritten.  ``multi_line``
+    allows line breaks in quoted values.
+
     Unusable are lines that do not fit the header, and rows without a loan number:
     these have no identity, and the latest snapshot would make one loan of them all.
     The text is parsed once, into a stored table split by what becomes of a line, which
     is removed at the end.  All counts come from file footers, so they are exact even
     if a stage had to be repeated.
     """
-    raw = bronze.read_bronze(spark, bronze_path)
-    fate = (
-        F.when(bronze.is_malformed(raw), "corrupt")
-        .when(bronze.lacks_key(raw), "without_key")
-        .otherwise("good")
-    )
-    flagged = raw.withColumn(_FATE, fate)
+    raw = bronze.read_bronze(spark, bronze_path, multi_line=multi_line)
+    flagged = raw.withColumn(_FATE, bronze.fate(raw))
     with temporary(spark, "raw") as staged:
         flagged.write.partitionBy(_FATE).parquet(staged)
         rows = spark.read.schema(flagged.schema).parquet(staged)
         part = lambda name: rows.where(F.col(_FATE) == name).drop(_FATE)
-        lake.write_silver(cleanse(part("good").drop(contract.CORRUPT)), silver_path)
+        cleansed = cleanse(part(bronze.GOOD).drop(contract.CORRUPT))
+        if merge:
+            lake.merge_silver(spark, cleansed, silver_path)
+        else:
+            lake.write_silver(cleansed, silver_path)
         lost = {}
         for name, folder in _QUARANTINE.items():
             lost[name] = part(name).count()
             if lost[name]:
                 bronze.write_quarantine(part(name), bronze_path, day, folder)
         written = lake.read_silver(spark, silver_path).count()
-        return StepCounts(rows.count(), lost["corrupt"], lost["without_key"], written)
+        return StepCounts(rows.count(), *[lost[name] for name in _QUARANTINE], written)
 
 
 def store_star(

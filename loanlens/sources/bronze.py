@@ -11,14 +11,34 @@ from pyspark.sql import functions as F
 
 from loanlens import contract
 from loanlens.operators.cleanse import standard_name
+from loanlens.scratch import folders
 
-def file_header(spark: SparkSession, path: str | list[str]) -> list[str]:
+# What becomes of a raw row: cleansed, or set apart for one of two reasons.
+GOOD, CORRUPT_LINE, WITHOUT_KEY = "good", "corrupt", "without_key"
+
+# How raw files are read, as a batch and as a stream.
+READ_OPTIONS = {
+    "header": "true",
+    "enforceSchema": "false",
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": contract.CORRUPT,
+    "columnPruning": "false",
+}
+
+
+def file_header(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False
+) -> list[str]:
     """Column names of raw files; reads the first line of one of them."""
-    return spark.read.option("header", True).csv(path).columns
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
+    return reader.csv(path).columns
 
 
 def read_bronze(
-    spark: SparkSession, path: str | list[str], header: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    header: Sequence[str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Raw files as text, malformed lines whole in the corrupt column.
 
@@ -26,17 +46,16 @@ def read_bronze(
     from the others (or from a given ``header``) stops the job, since its values would
     land in wrong columns.  Column pruning is off for this scan: with it, whether a
     line counts as malformed would depend on which columns a query happens to use.
+
+    A quoted value may hold line breaks only with ``multi_line``; without it such a
+    record is two malformed lines.  The price is that a file is then read by one task
+    from end to end, since no one knows inside of it which line break ends a record:
+    large deliveries should come in many files.  A quote that is never closed makes the
+    rest of its file one record.
     """
-    names = list(header) if header else file_header(spark, path)
-    return (
-        spark.read.schema(contract.bronze_schema(names))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", contract.CORRUPT)
-        .option("columnPruning", False)
-        .csv(path)
-    )
+    names = list(header) if header else file_header(spark, path, multi_line)
+    reader = spark.read.schema(contract.bronze_schema(names)).options(**READ_OPTIONS)
+    return reader.option("multiLine", multi_line).csv(path)
 
 
 def is_malformed(df: DataFrame) -> Column:
@@ -63,6 +82,12 @@ def lacks_key(df: DataFrame) -> Column:
     return F.trim(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) == ""
 
 
+def fate(df: DataFrame) -> Column:
+    """What becomes of a raw row, the same for a batch and a stream."""
+    unusable = F.when(is_malformed(df), CORRUPT_LINE).when(lacks_key(df), WITHOUT_KEY)
+    return unusable.otherwise(GOOD)
+
+
 def write_quarantine(
     bad: DataFrame, bronze_dir: str, day: str, kind: str = "bad_records"
 ) -> str:
@@ -99,6 +124,24 @@ class CopyAudit(NamedTuple):
     status: str
 
 
+_AUDIT = (
+    "source string, target string, rows_read bigint, rows_copied bigint, "
+    "bytes_written bigint, status string, copied_at timestamp"
+)
+
+
+def _audit_dir(target: str) -> str:
+    """Readers of the copies skip a folder whose name starts with an underscore."""
+    return f"{target}/_audit"
+
+
+def copy_audits(spark: SparkSession, target: str) -> DataFrame:
+    """One row per copy into ``target`` so far, failed ones included."""
+    if not folders(spark, _audit_dir(target)):
+        return spark.createDataFrame([], _AUDIT)
+    return spark.read.schema(_AUDIT).parquet(_audit_dir(target))
+
+
 def copy_csv(
     spark: SparkSession,
     source: str,
@@ -109,10 +152,27 @@ def copy_csv(
     """Copies delimited files, all values quoted, into a time-stamped batch folder.
 
     Lines that do not fit the header are skipped; the two row counts, taken while
-    the copy runs, differ by them.
+    the copy runs, differ by them.  What a copy did, or that it failed, is appended to
+    the audit table of ``target``, one row a copy, which nothing rewrites.
     """
     now = now or datetime.now(timezone.utc)
     batch = f"{target}/batch={now:%Y%m%d_%H%M%S}"
+
+    def record(audit: CopyAudit) -> CopyAudit:
+        row = spark.createDataFrame([(source, *audit, now)], _AUDIT)
+        row.coalesce(1).write.mode("append").parquet(_audit_dir(target))
+        return audit
+
+    try:
+        return record(_copy(spark, source, batch, header))
+    except Exception:
+        record(CopyAudit(batch, 0, 0, 0, "FAILED"))
+        raise
+
+
+def _copy(
+    spark: SparkSession, source: str, batch: str, header: Sequence[str] | None
+) -> CopyAudit:
     # In a session of its own: one that holds an observation can't ship the models fitted
     # in it, whose training summaries carry their session into the tasks.
     raw = read_bronze(spark.newSession(), source, header)

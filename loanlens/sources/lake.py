@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loanlens import contract
+from loanlens.operators.dedup import latest_loans
+from loanlens.scratch import folders, remove, temporary
+
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """Explicit schema, so a partition value like ``01`` stays a text."""
@@ -27,6 +32,49 @@ def write_silver(df: DataFrame, path: str) -> None:
     writer.parquet(path)
 
 
+def merge_silver(spark: SparkSession, delivery: DataFrame, path: str) -> list[str | None]:
+    """Takes a delivery of Silver rows into stored Silver; returns the countries rewritten.
+
+    The newest snapshot of each loan survives, as if Silver had been built from all
+    rows at once.  Only countries that the delivery names, or where one of its loans was
+    so far, are read and rewritten; the files of all others stay.  A loan that changes
+    country leaves the old one; a country whose last loan leaves loses its folder.
+
+    Folders are swapped country by country, so a reader in between may see a moved loan
+    twice.  After a failure the same delivery can be merged again: what it has done
+    already changes nothing.  Without stored Silver the delivery becomes it.
+    """
+    country = contract.PARTITION_COLUMN
+    if not any(name.startswith(f"{country}=") for name in folders(spark, path)):
+        write_silver(latest_loans(delivery), path)
+        return [r[0] for r in read_silver(spark, path).select(country).distinct().collect()]
+    with temporary(spark, "delivery") as given, temporary(spark, "merged") as target:
+        delivery.write.parquet(given)
+        delivered = spark.read.schema(delivery.schema).parquet(given)
+        stored = read_silver(spark, path)
+        numbers = delivered.select("loan_number")
+        homes = stored.select("loan_number", country).join(numbers, "loan_number", "left_semi")
+        touched = homes.select(country).union(delivered.select(country)).distinct()
+        # One value per folder of Silver at most, which the driver lists anyway.
+        names = [row[0] for row in touched.collect()]
+        here = F.col(country).isin([n for n in names if n is not None])
+        if None in names:
+            here = here | F.col(country).isNull()
+        old = stored.where(here)
+        latest_loans(old.unionByName(delivered.select(*old.columns))).write.parquet(target)
+        merged = spark.read.schema(old.schema).parquet(target)
+        left = {row[0] for row in merged.select(country).distinct().collect()}
+        folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)
+        homes_now = old.select(country, folder.alias("folder")).distinct().collect()
+        merged.hint("rebalance", country).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).option("compression", "snappy").partitionBy(country).parquet(path)
+        for row in homes_now:
+            if row[country] not in left:
+                remove(spark, unquote(row["folder"]))  # file names are given as URIs
+    return names
+
+
 def cluster(df: DataFrame, table: str) -> DataFrame:
     """Sorts a table the way it is filtered, so file statistics skip most of it.
 

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from helpers import bronze_line, write_csv
 from pyspark.errors import StreamingQueryException
@@ -42,9 +44,10 @@ def test_batch_and_stream_agree(spark, tmp_path):
     amounts = [1_000_000, 1_000_001, 5_000_000, 10_000_000, 10_000_001]
     lines = [line(f"L{a}", a, original_principal_amount=3 * a) for a in amounts]
     lines.append(line("zero", 3_000_000, original_principal_amount=0))
-    lines.append("a line,that does not fit")
+    lines += ["a line,that does not fit", line(None, 2_000_000), line(" ", 5)]
     write_csv(tmp_path / "in" / "a.csv", lines, FIELDS)
     good, _ = bronze.split_quarantine(bronze.read_bronze(spark, str(tmp_path / "in")))
+    good = good.where(~bronze.lacks_key(good))
     expected = alerts.high_risk(cleanse.typed_rows(good)).collect()
     streamed = run(spark, tmp_path).drop("ingestion_timestamp", "source_file").collect()
     assert sorted(expected) == sorted(streamed) and len(expected) == 5
@@ -52,6 +55,61 @@ def test_batch_and_stream_agree(spark, tmp_path):
     assert ratios["L5000000"] == 33.33 and ratios["zero"] == 0.0
 
 
+def recorded(spark, root):
+    found = alerts.recorded_quarantine(spark, str(root / "out")).collect()
+    return sorted(((r.reason, r[contract.CORRUPT] or r["Loan Number"]) for r in found), key=str)
+
+
+def test_unusable_rows_are_set_apart_once(spark, tmp_path):
+    surplus = line("L1", 5) + ",surplus"
+    write_csv(tmp_path / "in" / "a.csv", [surplus, line("L2", 2_000_000), line(None, 1)], FIELDS)
+    write_csv(tmp_path / "in" / "b.csv", ["short", line(" ", 9_000_000)], FIELDS)
+    expected = [("corrupt", "short"), ("corrupt", surplus), ("without_key", " "), ("without_key", None)]
+    assert [r.loan_number for r in run(spark, tmp_path).collect()] == ["L2"]
+    assert recorded(spark, tmp_path) == sorted(expected, key=str)
+    run(spark, tmp_path)
+    assert len(recorded(spark, tmp_path)) == 4
+    rows = alerts.recorded_quarantine(spark, str(tmp_path / "out")).collect()
+    assert all(r.source_file.endswith(".csv") and r.ingestion_timestamp for r in rows)
+
+
+def test_a_batch_that_failed_half_way_is_repeated_whole(spark, tmp_path, monkeypatch):
+    for i in range(7):
+        write_csv(tmp_path / "in" / f"{i}.csv", [line(f"L{i}", 2_000_000), "short"], FIELDS)
+    whole = alerts._record
+
+    def fail_after_storing(batch, number, *where):
+        whole(batch, number, *where)
+        raise RuntimeError("lost before the checkpoint knew")
+
+    monkeypatch.setattr(alerts, "_record", fail_after_storing)
+    with pytest.raises(StreamingQueryException):
+        run(spark, tmp_path)
+    monkeypatch.setattr(alerts, "_record", whole)
+    assert sorted(r.loan_number for r in run(spark, tmp_path).collect()) == [f"L{i}" for i in range(7)]
+    assert len(recorded(spark, tmp_path)) == 7
+
+
+def test_stopped_after_the_first_batch_and_resumed(spark, tmp_path):
+    for i in range(7):
+        write_csv(tmp_path / "in" / f"{i}.csv", [line(f"L{i}", 2_000_000)], FIELDS)
+    where = (str(tmp_path / "checkpoint"), str(tmp_path / "out"))
+    raw = alerts.read_raw_stream(spark, str(tmp_path / "in"), files_per_trigger=2)
+    query = alerts.start_recording(raw, *where, interval="1 hour")
+    while query.isActive and query.lastProgress is None:
+        time.sleep(0.1)
+    query.stop()
+    assert alerts.recorded_alerts(spark, where[1]).count() == 2
+    alerts.start_recording(raw, *where, available_now=True).awaitTermination()
+    found = alerts.recorded_alerts(spark, where[1])
+    assert sorted(r.loan_number for r in found.collect()) == [f"L{i}" for i in range(7)]
+
+
+def test_nothing_recorded_yet(spark, tmp_path):
+    assert alerts.recorded_alerts(spark, str(tmp_path / "out")).columns == contract.ALERT_COLUMNS
+    assert alerts.recorded_quarantine(spark, str(tmp_path / "out")).count() == 0
+
+
 def test_swapped_columns_stop_the_job(spark, tmp_path):
     swapped = [FIELDS[1], FIELDS[0], *FIELDS[2:]]
     write_csv(tmp_path / "in" / "a.csv", [line("L1", 2_000_000)], swapped)

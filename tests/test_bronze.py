@@ -77,6 +77,61 @@ def test_copy_csv(spark, tmp_path):
     assert all(f.read_text().startswith('"End of Period"') for f in files)
 
 
+def test_copies_are_audited_and_failures_too(spark, tmp_path):
+    write_csv(tmp_path / "in" / "a.csv", [bronze_line(), "too,short"])
+    out = str(tmp_path / "out")
+    assert bronze.copy_audits(spark, out).count() == 0
+    first = bronze.copy_csv(spark, str(tmp_path / "in"), out, now=datetime(2024, 1, 1))
+    bronze.copy_csv(spark, first.target, out, now=datetime(2024, 1, 2))
+    with pytest.raises(Exception):
+        bronze.copy_csv(spark, str(tmp_path / "in"), out, now=datetime(2024, 1, 2))  # folder is taken
+    rows = bronze.copy_audits(spark, out).orderBy("copied_at", "status").collect()
+    assert [(r.status, r.rows_read, r.rows_copied) for r in rows] == [
+        ("PARTIAL", 2, 1), ("FAILED", 0, 0), ("SUCCESS", 1, 1),
+    ]
+    assert rows[0].source == str(tmp_path / "in") and rows[0].bytes_written == first.bytes_written > 0
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    broken = bronze_line(borrower='"Ministry\nof roads"')
+    write_csv(tmp_path / "raw" / "a.csv", [broken, bronze_line(loan_number="L2"), "short"])
+    source, silver = str(tmp_path / "raw"), str(tmp_path / "silver")
+    assert medallion.bronze_to_silver(spark, source, silver, "d") == (4, 3, 0, 1)
+    assert medallion.bronze_to_silver(spark, source, silver, "d", multi_line=True) == (3, 1, 0, 2)
+    names = {r.loan_number: r.borrower for r in lake.read_silver(spark, silver).collect()}
+    assert names == {"L1": "Ministry\nof roads", "L2": "Ministry"}
+
+
+def files_of(path):
+    return {f.name for f in path.glob("*.parquet")}
+
+
+def test_merging_a_delivery_rewrites_only_its_countries(spark, tmp_path):
+    silver = tmp_path / "silver"
+    places = {"L1": "A", "L2": "A", "L3": "B", "L4": "C", "L5": "C D/1"}
+    stay = [bronze_line(loan_number=n, country_code=c) for n, c in places.items()]
+    write_csv(tmp_path / "one" / "a.csv", stay)
+    medallion.bronze_to_silver(spark, str(tmp_path / "one"), str(silver), "d", merge=True)
+    untouched = files_of(silver / "country_code=A")
+    late = dict(end_of_period="2024-02-29", cancelled_amount="77")
+    moves = [
+        bronze_line(loan_number="L3", country_code="C", **late),  # B loses its last loan
+        bronze_line(loan_number="L4", country_code="E", end_of_period="2023-01-31"),  # too old to move
+        bronze_line(loan_number="L5", country_code="F", **late),
+        bronze_line(loan_number="L6", country_code="E"),
+    ]
+    write_csv(tmp_path / "two" / "a.csv", [*moves, moves[0]])
+    for _ in range(2):  # the second time changes nothing
+        counts = medallion.bronze_to_silver(spark, str(tmp_path / "two"), str(silver), "d", merge=True)
+        assert counts == (5, 0, 0, 6)
+        rows = {r.loan_number: (r.country_code, r.cancelled_amount) for r in lake.read_silver(spark, str(silver)).collect()}
+        assert rows == {
+            "L1": ("A", 10.0), "L2": ("A", 10.0), "L3": ("C", 77.0), "L4": ("C", 10.0), "L5": ("F", 77.0), "L6": ("E", 10.0),
+        }
+        assert files_of(silver / "country_code=A") == untouched
+        assert sorted(p.name for p in silver.glob("country_code=*")) == [f"country_code={c}" for c in "ACEF"]
+
+
 def test_columns_go_by_name(spark, tmp_path):
     header = [contract.BRONZE_HEADER[1], contract.BRONZE_HEADER[0], *contract.BRONZE_HEADER[2:], "New"]
     values = [*bronze_line().split(","), "n"]
