@@ -365,25 +365,23 @@ _ALERTS = """
 SELECT loan_number, country, borrower, project_name,
  cast(original_principal_amount AS double) AS original_principal_amount,
  cast(cancelled_amount AS double) AS cancelled_amount,
- round(cast(cancelled_amount AS double)
-       / cast(original_principal_amount AS double) * 100, 2) AS cancellation_ratio,
+ CASE WHEN original_principal_amount > 0 THEN round(cast(cancelled_amount AS double)
+       / cast(original_principal_amount AS double) * 100, 2) ELSE 0 END AS cancellation_ratio,
  CASE WHEN cancelled_amount > 10000000 THEN 'CRITICAL'
       WHEN cancelled_amount > 5000000 THEN 'HIGH' ELSE 'ELEVATED' END AS risk_level,
  loan_status, cast(board_approval_date AS varchar) AS board_approval_date
 FROM statements
-WHERE cancelled_amount > 1000000 AND original_principal_amount > 0
+WHERE cancelled_amount > 1000000
 """
 
 
 # Loans of the training part.
 _TRAIN = "('0x' || substr(md5(loan_number || '|42'), 1, 8))::BIGINT % 100 < 80"
 
-# The same over raw rows as cleansing leaves them, a lost principal being 0.
+# The same over usable raw rows as cleansing leaves them, a lost principal being 0.
 _RAW_ALERTS = (
     _ALERTS.replace("FROM statements", "FROM filled")
-    .replace("round(cast", "CASE WHEN original_principal_amount > 0 THEN round(cast")
-    .replace("* 100, 2) AS", "* 100, 2) ELSE 0 END AS")
-    .replace("AND original_principal_amount > 0", "AND l_partkey % 97 <> 0")
+    + " AND l_partkey % 97 <> 0 AND loan_number IS NOT NULL"
 )
 
 
@@ -568,6 +566,38 @@ def _visuals() -> dict[str, str]:
     }
 
 
+def _preparation(share: str) -> str:
+    """Deviations of the assembled slots: numbers, then a slot per category by frequency."""
+    numbers = {
+        "log_principal": "CASE WHEN original_principal_amount > 0 THEN "
+        "ln(1 + cast(original_principal_amount AS double)) ELSE 0 END",
+        "interest_rate": "cast(interest_rate AS double)",
+        "service_charge_rate": "cast(service_charge_rate AS double)",
+        "disbursement_ratio": _ratio("disbursed_amount", "original_principal_amount"),
+        "repayment_ratio": _ratio("repaid_to_ibrd", "original_principal_amount"),
+        "processing_days": f"cast({_DAYS} AS double)",
+        "loan_age_days": "cast(DATE '2002-01-01' - board_approval_date AS double)",
+        "has_third_party": "CASE WHEN sold_3rd_party > 0 THEN 1.0 ELSE 0.0 END",
+    }
+    slots = [
+        f"SELECT {i} AS part, 0 AS code, '{name}' AS name, stddev_samp({value}) AS deviation, "
+        f"true AS in_bound FROM latest WHERE {_TRAIN}"
+        for i, (name, value) in enumerate(numbers.items())
+    ]
+    for i, c in enumerate(("region", "loan_type", "loan_status"), len(numbers)):
+        share_of = f"(SELECT count(*) FROM latest WHERE {_TRAIN})"
+        slots.append(
+            f"SELECT {i}, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1, '{c}_vec_' || {c}, "
+            f"sqrt(count(*) * (1.0 - count(*) / cast({share_of} AS double)) / ({share_of} - 1)), "
+            f"NULL FROM latest WHERE {_TRAIN} GROUP BY {c} "
+            f"UNION ALL SELECT {i}, 1000, '{c}_vec___unknown', 0.0, NULL"
+        )
+    return (
+        "SELECT cast(row_number() OVER (ORDER BY part, code) - 1 AS integer) AS slot, name, "
+        f"round(deviation, 6) AS deviation, in_bound FROM ({' UNION ALL '.join(slots)})"
+    )
+
+
 def _oracle() -> dict[str, str]:
     columns = contract.COLUMNS
     share = _ratio("cancelled_amount", "original_principal_amount")
@@ -932,8 +962,50 @@ def _oracle() -> dict[str, str]:
             AND board_approval_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'
             GROUP BY country""",
         ),
+        "estimated_loan_counts": sql(
+            ["statements"],
+            "SELECT region, count(DISTINCT loan_number) AS loan_count, true AS is_close "
+            "FROM statements GROUP BY region",
+        ),
         "high_risk_alerts": sql(["statements"], _ALERTS),
         "streamed_alerts": sql(["filled"], _RAW_ALERTS),
+        "restarted_alerts": sql(["filled"], _RAW_ALERTS),
+        "streamed_quarantine": sql(
+            ["messy"],
+            f"SELECT CASE WHEN {good} THEN 'without_key' ELSE 'corrupt' END AS reason, "
+            f"count(*) AS row_count, count(*) FILTER (WHERE NOT ({good})) AS whole_lines, "
+            "count(*) AS with_time, count(*) AS with_file FROM messy "
+            f"WHERE NOT ({good}) OR loan_number IS NULL GROUP BY 1",
+        ),
+        "compacted_cleared_source": sql(
+            ["latest"],
+            "SELECT loan_number, cast(cancelled_amount + CASE WHEN l_orderkey % 15 = 0 THEN 1 "
+            "ELSE 0 END AS double) AS cancelled_amount FROM latest",
+        ),
+        "silver_after_delivery": sql(
+            ["filled"],
+            f"SELECT {_plain_list(columns)} FROM (SELECT * FROM (SELECT * REPLACE (CASE WHEN "
+            "l_partkey % 3 = 0 AND country_code IN ('C01', 'C02', 'C03') AND "
+            "cast(substr(loan_number, 2) AS bigint) % 10 = 0 THEN 'C88' ELSE country_code END "
+            f"AS country_code) FROM filled WHERE {keyed}) QUALIFY row_number() OVER "
+            f"(PARTITION BY loan_number ORDER BY {_default_order()}) = 1)",
+        ),
+        "copy_audit": sql(
+            ["messy"],
+            f"SELECT 'PARTIAL' AS status, count(*) AS rows_read, count(*) FILTER (WHERE {good}) "
+            "AS rows_copied, true AS has_bytes FROM messy UNION ALL SELECT 'SUCCESS', "
+            f"count(*), count(*), true FROM messy WHERE {good}",
+        ),
+        "rows_across_lines": sql(
+            ["filled"],
+            "SELECT (SELECT count(*) FROM (SELECT * FROM (SELECT * REPLACE (CASE WHEN "
+            "l_partkey % 5 = 0 THEN borrower || chr(10) || country ELSE borrower END AS borrower) "
+            f"FROM filled WHERE {keyed}) QUALIFY row_number() OVER (PARTITION BY loan_number "
+            f"ORDER BY {_default_order()}) = 1) WHERE contains(borrower, chr(10))) "
+            "AS two_line_borrowers, count(*) AS loaded, 0 AS corrupt, "
+            "count(*) FILTER (WHERE loan_number IS NULL) AS without_key, "
+            f"count(DISTINCT loan_number) AS written FROM filled WHERE {good}",
+        ),
         "risk_level_counts": sql(
             ["latest"],
             "SELECT CASE WHEN cancelled_amount > 10000000 THEN 'CRITICAL' "
@@ -1002,6 +1074,7 @@ def _oracle() -> dict[str, str]:
                 for c in ("region", "loan_type", "loan_status")
             ),
         ),
+        "model_preparation": sql(["latest"], _preparation(share)),
         "class_balance": sql(
             ["latest"],
             f"""SELECT sum(y) AS positive, sum(1 - y) AS negative,

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from loanlens import contract
 from loanlens.catalog import tables
 from loanlens.functions import formats
+from loanlens.functions import measures as m
 from loanlens.functions.scalars import (
     cancellation_percent,
     days_or_zero,
@@ -300,11 +301,7 @@ def landing_check(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def copied_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Quoted copy of the raw files without the rows that do not fit."""
-
-    def build(folder: str) -> None:
-        bronze.copy_csv(spark, tables.bronze_dir(spark, sf), folder)
-
-    copied = bronze.read_bronze(spark, tables.stored(spark, sf, "copy", build) + "/*")
+    copied = bronze.read_bronze(spark, tables.copies_dir(spark, sf) + "/batch=20020101*")
     return copied.groupBy("`Loan Status`").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count(contract.CORRUPT).alias("malformed"),
@@ -312,6 +309,30 @@ def copied_csv(spark: SparkSession, sf: str) -> DataFrame:
     ).withColumnRenamed("Loan Status", "loan_status")
 
 
+@query
+def copy_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """What the audit table holds of a copy and of a copy of that."""
+    audits = bronze.copy_audits(spark, tables.copies_dir(spark, sf))
+    return audits.select(
+        "status", "rows_read", "rows_copied", (F.col("bytes_written") > 0).alias("has_bytes")
+    )
+
+
+@query
+def rows_across_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Step counts of raw files with line breaks in values, and such values in Silver."""
+    folder, counts = tables.multi_line_dir(spark, sf)
+    broken = F.count(F.when(F.col("borrower").contains("\n"), 1))
+    seen = {name: F.lit(value) for name, value in counts._asdict().items()}
+    return lake.read_silver(spark, folder).agg(broken.alias("two_line_borrowers")).withColumns(seen)
+
+
+@query
+def silver_after_delivery(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver after a delivery was merged into it: the same as built at once."""
+    return tables.delivered_silver(spark, sf).select(*contract.COLUMNS)
+
+
 # ------------------------------------------------------------------- quality
 
 
@@ -507,6 +528,22 @@ def statement_measures(spark: SparkSession, sf: str) -> DataFrame:
     return kpis.measure_table(rows, list(kpis.fact_measures()), ["loan_status"])
 
 
+@query
+def estimated_loan_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Loans per region, estimated from sketches stored per country and loan status."""
+
+    def build(folder: str) -> None:
+        rows = statements(spark, sf)
+        kpis.loan_sketches(rows, ["region", "country", "loan_status"]).write.parquet(folder)
+
+    sketches = spark.read.parquet(tables.stored(spark, sf, "sketches", build))
+    estimated = kpis.estimated_loans(sketches, ["region"])
+    exact = statements(spark, sf).groupBy("region").agg(m.loan_count().alias("loan_count"))
+    off = F.abs(F.col("loans") - F.col("loan_count"))
+    close = off <= F.col("loan_count") * F.lit(kpis.sketch_error())
+    return exact.join(estimated, "region").select("region", "loan_count", close.alias("is_close"))
+
+
 @query
 def region_measures(spark: SparkSession, sf: str) -> DataFrame:
     gold = tables.star(spark, sf)
@@ -654,6 +691,25 @@ def alert_ingestion(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def streamed_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw rows the stream set apart, by reason, with how many lines are kept whole."""
+    aside = alerts.recorded_quarantine(spark, tables.alerts_dir(spark, sf))
+    return aside.groupBy("reason").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count(F.when(F.col(contract.CORRUPT).endswith(",surplus"), 1)).alias("whole_lines"),
+        F.count("ingestion_timestamp").alias("with_time"),
+        F.count("source_file").alias("with_file"),
+    )
+
+
+@query
+def restarted_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of a stream that was stopped after its first batch and resumed."""
+    recorded = alerts.recorded_alerts(spark, tables.restarted_alerts_dir(spark, sf))
+    return recorded.drop("ingestion_timestamp", "source_file")
+
+
 @query
 def loaded_fact(spark: SparkSession, sf: str) -> DataFrame:
     """The warehouse fact after two deliveries of the same loans: each loan once."""
@@ -685,6 +741,14 @@ def loaded_after_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("loan_number", "cancelled_amount")
 
 
+@query
+def compacted_cleared_source(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact of a source cleared after each load, after as many compactions."""
+    folder = tables.cleared_warehouse_dir(spark, sf)
+    rows = loader.current_rows(spark, folder, "fact_loans", keep_vanished=True)
+    return rows.select("loan_number", "cancelled_amount")
+
+
 @query
 def loaded_with_bad_file(spark: SparkSession, sf: str) -> DataFrame:
     """Files of a delivery by status: one with a lost value contributes nothing."""
@@ -763,6 +827,16 @@ def model_stages(spark: SparkSession, sf: str) -> DataFrame:
     return model.category_codes(tables.fitted(spark, sf), spark)
 
 
+@query
+def model_preparation(spark: SparkSession, sf: str) -> DataFrame:
+    """What imputing and scaling learned per slot, medians by whether they are in bound."""
+    rows = tables.feature_rows(spark, sf)
+    learned = model.learned_parameters(tables.fitted(spark, sf), rows)
+    train, _ = model.split(rows)
+    bounds = model.median_bounds(learned, train)
+    return learned.join(bounds, "name", "left").select("slot", "name", "deviation", "in_bound")
+
+
 @query
 def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return model.metrics(tables.test_predictions(spark, sf))

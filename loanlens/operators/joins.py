@@ -105,28 +105,42 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
 def orphan_counts(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """One row per foreign key: orphans and missing keys.
 
-    References are counted per key value first, so the anti join sees each value
-    once however often the fact repeats it.
+    The fact is read once: its references to all dimensions are counted per key value
+    together, before the shuffle and after, so what meets the dimensions' keys is each
+    value once, however often the fact repeats it.
     """
-    parts = []
-    for table, key in _STAR_KEYS.items():
-        uses = fact.groupBy(key).agg(F.count(F.lit(1)).alias("uses"))
-        unmatched = uses.join(
-            dims[table].select(key, F.lit(True).alias("known")), key, "left"
-        )
-        parts.append(
-            unmatched.agg(
+    references = F.array(
+        *[
+            F.struct(F.lit(key).alias("foreign_key"), F.col(key).cast("long").alias("value"))
+            for key in _STAR_KEYS.values()
+        ]
+    )
+    uses = (
+        fact.select(F.inline(references))
+        .groupBy("foreign_key", "value")
+        .agg(F.count(F.lit(1)).alias("uses"))
+    )
+    known = reduce(
+        DataFrame.unionByName,
+        [
+            dims[table].select(
                 F.lit(key).alias("foreign_key"),
-                F.coalesce(
-                    F.sum(
-                        F.when(F.col(key).isNotNull() & F.col("known").isNull(), F.col("uses"))
-                    ),
-                    F.lit(0),
-                ).alias("orphans"),
-                F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("uses"))), F.lit(0)).alias(
-                    "missing"
-                ),
+                F.col(key).cast("long").alias("value"),
+                F.lit(True).alias("known"),
             )
+            for table, key in _STAR_KEYS.items()
+        ],
+    )
+    missing = F.col("value").isNull()
+    lost = ~missing & F.col("known").isNull()
+    counts = (
+        uses.join(known, ["foreign_key", "value"], "left")
+        .groupBy("foreign_key")
+        .agg(
+            F.sum(F.when(lost, F.col("uses"))).alias("orphans"),
+            F.sum(F.when(missing, F.col("uses"))).alias("missing"),
         )
-    return reduce(DataFrame.unionByName, parts)
-
+    )
+    names = [(key,) for key in _STAR_KEYS.values()]
+    every = fact.sparkSession.createDataFrame(names, "foreign_key string")
+    return every.join(counts, "foreign_key", "left").fillna(0, ["orphans", "missing"])

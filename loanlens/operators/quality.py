@@ -63,19 +63,35 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def uniqueness(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Two rows per table: how many values of either key occur more than once."""
-    results = []
+    """Two rows per table: how many values of either key occur more than once.
+
+    Each table is read once: both keys of a row, as text, are counted in one grouping
+    that all tables share.
+    """
+    parts, names = [], []
     for table, df in tables.items():
         surrogate, natural = contract.KEYS[table]
-        for kind, keys in {"surrogate": [surrogate], "natural": natural}.items():
-            results.append(
-                duplicate_keys(df, keys).agg(
-                    F.lit(table).alias("table_name"),
-                    F.lit(kind).alias("key_kind"),
-                    F.count(F.lit(1)).alias("duplicated_keys"),
-                )
+        both = {"surrogate": [surrogate], "natural": natural}
+        names += [(table, kind) for kind in both]
+        keys = [
+            F.struct(
+                F.lit(kind).alias("key_kind"),
+                F.to_json(F.array(*[F.col(c).cast("string") for c in columns])).alias("value"),
             )
-    return reduce(DataFrame.unionByName, results)
+            for kind, columns in both.items()
+        ]
+        rows = df.select(F.lit(table).alias("table_name"), F.inline(F.array(*keys)))
+        parts.append(rows)
+    repeated = duplicate_keys(
+        reduce(DataFrame.unionByName, parts), ["table_name", "key_kind", "value"]
+    )
+    counts = repeated.groupBy("table_name", "key_kind").agg(
+        F.count(F.lit(1)).alias("duplicated_keys")
+    )
+    session = next(iter(tables.values())).sparkSession
+    every = session.createDataFrame(names, "table_name string, key_kind string")
+    joined = every.join(counts, ["table_name", "key_kind"], "left")
+    return joined.fillna(0, ["duplicated_keys"])
 
 
 def required_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -114,13 +130,6 @@ def cast_failures(named: DataFrame) -> DataFrame:
 
     Without this check unreadable numbers are indistinguishable from zeros.
     """
-    typed = {c: cleanse.number_from_text(c) for c in contract.NUMERIC}
-    typed |= {c: cleanse.date_from_text(c) for c in contract.DATES}
-    columns = [c for c in typed if c in named.columns]
-    wide = named.agg(
-        *[
-            F.count(F.when(F.col(c).isNotNull() & typed[c].isNull(), 1)).alias(c)
-            for c in columns
-        ]
-    )
+    columns = [c for c in contract.NUMERIC + contract.DATES if c in named.columns]
+    wide = named.agg(*[F.count_if(cleanse.is_unreadable(c)).alias(c) for c in columns])
     return _long(wide, columns, "column_name", "cast_failures")

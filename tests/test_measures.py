@@ -1,4 +1,5 @@
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,6 +41,38 @@ def test_empty_portfolio(spark):
     assert tuple(row) == (0.0, 0.0, 0)
 
 
+def test_sums_per_loan_give_the_same_measures(spark):
+    amounts = "original_principal_amount", "cancelled_amount", "disbursed_amount", "repaid_to_ibrd", "due_to_ibrd"
+    days = "agreement_signing_date", "last_disbursement_date", "effective_date_most_recent", "last_repayment_date", "first_repayment_date"
+    schema = ", ".join(
+        ["status string", "loan_number string", "board_approval_date date", "interest_rate decimal(8,4)"]
+        + [f"{c} decimal(18,2)" for c in amounts] + [f"{c} date" for c in days]
+    )
+    rows = []
+    for i in range(200):
+        number = None if i % 17 == 0 else f"L{i % 23}"
+        start = None if i % 5 == 0 else date(2000, 1, 1 + i % 28)
+        money = [None if i % 7 == k else Decimal(300_000 * ((i * (k + 3)) % 11)) for k in range(5)]
+        rows.append((None if i % 13 == 0 else "ab"[i % 2], number, start, Decimal(i % 4), *money, *[date(2003 + k, 2, 1 + i % 9) for k in range(5)]))
+    df = spark.createDataFrame(rows, schema)
+    for by in ([], ["status"]):
+        expected = df.groupBy(*by).agg(*[c.alias(n) for n, c in kpis.fact_measures().items()])
+        found = kpis.measure_table(df, list(kpis.fact_measures()), by)
+        as_text = lambda d: sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in d.collect())
+        assert as_text(found) == as_text(expected)
+    nothing = kpis.measure_table(df.where("false"), ["loan_count", "avg_processing_days", "total_due"]).first()
+    assert tuple(nothing) == (0, None, 0.0)
+
+
+def test_sketches_merge_to_a_close_count(spark):
+    numbers = spark.range(30_000).select(F.concat(F.lit("L"), F.col("id") % 20_000).alias("loan_number"), (F.col("id") % 7).alias("part"))
+    sketches = kpis.loan_sketches(numbers, ["part"])
+    assert sketches.count() == 7
+    estimate = kpis.estimated_loans(sketches).first().loans
+    assert abs(estimate - 20_000) <= kpis.sketch_error() * 20_000
+    assert kpis.estimated_loans(kpis.loan_sketches(numbers.where("false"), ["part"]), ["part"]).count() == 0
+
+
 def test_year_over_year_does_not_bridge_a_gap(spark):
     df = loans(
         spark,

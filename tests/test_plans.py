@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanlens.catalog import tables
-from loanlens.operators import dedup, joins, ranking
+from loanlens.operators import cleanse, dedup, joins, quality, ranking
 from loanlens.operators.star import build_fact
 from loanlens.plans import dashboards, kpis
 from loanlens.sources import lake
@@ -71,6 +71,25 @@ def test_loan_counts_on_the_fact_need_no_distinct(star):
     assert "distinct" not in text.lower() and "Expand" not in text
 
 
+def test_loan_counts_over_statements_copy_no_row(spark):
+    rows = statements(spark, SF)
+    text = plan(kpis.measure_table(rows, list(kpis.fact_measures()), ["loan_status"]))
+    assert "Expand" not in text and "distinct" not in text.lower()
+    assert text.split("\n\n")[0].count("HashAggregate") == 4
+
+
+def test_key_checks_read_the_fact_once(star):
+    checks = (joins.orphan_counts(star["fact_loans"], star), quality.uniqueness(star))
+    for check in checks:
+        assert plan(check).split("\n\n")[0].count("Scan parquet") <= len(star)
+        assert plan(check).count("gold") and plan(check).count("/fact_loans]") == 1
+
+
+def test_numbers_are_tested_by_one_cast(spark):
+    text = plan(cleanse.cast_numbers(tables.messy_rows(spark, SF).select("interest_rate", "loans_held")))
+    assert "RLIKE" not in text and text.count("decimal(8,4)") == text.count("decimal(18,2)") == 1
+
+
 def test_large_lookups_shuffle(star):
     fact = star["fact_loans"].drop("country_key")
     fact = fact.withColumn("country_key", F.col("borrower_key") % 25)
