@@ -51,7 +51,7 @@ def op3_secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix's decision on every document."""
-    sized = mixing.with_sizes(table(spark, sf_dir, "documents")).select("doc_id", "source", "size")
+    sized = mixing.with_sizes(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "draw")
     mixed = mixing.mix(scratch.materialise(sized))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
@@ -345,7 +345,9 @@ FROM sets d LEFT JOIN classes k ON list_sort(d.s) = k.s LEFT JOIN least l ON k.c
     "op4_source_mix": r"""
 WITH sized AS (
     SELECT doc_id, source,
-           coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+           coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+           ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(source, '') || ':' || coalesce(text, '')), 1, 8))
+             ::UBIGINT::DOUBLE / 4294967296.0::DOUBLE AS u
     FROM documents
 ), sources AS (
     SELECT source, sum(size)::BIGINT AS source_size,
@@ -364,9 +366,7 @@ WITH sized AS (
     SELECT source, source_size, least(most, max(quotient) OVER () * weight) AS target FROM quotients
 ), rated AS (
     SELECT d.doc_id, d.size, t.source_size, t.target,
-           CASE WHEN t.source_size = 0 THEN 0.0::DOUBLE ELSE t.target / t.source_size END AS rate,
-           ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, '')), 1, 8))::UBIGINT::DOUBLE
-             / 4294967296.0::DOUBLE AS u
+           CASE WHEN t.source_size = 0 THEN 0.0::DOUBLE ELSE t.target / t.source_size END AS rate, d.u
     FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,

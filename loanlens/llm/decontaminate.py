@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.llm import tokens
+from loanlens.llm.sampling import unused
 from loanlens.llm.store import Store
 
 #: Kept (1) and ignored (0) word positions.  Every overlap with an item of 14 words or more
@@ -286,11 +287,17 @@ def _clean(index: Index):
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, most_words: int = BROADCAST_WORDS) -> DataFrame:
-    """The rows of ``docs`` that overlap with no benchmark item, unchanged."""
+    """The rows of ``docs`` that overlap with no benchmark item, unchanged.
+
+    Null and wordless texts overlap with nothing and stay; repeated rows stay or go
+    together; all columns are kept, whatever their names; an empty benchmark removes
+    nothing and an empty table stays empty.
+    """
     items, index, _ = _index(benchmark, most_words)
     if index is not None:
         return docs.mapInArrow(_clean(index), docs.schema)
-    numbered = Store(docs.sparkSession).put("rows", docs.withColumn("_row", F.monotonically_increasing_id()))
-    hit = _by_shuffle(numbered.select(F.col("_row").alias("doc_id"), "text"), items)
-    hit = hit.select(F.col("doc_id").alias("_row")).distinct()
-    return numbered.join(hit, "_row", "left_anti").select(*docs.columns)
+    row = unused("row", docs)
+    numbered = Store(docs.sparkSession).put("rows", docs.withColumn(row, F.monotonically_increasing_id()))
+    hit = _by_shuffle(numbered.select(F.col(row).alias("doc_id"), "text"), items)
+    hit = hit.select(F.col("doc_id").alias(row)).distinct()
+    return numbered.join(hit, row, "left_anti").select(*docs.columns)

@@ -15,10 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm import tokens
+from loanlens import scratch
+from loanlens.llm import sampling, tokens
 
 #: Subwords are hashed into so many embeddings of so many numbers.
 BUCKET_BITS = 16
@@ -166,25 +167,18 @@ def _temperature(scores: np.ndarray, label: np.ndarray) -> float:
 def train(docs: DataFrame, sample: int = SAMPLE, folds: int = 3, fold: int = 1) -> Model | None:
     """A model from text and lang of documents outside the held-out fold; None without any.
 
-    Learned from are at most ``sample`` documents with text and lang, an equal number per
-    language at most, chosen by hash of doc_id; their subword counts reach the driver.
+    Learned from are at most ``sample`` documents with text and lang, or one per language
+    if there are more languages, an equal number of each at most, chosen by hash of doc_id;
+    an id counts once, with one of its texts.  Their subword counts reach the driver.
     """
     known = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"), folds, fold)
     )
-    ids = known.select("doc_id", "lang")
-    sizes = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample).collect()
-    languages = sorted(r["lang"] for r in sizes)
+    languages = sorted(r["lang"] for r in known.select("lang").distinct().collect())
     if not languages:
         return None
-    each = max(1, sample // len(languages))
-    # Twice the share that is needed, by hash, so that ranking sees few rows of a language.
-    shares = [(r["lang"], min(1.0, (2 * each + 100) / r["count"])) for r in sizes]
-    share = F.create_map(*[F.lit(x) for pair in shares for x in pair])[F.col("lang")]
-    drawn = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * float(1 << 30))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = drawn.withColumn("place", place).where(F.col("place") <= each)
-    texts = known.join(F.broadcast(chosen.select("doc_id", "place").distinct()), "doc_id")
+    chosen = sampling.draw_ids(known, max(1, sample // len(languages)), ["lang"])
+    texts = sampling.one_text_each(known, scratch.materialise(chosen), ["doc_id", "lang"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("place", pa.int32()), ("lang", pa.string()), ("names", pa.binary()), ("shares", pa.binary())])
@@ -197,7 +191,9 @@ def train(docs: DataFrame, sample: int = SAMPLE, folds: int = 3, fold: int = 1)
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     rows = texts.select("place", "lang", "text").mapInArrow(run, "place int, lang string, names binary, shares binary").collect()
-    rows = sorted(((r.place, r.lang, r.names, r.shares) for r in rows if r.lang in set(languages)))
+    rows = sorted((r.place, r.lang, r.names, r.shares) for r in rows)
+    if not rows:
+        return None
     bag = [(np.frombuffer(r[2], np.int32), np.frombuffer(r[3], np.float32)) for r in rows]
     label = np.array([languages.index(r[1]) for r in rows])
     kept = np.array([r[0] % 5 == 0 for r in rows])

@@ -2,7 +2,8 @@
 
 Words are counted per source; each source gets a target share of the whole budget and
 a repetition rate; a document is then emitted ``floor(rate)`` times, plus once more
-with probability equal to the fraction, decided by a seeded hash of its id.
+with probability equal to the fraction, decided by a seeded hash of its id, source and
+text.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens import scratch
+from loanlens.llm.sampling import unused
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -22,7 +24,7 @@ SEED = "mix"
 BROADCAST_SOURCES = 100_000
 
 #: Columns the operator adds; columns of these names in its input are replaced.
-ADDED = ("size", "source_size", "target", "copies", "taken")
+ADDED = ("size", "draw", "source_size", "target", "copies", "taken", "copy")
 
 
 def word_count(text: Column) -> Column:
@@ -59,15 +61,21 @@ def source_targets(
     )
 
 
-def uniform(key: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) that depends on ``key`` and ``seed`` only; null counts as ''."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
+def uniform(*keys: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) that depends on ``keys`` and ``seed`` only; null counts as ''."""
+    texts = [F.coalesce(key.cast("string"), F.lit("")) for key in keys]
+    digest = F.md5(F.concat_ws(":", F.lit(seed), *texts))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
-def with_sizes(docs: DataFrame) -> DataFrame:
-    """``docs`` with the word count of ``text`` as ``size``."""
-    return docs.drop(*ADDED).withColumn("size", word_count(F.col("text")))
+def with_sizes(docs: DataFrame, seed: str = SEED) -> DataFrame:
+    """``docs`` with the word count of ``text`` as ``size``, and a number that decides.
+
+    ``draw`` hashes id, source and text: rows that share an id, or have none, draw for
+    themselves unless they are alike in all three.
+    """
+    draw = uniform(F.col("doc_id"), F.col("source"), F.col("text"), seed=seed)
+    return docs.drop(*ADDED).withColumns({"size": word_count(F.col("text")), "draw": draw})
 
 
 def mix(
@@ -75,37 +83,41 @@ def mix(
     weights: Sequence[float] = WEIGHTS,
     share: float = SHARE,
     most: float = MOST,
-    seed: str = SEED,
 ) -> DataFrame:
-    """Every row of ``sized`` (doc_id, source, size, ...) with the mix's decision.
+    """Every row of ``sized`` (doc_id, source, size, draw, ...) with the mix's decision.
 
     Adds source_size, target, ``copies`` (how often the mix holds the row) and
-    ``taken`` (the words it takes thereby).  A null size counts as 0; null is a source
-    of its own, the last one; rows with one doc_id get one decision; a source without
-    words has target 0 and rate 0; an empty table gives an empty one.  Columns named
-    like an added one are replaced.
+    ``taken`` (the words it takes thereby).  A null size counts as 0, as does a null draw;
+    null is a source of its own, the last one; rows alike in id, source and text get one
+    decision; a source without words has target 0 and rate 0; an empty table gives an
+    empty one.  Columns named like an added one are replaced, all others are kept.
 
     Per-source sums are combined before the shuffle, so a source with most rows costs
     one row per task; the sources themselves (one row each) are ranked in one task.
     """
-    rows = sized.drop(*ADDED[1:]).withColumn("size", F.coalesce("size", F.lit(0)).cast("long"))
+    rows = sized.drop(*ADDED[2:]).withColumn("size", F.coalesce("size", F.lit(0)).cast("long"))
+    key = unused("source_key", sized)
     targets = scratch.materialise(
         source_targets(rows.select("source", "size"), weights, share, most)
-    ).withColumnRenamed("source", "_source")
+    ).withColumnRenamed("source", key)
     if targets.count() <= BROADCAST_SOURCES:
         targets = F.broadcast(targets)
     rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
-    extra = uniform(F.col("doc_id"), seed) < rate - F.floor(rate)
+    extra = F.coalesce("draw", F.lit(0.0)) < rate - F.floor(rate)
     return (
-        rows.join(targets, F.col("source").eqNullSafe(F.col("_source")))
-        .drop("_source")
+        rows.join(targets, F.col("source").eqNullSafe(F.col(key)))
+        .drop(key)
         .withColumn("copies", F.floor(rate) + extra.cast("long"))
         .withColumn("taken", F.col("size") * F.col("copies"))
     )
 
 
 def emit(mixed: DataFrame) -> DataFrame:
-    """Each row as often as ``copies`` says, numbered from 1 in ``copy``."""
+    """Each row as often as ``copies`` says, numbered from 1 in ``copy``, which is replaced.
+
+    Rows with no copies, or null, are left out; repeated rows are repeated each; an
+    empty table gives an empty one.
+    """
     return (
         mixed.where("copies > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))

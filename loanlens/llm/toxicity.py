@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm import tokens
+from loanlens import scratch
+from loanlens.llm import sampling, tokens
 
 #: Words are hashed into so many features.
 FEATURE_BITS = 20
@@ -146,7 +147,7 @@ def _sampled(docs: DataFrame, ids: DataFrame) -> list:
             columns = [batch.column("kind"), batch.column("label"), pa.array(words, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    rows = docs.join(F.broadcast(ids), "doc_id").select("text", "kind", "label")
+    rows = sampling.one_text_each(docs, ids, ["doc_id"]).select("text", "kind", "label")
     return rows.mapInArrow(run, "kind int, label int, words binary").collect()
 
 
@@ -154,22 +155,22 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int =
     """A model from labels of documents outside fold 0; None without both kinds of label.
 
     Learned from are at most ``sample`` labelled and ``sample`` other documents, chosen
-    by hash of doc_id; only their word features (a few kB each) reach the driver.
+    by hash of doc_id; an id counts once, with one of its texts and its greatest label.
+    Only their word features (a few kB each) reach the driver.
     """
     open_rows = lambda df: df.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), folds))
-    order = F.xxhash64("doc_id")
+    valid = open_rows(labels.select("doc_id", "toxic")).where("toxic in (0, 1)")
     marked = (
-        open_rows(labels.select("doc_id", "toxic")).where("toxic in (0, 1)")
+        valid.join(F.broadcast(scratch.materialise(sampling.draw_ids(valid, sample))), "doc_id")
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-        .orderBy(order, "doc_id").limit(sample)
         .select("doc_id", F.lit(0).alias("kind"), "label")
     )
-    others = (
-        open_rows(docs.select("doc_id")).orderBy(order, "doc_id").limit(sample)
-        .select("doc_id", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("label"))
+    others = sampling.draw_ids(open_rows(docs.select("doc_id")), sample).select(
+        "doc_id", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("label")
     )
+    drawn = scratch.materialise(marked.unionByName(others))
     rows = sorted(
-        ((r.kind, r.label, r.words) for r in _sampled(docs.select("doc_id", "text"), marked.unionByName(others))),
+        ((r.kind, r.label, r.words) for r in _sampled(docs.select("doc_id", "text"), drawn)),
         key=lambda r: (r[0], r[1] or 0, r[2]),
     )
     words = [np.frombuffer(r[2], np.int32) for r in rows]
@@ -184,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int =
     return Model(kept, weights, bias, *calibrate(margin, label[known]))
 
 
-def _scorer(model: Model | None):
+def _scorer(model: Model | None, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << FEATURE_BITS)
         if model is not None:
@@ -203,7 +204,7 @@ def _scorer(model: Model | None):
                 else:
                     out.append(model.probability(model.bias + sums))
             columns = dict(zip(batch.schema.names, batch.columns, strict=True))
-            columns["score"] = pa.array(np.concatenate(out))
+            columns[name] = pa.array(np.concatenate(out))
             yield pa.RecordBatch.from_pydict(columns)
 
     return run
@@ -217,13 +218,17 @@ def score(docs: DataFrame, model: Model | None, column: str = "score") -> DataFr
     replaced; an empty table stays empty.  Rows are neither moved nor dropped.
     """
     docs = docs.drop(column)
-    scored = docs.withColumnRenamed("score", "_score") if "score" in docs.columns else docs
-    fields = ", ".join(f"`{n}` {t}" for n, t in scored.dtypes)
-    out = scored.mapInArrow(_scorer(model), f"{fields}, score double").withColumnRenamed("score", column)
-    return out.withColumnRenamed("_score", "score") if "score" in docs.columns else out
+    name = sampling.unused("score", docs)
+    fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
+    return docs.mapInArrow(_scorer(model, name), f"{fields}, `{name}` double").withColumnRenamed(name, column)
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``."""
-    name = "_toxic"
+    """The rows of ``docs`` that score below ``threshold``, with all their columns.
+
+    Null and empty texts stay unless texts without any known word are rejected; without
+    a model every row stays; repeated rows stay or go together; an empty table stays
+    empty.
+    """
+    name = sampling.unused("toxic_score", docs)
     return score(docs, train(docs, labels), name).where(F.col(name) < threshold).drop(name)

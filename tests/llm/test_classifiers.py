@@ -71,6 +71,87 @@ def test_toxicity_accuracy_and_odd_rows(spark, docs):
     assert kept.count() == toxicity.score(docs, toxicity.train(docs, labels)).where("score < 0.5").count()
 
 
+def hot_rows(n):
+    words = ["the house and", "der die das", "le la les"]
+    rows = [(7, f"{words[i % 3]} {i}", ["en", "de", "fr"][i % 3], None, None, None) for i in range(n)]
+    rows += [(1000 + i, f"{words[i % 3]} x{i}", ["en", "de", "fr"][i % 3], None, None, None) for i in range(90)]
+    return rows
+
+
+@pytest.fixture()
+def collected(monkeypatch):
+    """Rows that reach the driver from tasks, per collect."""
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    sizes, plain = [], Frame.collect
+    monkeypatch.setattr(Frame, "collect", lambda self: sizes.append(out := plain(self)) or out)
+    return sizes
+
+
+def test_repeated_ids_are_learned_from_once(spark, collected):
+    frame = spark.createDataFrame(hot_rows(1000), DOCS).cache()
+    model = language.train(frame, sample=60)
+    assert model.languages == ["de", "en", "fr"] and sum(map(len, collected)) < 60 + 10
+    again = language.train(frame.repartition(7), sample=60)
+    assert np.array_equal(model.table, again.table)
+    collected.clear()
+    marks = [(7, 1)] * 400 + [(1000 + i, i % 2) for i in range(90)]
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    assert toxicity.train(frame, labels, sample=50) is not None
+    assert sum(map(len, collected)) <= 2 * 50 + 10
+
+
+def test_one_id_may_hold_all_rows(spark):
+    frame = spark.createDataFrame(hot_rows(600)[:600], DOCS)
+    assert language.train(frame, sample=9).languages == ["de", "en", "fr"]
+    nobody = frame.withColumn("doc_id", F.lit(None).cast("long"))
+    assert language.train(nobody) is None and toxicity.train(nobody, nobody.selectExpr("doc_id", "1 as toxic")) is None
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(1, "a b c", "x", 0.5, True), (2, None, "y", None, False)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _score string, score double, _toxic boolean")
+    model = toxicity.Model(np.array([1]), np.array([1.0]), -3.0, 1.0, 0.0)
+    scored = toxicity.score(frame, model, "_toxic_score")
+    assert scored.columns == [*frame.columns, "_toxic_score"]
+    assert sorted(map(str, scored.drop("_toxic_score").collect())) == sorted(map(str, frame.collect()))
+    assert toxicity.score(frame, model).columns == ["doc_id", "text", "_score", "_toxic", "score"]
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    assert toxicity.reject(frame, labels).columns == frame.columns
+
+
+def test_mean_embedding_is_that_of_a_plain_loop(docs):
+    model = language.train(docs, sample=200)
+    text = "Der Hüte, und  x1y ABc"
+    hashed = [b[f[0] : f[1]] for b, f in language.subwords(pa.array([text]))]
+    plain = np.mean([model.table[int(k)] for k in np.concatenate(hashed)], axis=0)
+    scores = plain @ model.last + model.bias
+    expected = np.exp(scores / model.temperature) / np.exp(scores / model.temperature).sum()
+    assert np.allclose(model.probabilities(pa.array([text]))[0], expected, atol=1e-5)
+
+
+def test_risk_falls_as_its_definition_says():
+    """Objective of the fitted weights by a plain loop: below that of no weights."""
+    rng = np.random.default_rng(1)
+    rows = [np.unique(rng.integers(0, 50, 8)).astype(np.int32) for _ in range(400)]
+    positive = [np.unique(np.append(r, 99)).astype(np.int32) for r in rows[:60]]
+    mixed = rows[60:] + [np.unique(np.append(r, 99)).astype(np.int32) for r in rows[:40]]
+
+    def risk(kept, weights, bias, prior=0.1):
+        table = dict(zip(kept.tolist(), weights.tolist(), strict=True))
+        margin = lambda row: bias + sum(table.get(int(c), 0.0) for c in row)
+        as_one = lambda rows: sum(np.log1p(np.exp(-margin(r))) for r in rows) / len(rows)
+        as_zero = lambda rows: sum(np.log1p(np.exp(margin(r))) for r in rows) / len(rows)
+        return prior * as_one(positive) + max(0.0, as_zero(mixed) - prior * as_zero(positive))
+
+    kept, weights, bias = toxicity.fit(positive, mixed, 0.1)
+    start = risk(kept, np.zeros(len(kept)), float(np.log(0.1 / 0.9)))
+    assert risk(kept, weights, bias) < 0.5 * start
+    worse = weights.copy()
+    worse[list(kept).index(99)] -= 1.0
+    assert risk(kept, worse, bias) > risk(kept, weights, bias)
+
+
 def test_risk_is_that_of_its_definition():
     rng = np.random.default_rng(0)
     rows = [np.unique(rng.integers(0, 50, 8)).astype(np.int32) for _ in range(400)]

@@ -11,6 +11,15 @@ DOCS = "doc_id long, text string, item_id string, seed int"
 ITEMS = "item_id long, text string, at string"
 
 
+def test_a_row_column_survives_the_shuffle(spark):
+    item = " ".join(f"word{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, item, 7, "x"), (2, "something else", 8, "y")], "doc_id long, text string, row int, _ROW string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    for most in (10**6, 0):
+        kept = decontaminate.remove_contaminated(docs, items, most)
+        assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(2, "something else", 8, "y")]
+
+
 def data():
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7)))

@@ -85,6 +85,23 @@ def test_targets_and_copies(spark):
     assert sorted(map(str, again)) == sorted(map(str, out))
 
 
+def test_rows_without_id_draw_for_themselves(spark):
+    rows = [(None, f"a b {i}", "s", None, None) for i in range(600)] + [(5, f"c d {i}", "t", None, None) for i in range(600)]
+    rows += [(10_000 + i, "w " * 30, "u", None, None) for i in range(200)]
+    out = mixing.mix(mixing.with_sizes(spark.createDataFrame(rows, ROWS))).collect()
+    for source in ("s", "t"):
+        taken = sum(r.taken for r in out if r.source == source)
+        target = next(r.target for r in out if r.source == source)
+        assert abs(taken - target) < 0.1 * target
+
+
+def test_columns_of_any_name_stay_in_the_mix(spark):
+    rows = spark.createDataFrame([(1, "a b", "s", "p", "q", 3)], "doc_id long, text string, source string, _source string, Source_Key string, copy int")
+    out = mixing.emit(mixing.mix(mixing.with_sizes(rows)))
+    assert [r._source for r in out.collect()] and {"_source", "Source_Key"} <= set(out.columns)
+    assert out.columns.count("copy") == 1
+
+
 def test_emit_repeats(spark):
     rows = spark.createDataFrame([(1, 0), (2, 1), (3, 2)], "doc_id long, copies long")
     assert sorted((r.doc_id, r["copy"]) for r in mixing.emit(rows).collect()) == [(2, 1), (3, 1), (3, 2)]
