@@ -38,6 +38,7 @@ _PIECE = re.compile(r"[A-Za-z0-9+_-]{16,}")
 #: Characters of a candidate; and those that join pieces, though credentials may hold them.
 LEAST = 16
 _JOINERS = "+_-"
+MOST_JOINERS = 4
 
 #: Publicly documented credential formats, fixed values: prefix, alphabet, length of the rest.
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -283,8 +284,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
                 spans = base_spans(text)
                 found |= {(KINDS[k], v, 0) for _, k, _, v in spans if len(v) <= LONGEST}
                 for (a, b), *_ in _candidates(text, spans):
-                    if b - a <= LONGEST:
-                        count_pairs(pairs, text[a:b])
+                    count_pairs(pairs, text[a:b])
             rows = sorted(found) + [("pair", str(i), int(n)) for i, n in enumerate(pairs.flat) if n]
             arrays = [pa.array([r[i] for r in rows], pa.int64() if i == 2 else pa.string()) for i in range(3)]
             yield pa.RecordBatch.from_arrays(arrays, names=["kind", "value", "n"])
@@ -315,15 +315,18 @@ def _rests(start: int, stop: int, spans: list[tuple[int, int, int, str]]) -> lis
 
 
 def _trimmed(text: str, a: int, b: int, left: bool, right: bool) -> Iterator[tuple[int, int]]:
-    """A part, then the part without joining characters beside fixed finds, each number of them."""
+    """A part, then the part without joining characters beside fixed finds.
+
+    Of a row of joining characters the whole is tried, and the nearest ones to the rest, up
+    to ``MOST_JOINERS``, in each number: so many a credential itself may begin or end with.
+    """
     value = text[a:b]
     most = len(value) - len(value.lstrip(_JOINERS)) if left else 0
     last = len(value) - len(value.rstrip(_JOINERS)) if right else 0
-    for i in range(most + 1):
-        for j in range(last + 1):
-            if b - j - a - i < LEAST:
-                break
-            yield a + i, b - j
+    for i in {0: None} | dict.fromkeys(range(max(0, most - MOST_JOINERS), most + 1)):
+        for j in {0: None} | dict.fromkeys(range(max(0, last - MOST_JOINERS), last + 1)):
+            if b - j - a - i >= LEAST:
+                yield a + i, b - j
 
 
 def _candidates(text: str, spans: list[tuple[int, int, int, str]]) -> Iterator[list[tuple[int, int]]]:
@@ -336,11 +339,10 @@ def _candidates(text: str, spans: list[tuple[int, int, int, str]]) -> Iterator[l
     for m in _RUN.finditer(text):
         while low < len(spans) and spans[low][2] <= m.start():
             low += 1
-        near = []
-        for span in spans[low:]:
-            if span[0] >= m.end():
-                break
-            near.append(span)
+        high = low
+        while high < len(spans) and spans[high][0] < m.end():
+            high += 1
+        near = spans[low:high]
         for start, stop, left, right in _rests(*m.span(), near):
             if stop - start < LEAST:
                 continue
@@ -414,7 +416,11 @@ def redacted(text: str | None, model: Model | None, mark: str = "[secret]") -> s
 
 
 def redact(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with all finds in ``text`` replaced, and ``n_chars``, if there, counted anew."""
+    """``docs`` with all finds in ``text`` replaced, and ``n_chars``, if there, counted anew.
+
+    A null text stays null with its ``n_chars``; repeated rows are changed alike; rows are
+    neither moved nor dropped; other columns stay as they are; an empty table stays empty.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -105,6 +106,31 @@ def test_credentials_joined_to_fixed_finds_are_found(model):
     assert grammar.spans_of(f"see {draw(HEX, 40)}/ordinarywordsofsomelength end", model)[1:] == []
 
 
+@pytest.mark.parametrize("joiner", ["-", "_", "-=", "-/_"])
+def test_long_rows_of_joiners_take_little_time(model, joiner):
+    key = "AKIA" + "B7" * 8
+    text = f"{key}{joiner * (100_000 // len(joiner))}{key} end"
+    start = time.perf_counter()
+    spans = grammar.spans_of(text, model)
+    assert [s[:2] for s in spans if s[2] == "access"] == [(0, 20), (len(text) - 24, len(text) - 4)]
+    assert time.perf_counter() - start < 3
+
+
+def test_many_finds_take_linear_time(model):
+    text = " ".join(["AKIA" + "C3" * 8] * 60_000)
+    start = time.perf_counter()
+    assert len(grammar.spans_of(text, model)) == 60_000
+    assert time.perf_counter() - start < 6
+
+
+def test_long_tokens_count_as_ordinary(spark):
+    token = "ab/c-" * 300
+    pairs = np.zeros((grammar.END + 1, grammar.END + 1))
+    grammar.count_pairs(pairs, token)
+    frame = spark.createDataFrame([(1, f"x {token} y", None, None)], DOCS)
+    assert np.array_equal(grammar.train(frame).rest.pair, grammar.ordinary(pairs).pair)
+
+
 def test_every_ordinary_token_counts(spark):
     rng = random.Random(6)
     words = ["".join(rng.choice(grammar.LOWER + "/-") for _ in range(20)) + "g" for _ in range(30)]
