@@ -33,7 +33,8 @@ LEAST = 2048
 BLOCK_ROWS = 8_192
 BLOCK_QUERIES = 4_096
 
-_FOUND = "query_id long, vec_id long, score double"
+_FOUND = "query_id long, query_key long, vec_id long, score double"
+_KINDS = {"query_id": "int64", "query_key": "int64", "vec_id": "int64", "score": "float64"}
 
 
 class Forest:
@@ -98,10 +99,12 @@ def matrix(column: pd.Series, width: int) -> np.ndarray:
 
 def nearest(
     queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int,
-    trees: int = TREES, bits: int = BITS, share: float = SHARE, seed: int = 1,
+    trees: int = TREES, bits: int = BITS, share: float = SHARE, seed: int = 1, query_keys: np.ndarray | None = None,
 ) -> pd.DataFrame:
     """The ``k`` best candidates of each query in one block, ties to smaller ids.
 
+    ``query_keys`` tell queries apart that share an id; the result carries them.
+
     The runs of all trees hold a row several times; they grow until, counted so, they
     would hold ``share`` of the block if rows fell into them at random.
     """
@@ -120,10 +123,11 @@ def nearest(
             near = np.flatnonzero(score >= np.partition(score, -k)[-k] - 1e-12)
             found, score = found[near], score[near]
         best = np.lexsort((ids[found], -score))[:k]
-        out.append((np.full(len(best), query_ids[q]), ids[found[best]], score[best]))
+        out.append((np.full(len(best), q), ids[found[best]], score[best]))
     columns = zip(*out, strict=True) if out else ([], [], [])
-    query, vec, score = (np.concatenate([*c, np.zeros(0)]) for c in columns)
-    return pd.DataFrame({"query_id": query.astype(np.int64), "vec_id": vec.astype(np.int64), "score": score})
+    query, vec, score = (np.concatenate([*c, np.zeros(0, kind)]) for c, kind in zip(columns, (np.int64, np.int64, float), strict=True))
+    keys = np.arange(len(query_ids)) if query_keys is None else query_keys
+    return pd.DataFrame({"query_id": query_ids[query], "query_key": keys[query], "vec_id": vec, "score": score}).astype(_KINDS)
 
 
 def usable(vectors: DataFrame, vector: str) -> DataFrame:
@@ -145,8 +149,9 @@ def search(
     Both tables have vec_id and a vector column; nearness is the cosine in double
     precision, ties go to the smaller vec_id, a row is no neighbour of its own id.  Only
     vectors of equal length meet.  Null and zero vectors, those holding a null or
-    non-finite number, and rows without vec_id take no part; a repeated vec_id is
-    searched and found as often as it stands there; fewer than ``k`` candidates give as
+    non-finite number, and rows without vec_id take no part.  A repeated vec_id is found as
+    often as it stands there.  Queries alike in id and vector are one query; two vectors
+    under one id are two, each with its own ranks.  Fewer than ``k`` candidates give as
     many rows; empty tables give none; other columns are ignored.
 
     Every row is indexed.  A task holds one block of rows (8 Ki) and one of queries
@@ -156,7 +161,8 @@ def search(
     slim = lambda df: usable(df, vector).select(
         F.col("vec_id").cast("long"), F.col(vector).cast("array<double>").alias("v"), F.size(vector).alias("width")
     )
-    rows, asked = slim(vectors), slim(queries)
+    rows = slim(vectors).withColumn("query_key", F.lit(0).cast("long"))
+    asked = slim(queries).withColumn("query_key", F.xxhash64("v")).dropDuplicates(["vec_id", "query_key", "v"])
     counts = (
         rows.groupBy("width").count().join(asked.groupBy("width").agg(F.count("*").alias("asked")), "width")
         .select(
@@ -168,10 +174,10 @@ def search(
     span = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     sides = (
         rows.join(F.broadcast(counts), "width")
-        .select("width", block(1, "blocks").alias("block"), F.explode(span("parts")).alias("part"), F.lit(False).alias("asks"), "vec_id", "v")
+        .select("width", block(1, "blocks").alias("block"), F.explode(span("parts")).alias("part"), F.lit(False).alias("asks"), "vec_id", "query_key", "v")
         .unionByName(
             asked.join(F.broadcast(counts), "width")
-            .select("width", F.explode(span("blocks")).alias("block"), block(2, "parts").alias("part"), F.lit(True).alias("asks"), "vec_id", "v")
+            .select("width", F.explode(span("blocks")).alias("block"), block(2, "parts").alias("part"), F.lit(True).alias("asks"), "vec_id", "query_key", "v")
         )
     )
 
@@ -179,12 +185,13 @@ def search(
         width, asks = int(key[0]), held["asks"].to_numpy()
         held_rows, held_queries = held[~asks].sort_values("vec_id"), held[asks].sort_values("vec_id")
         if not len(held_rows) or not len(held_queries):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+            return pd.DataFrame({name: [] for name in _KINDS}).astype(_KINDS)
         return nearest(
             matrix(held_queries["v"], width), held_queries["vec_id"].to_numpy(),
             matrix(held_rows["v"], width), held_rows["vec_id"].to_numpy(), k, trees, bits, share,
+            query_keys=held_queries["query_key"].to_numpy(),
         )
 
     found = sides.groupBy("width", "block", "part").applyInPandas(task, _FOUND)
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    place = F.row_number().over(Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -73,6 +73,39 @@ def test_ascent_is_common_to_all_trees():
         assert [(every[:, t] >> (16 - n) == keys[q, t] >> (16 - n)).sum() for t in range(4)] == (high - low)[q].tolist()
 
 
+def test_repeated_query_ids_keep_five_neighbours(spark):
+    rows = vectors(300)
+    repeated = [*rows, rows[50], rows[50], rows[33], (100, rows[7][1])]
+    frame = spark.createDataFrame([(i, v, "x", None) for i, v in repeated], SCHEMA)
+    out = forest.search(frame, frame.where("vec_id in (50, 100)")).collect()
+    expected = brute(rows + [rows[33], (100, rows[7][1])], {50, 100}, 5)
+    asked = sorted((r["rank"], r.vec_id) for r in out if r.query_id == 50)
+    assert asked == [(k + 1, i) for k, (i, _) in enumerate(expected[50])]
+    assert sorted(r["rank"] for r in out if r.query_id == 100) == sorted([1, 2, 3, 4, 5] * 2)
+    assert all(r.vec_id != r.query_id for r in out)
+
+
+def test_recall_of_the_forest_on_the_table(spark, monkeypatch):
+    """Without the floor under the share, so that prefixes decide in blocks of 2,000 rows."""
+    monkeypatch.setattr(forest, "LEAST", 1)
+    frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r.vec_id, list(r.embedding)) for r in frame.collect()]
+    ids, points = np.array([i for i, _ in rows]), np.array([v for _, v in rows], dtype=np.float64)
+    asked = np.flatnonzero(ids % 50 == 0)
+    whole, held = forest.Forest.candidates, []
+
+    def counted(self, unit, want):
+        for found in whole(self, unit, want):
+            held.append(len(found) / self.n)
+            yield found
+
+    monkeypatch.setattr(forest.Forest, "candidates", counted)
+    out = forest.nearest(points[asked], ids[asked], points, ids, 5)
+    expected = brute(rows, set(ids[asked].tolist()), 5)
+    hits = [len(set(out[out["query_id"] == q]["vec_id"]) & {i for i, _ in expected[q]}) for q in ids[asked].tolist()]
+    assert np.mean(hits) >= 4.5 and 0.2 < np.mean(held) < 0.6
+
+
 def test_empty_and_lonely(spark):
     empty = spark.createDataFrame([], SCHEMA)
     one = spark.createDataFrame([(0, [1.0, 0.0], None, None)], SCHEMA)
