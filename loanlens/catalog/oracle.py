@@ -566,6 +566,31 @@ def _visuals() -> dict[str, str]:
     }
 
 
+def _declared_defaults() -> str:
+    rows = []
+    for table in _DIMENSIONS:
+        defaults = {f.name: f.default for f in contract.WAREHOUSE[table] if f.default is not None}
+        rows += [
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS row_count FROM messy "
+            f"WHERE l_partkey % {every} = 0 OR coalesce({c}, '{value}') = '{value}'"
+            for every, (c, value) in enumerate(defaults.items(), 3)
+        ]
+    return " UNION ALL ".join(rows)
+
+
+def _declared_lengths() -> str:
+    rows = []
+    for table, fields in contract.WAREHOUSE.items():
+        for f in fields:
+            if f.length:
+                rows.append(
+                    f"SELECT '{table}' AS table_name, '{f.name}' AS column_name, {f.length} AS length_limit, "
+                    f"count(DISTINCT CASE WHEN length({f.name}) > {f.length} THEN {f.name} END) AS violations, "
+                    f"cast(max(length({f.name})) AS integer) AS longest FROM latest"
+                )
+    return " UNION ALL ".join(rows)
+
+
 def _preparation(share: str) -> str:
     """Deviations of the assembled slots: numbers, then a slot per category by frequency."""
     numbers = {
@@ -674,6 +699,17 @@ def _oracle() -> dict[str, str]:
             "coalesce(guarantor, 'N/A') AS guarantor, count(*) AS row_count "
             "FROM messy GROUP BY 1, 2",
         ),
+        "declared_defaults": sql(["messy"], _declared_defaults()),
+        "warehouse_dates": sql(
+            ["messy"],
+            "SELECT loan_type, "
+            + ", ".join(f"count(try_cast({c} AS date)) AS {c}_read" for c in DATES)
+            + ", "
+            + ", ".join(f"cast(max(try_cast({c} AS date)) AS varchar) AS {c}_max" for c in DATES)
+            + ", cast("
+            + " + ".join(f"count(*) FILTER (WHERE {c} IS NOT NULL AND try_cast({c} AS date) IS NULL)" for c in DATES)
+            + " AS bigint) AS cast_failures FROM messy WHERE l_linenumber % 4 = 3 GROUP BY loan_type",
+        ),
         "trimmed_text": sql(
             ["statements"],
             "SELECT borrower, country, count(*) AS row_count FROM statements "
@@ -719,6 +755,14 @@ def _oracle() -> dict[str, str]:
             "JOIN (VALUES ('visible', 0), ('LOADED', 0), ('SKIPPED', 1)) s(status, odd) "
             "ON k % 2 = odd GROUP BY status",
         ),
+        "recent_load_report": sql(
+            ["latest"],
+            "SELECT cast(0 AS bigint) AS batch_id, status, cast(count(*) AS bigint) AS rows, "
+            "cast(any_value(lost) AS bigint) AS lost_values FROM (SELECT DISTINCT project_id, "
+            "dense_rank() OVER (ORDER BY project_id) - 1 AS k FROM latest) "
+            "JOIN (VALUES ('LOADED', 0, 0), ('SKIPPED', 1, 1)) s(status, odd, lost) "
+            "ON k % 2 = odd GROUP BY status",
+        ),
         "fact_from_raw_files": sql(
             ["filled"],
             "SELECT loan_number, "
@@ -782,6 +826,7 @@ def _oracle() -> dict[str, str]:
         ),
         "cast_failures": sql(["messy"], _cast_failures()),
         "length_violations": sql(["latest"], _lengths()),
+        "declared_lengths": sql(["latest"], _declared_lengths()),
         "repeated_loan_numbers": sql(
             ["statements"],
             "SELECT loan_number, count(*) AS copies FROM statements "

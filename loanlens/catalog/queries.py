@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -187,6 +188,38 @@ def dimension_defaults(spark: SparkSession, sf: str) -> DataFrame:
     return filled.groupBy("region", "guarantor").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query
+def declared_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """How often filling puts the declared default of every dimension attribute.
+
+    Each attribute is missing in the rows of every third, fourth, ... part.
+    """
+    rows = tables.messy_rows(spark, sf)
+    parts = []
+    for table, defaults in cleanse.DIMENSION_DEFAULTS.items():
+        gaps = {
+            c: F.when(F.col("l_partkey") % every != 0, F.col(c))
+            for every, c in enumerate(defaults, 3)
+        }
+        filled = cleanse.fill_dimension(rows.withColumns(gaps), table)
+        counts = filled.agg(*[F.count_if(F.col(c) == v).alias(c) for c, v in defaults.items()])
+        long = counts.unpivot([], list(defaults), "column_name", "row_count")
+        parts.append(long.select(F.lit(table).alias("table_name"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def warehouse_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Declared date type from text of the plain pattern: range, and what does not fit."""
+    rows = tables.messy_rows(spark, sf).where(F.col("l_linenumber") % 4 == 3)
+    typed = cleanse.warehouse_types(rows, dict.fromkeys(contract.DATES, "date"))
+    return typed.groupBy("loan_type").agg(
+        *[F.count(c).alias(f"{c}_read") for c in contract.DATES],
+        *[F.max(c).alias(f"{c}_max") for c in contract.DATES],
+        F.sum("_cast_failures").alias("cast_failures"),
+    )
+
+
 @query
 def trimmed_text(spark: SparkSession, sf: str) -> DataFrame:
     """Trimmed borrower names of padded input."""
@@ -359,6 +392,16 @@ def length_violations(spark: SparkSession, sf: str) -> DataFrame:
     return quality.length_violations(tables.silver(spark, sf), limits)
 
 
+@query
+def declared_lengths(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text column of the star against its declared length."""
+    parts = [
+        quality.length_violations(df, table=table).select(F.lit(table).alias("table_name"), "*")
+        for table, df in tables.star(spark, sf).items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def repeated_loan_numbers(spark: SparkSession, sf: str) -> DataFrame:
     """Loans with more than one statement."""
@@ -775,6 +818,15 @@ def recent_loads(spark: SparkSession, sf: str) -> DataFrame:
     return loader.recent_loads(spark, tables.warehouse_dir(spark, sf), "fact_loans", now)
 
 
+@query
+def recent_load_report(spark: SparkSession, sf: str) -> DataFrame:
+    """History report of a delivery of two files, one of them skipped, without times."""
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    folder = tables.bad_file_warehouse_dir(spark, sf)
+    recent = loader.recent_loads(spark, folder, "dim_project", now)
+    return recent.select("batch_id", "status", "rows", "lost_values")
+
+
 # --------------------------------------------------------------------- model
 
 

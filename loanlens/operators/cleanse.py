@@ -16,21 +16,11 @@ from pyspark.sql import types as T
 from loanlens import contract
 from loanlens.operators.dedup import latest_loans
 
-# Defaults per dimension attribute.
+# Declared defaults per dimension attribute.
 DIMENSION_DEFAULTS = {
-    "dim_country": {
-        "country": "Unknown",
-        "region": "Unknown",
-        "guarantor_country_code": "N/A",
-        "guarantor": "N/A",
-    },
-    "dim_project": {"project_name": "Unknown Project"},
-    "dim_loan_type": {
-        "loan_type": "Unknown",
-        "loan_status": "Unknown",
-        "currency_of_commitment": "USD",
-    },
-    "dim_borrower": {"borrower": "Unknown Borrower", "country_code": "N/A"},
+    table: {f.name: f.default for f in fields if f.default is not None}
+    for table, fields in contract.WAREHOUSE.items()
+    if any(f.default is not None for f in fields)
 }
 
 
