@@ -2,8 +2,8 @@
 
 A host label such as ``cheappills`` is split into words by Viterbi's search over a
 unigram model of all the pages' own words.  The words of host and path are scored by a
-multinomial naive Bayes model, learned from the urls the rules decide and from a short
-list of seed words.
+multinomial naive Bayes model, learned from the urls the rules decide and, if a user gives
+any, from seed words.
 """
 
 from __future__ import annotations
@@ -25,13 +25,11 @@ RULES = (
     ("block", "net", "/"), ("allow", "example.net", "/en/"),
     ("block", "example.com", "/de/"), ("allow", "org", "/fr/"),
 )
-#: Words that mark hosts to block, and which share of the blocked hosts' words each counts for.
-SEEDS = (
-    "spam", "farm", "cheap", "pills", "casino", "porn", "xxx", "malware", "phishing", "warez", "viagra", "scam", "betting",
-)
+#: The share of the blocked hosts' words that each given seed word counts for.
 SEED_SHARE = 0.02
 #: Odds of runs that every task gets, in bytes; beyond, they are joined to the pages' runs.
 HELD_BYTES = 16_000_000
+#: Longer runs of letters are no words, and no segment of a run is longer.
 LONGEST_WORD = 24
 SMOOTHING = 1.0
 
@@ -167,7 +165,8 @@ def _odds(store: Store, decided: DataFrame, words: DataFrame, seeds: Sequence[st
     counts = tokens.groupBy("token").agg(*(F.sum(v).cast("double").alias(v) for v in ("block", "allow")))
     counts = store.put("counts", counts.where("block + allow > 0"))
     weight = max(1.0, SEED_SHARE * (counts.where("token like 'h:%'").agg(F.sum("block")).first()[0] or 0.0))
-    planted = decided.sparkSession.createDataFrame([(f"h:{w}", weight, 0.0) for w in seeds], "token string, block double, allow double")
+    schema = "token string, block double, allow double"
+    planted = decided.sparkSession.createDataFrame([(f"h:{w}", weight, 0.0) for w in seeds], schema)
     summed = counts.unionByName(planted).groupBy("token").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"))
     odds = store.put("summed", summed.withColumn("place", F.substring("token", 1, 2)))
     value = F.lit(0.0)
@@ -180,7 +179,7 @@ def _odds(store: Store, decided: DataFrame, words: DataFrame, seeds: Sequence[st
     return runs, tokens, odds.select("token", value.alias("odds")), prior
 
 
-def learn(decided: DataFrame, words: dict[str, int], seeds: Sequence[str] = SEEDS) -> dict[str, float]:
+def learn(decided: DataFrame, words: dict[str, int], seeds: Sequence[str] = ()) -> dict[str, float]:
     """Per token the log odds of block against allow; '' holds the prior's.  For small tables: collected."""
     store = Store(decided.sparkSession)
     table = decided.sparkSession.createDataFrame(list(words.items()), "word string, n long")
@@ -219,14 +218,14 @@ def _totals(store: Store, ruled: DataFrame, runs: DataFrame, prior: float, held_
 
 
 def judge(
-    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, seeds: Sequence[str] = SEEDS, held_bytes: int = HELD_BYTES
+    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, seeds: Sequence[str] = (), held_bytes: int = HELD_BYTES
 ) -> DataFrame:
     """page_id, host, path, rule, verdict and score (of block) for every page.
 
     The longest fitting rule decides; where none fits, the model does: block from 0.5.
     A null url, or one without ``://``, has an empty host and path and is judged by the
     prior alone.  Repeated rows are judged alike; other columns are ignored; an empty
-    table gives an empty one; without decided urls the seed words alone are known.
+    table gives an empty one; without decided urls the seed words alone are known, if any.
     Rules are a short list that every task gets; no row is dropped.  All words of the
     pages and all tokens of decided urls count: words are joined to the parts of the
     urls' distinct runs of letters, odds are summed per run.  Pages stay where they are

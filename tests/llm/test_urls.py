@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loanlens.llm import urls
 
+SEEDS = ("spam", "farm", "cheap", "pills", "casino")
 SCHEMA = "page_id long, url string, html string, host string, verdict string"
 CASES = [
     "http://Www.A.net/x?q#f", "https://b.example.net/en/1", "http://example.net/en/", "http://notexample.net/en/", "http://c.example.com/de/?a://b/",
@@ -26,7 +28,7 @@ def rule(host, path):
 
 def test_parts_rules_and_verdicts(spark):
     rows = [(i, u, "<p>cheap pills spam farm good words</p>" * 20, None, "x") for i, u in enumerate(CASES)] + [(3, CASES[3], None, None, None), (None, CASES[0], None, None, None)]
-    out = urls.judge(spark.createDataFrame(rows, SCHEMA)).collect()
+    out = urls.judge(spark.createDataFrame(rows, SCHEMA), seeds=SEEDS).collect()
     assert len(out) == len(rows)
     by = {r.page_id: r for r in out}
     for i, url in enumerate(CASES):
@@ -59,11 +61,52 @@ def test_word_counts_and_odds(spark):
     frame = spark.createDataFrame([(1, "http://ab.cd.com/ef?gh", "<b>Ab</b> x ab", None, None), (2, None, None, None, None)], SCHEMA)
     assert urls.word_counts(frame) == {"ab": 3, "cd": 1, "ef": 1}
     decided = spark.createDataFrame([("bad.x.com", "/a", "block")] * 30 + [("ok.x.com", "/a", "allow")] * 30, "host string, path string, verdict string")
-    odds = urls.learn(decided, {"bad": 5, "ok": 5})
+    odds = urls.learn(decided, {"bad": 5, "ok": 5}, SEEDS)
     assert odds["h:bad"] > 1 > 0 > odds["h:ok"] and abs(odds["p:a"]) < 0.1 and odds[""] == 0
     assert odds["h:spam"] > 0
 
 
+def test_odds_are_those_of_a_plain_count(spark):
+    rng = random.Random(9)
+    hosts, paths = ["good.ab.com", "badbad.cd.com", "x1.ef.com"], ["/en/a/12", "/de/bad", "/"]
+    rows = [(rng.choice(hosts), rng.choice(paths), rng.choice(["block", "allow", None])) for _ in range(300)]
+    decided = spark.createDataFrame(rows, "host string, path string, verdict string")
+    words = {"good": 4, "bad": 6, "ab": 1, "cd": 1, "ef": 1, "en": 2, "de": 2}
+    segmenter, counts = urls.Segmenter(words), {"block": {}, "allow": {}}
+    for host, path, verdict in rows:
+        for place, run in urls.runs_of(host, path) if verdict else ():
+            for word in segmenter.split(run) if run.isalpha() else [run]:
+                counts[verdict][place + word] = counts[verdict].get(place + word, 0) + 1
+    odds = urls.learn(decided, words)
+    names = counts["block"].keys() | counts["allow"].keys()
+    assert odds.keys() == names | {""}
+    for name in names:
+        mine = {t for t in names if t[:2] == name[:2]}
+        share = [(c.get(name, 0) + 1) / (sum(c.get(t, 0) for t in mine) + len(mine) + 1) for c in (counts["block"], counts["allow"])]
+        assert abs(odds[name] - math.log(share[0] / share[1])) < 1e-9
+    n = [sum(r[2] == v for r in rows) for v in ("block", "allow")]
+    assert abs(odds[""] - math.log((n[0] + 1) / (n[1] + 1))) < 1e-9
+
+
+def test_held_out_verdicts(spark):
+    """Urls that the rules decide, learned from two thirds: right on nine of ten others."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    named = pages.select("page_id", urls.host_of(F.col("url")).alias("host"), urls.path_of(F.col("url")).alias("path"))
+    decided = named.withColumn("verdict", urls.rule_of(F.col("host"), F.col("path"))[1]).where("verdict is not null")
+    held = F.crc32(F.col("page_id").cast("string")) % 3 == 0
+    words = urls.word_counts(pages)
+    assert max(map(len, words)) < urls.LONGEST_WORD
+    odds, segmenter = urls.learn(decided.where(~held), words), urls.Segmenter(words)
+
+    def score(host, path):
+        parts = [(p, w) for p, r in urls.runs_of(host, path) for w in (segmenter.split(r) if r.isascii() and r.isalpha() else [r])]
+        return odds[""] + sum(odds.get(p + w, 0.0) for p, w in parts)
+
+    rows = decided.where(held).collect()
+    right = [(score(r.host, r.path) >= 0) == (r.verdict == "block") for r in rows]
+    assert len(rows) > 300 and sum(right) >= 0.9 * len(rows)
+
+
 def test_empty_table(spark):
     assert urls.judge(spark.createDataFrame([], SCHEMA)).collect() == []
     assert spark.range(1).select(urls.host_of(F.lit(None).cast("string"))).first()[0] == ""
