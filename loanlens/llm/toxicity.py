@@ -3,7 +3,9 @@
 Documents labelled toxic are the positives, any other documents the unlabelled rest,
 toxic ones among them included.  A linear model over the distinct words of a text is
 fitted in numpy to the class-prior-corrected risk, whose estimate of the negatives' part
-is kept from falling below zero; its margin is turned into the probability of the label.
+is kept from falling below zero.  The margin from which a text counts as toxic has the
+least error corrected in the same way: labels of clean documents serve to estimate the
+class prior and for nothing else.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ SAMPLE = 8000
 #: A word counts as noise until it moves the risk by so many standard errors.
 NOISE = 3.0
 ROUNDS = 200
+#: Least and greatest slope of the map from margin to score.
+SLOPES = (1.0, 50.0)
 RATE = 0.1
 FOLDS = 5
 
@@ -118,23 +122,24 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
     return kept[live], weights[live], float(bias)
 
 
-def calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the logistic map from margin to label, slope at least 0.
+def calibrate(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[float, float]:
+    """Slope and offset of the logistic map from margin to score, without negative labels.
 
-    Newton steps on targets drawn a little towards each other, as Platt proposed.
+    The score is 0.5 at the margin with the least class-prior-corrected error: missed
+    positives weigh ``prior``, and wrongly found are the unlabelled rows found beyond
+    the positives expected among them.  Of equal margins the largest is taken.  The slope
+    brings the mean score of the unlabelled rows as near to ``prior`` as it can.
     """
-    ones = label.sum()
-    target = np.where(label == 1, (ones + 1) / (ones + 2), 1 / (len(label) - ones + 2))
-    centre, spread = margin.mean(), margin.std() + 1e-9
-    x = np.stack([(margin - centre) / spread, np.ones(len(margin))], axis=1)
-    theta = np.zeros(2)
-    for _ in range(50):
-        q = _sigmoid(x @ theta)
-        hessian = (x * (q * (1 - q))[:, None]).T @ x + 1e-6 * np.eye(2)
-        theta = theta - np.linalg.solve(hessian, x.T @ (q - target))
-        theta = np.clip(theta, -50, 50)
-    slope = max(0.0, theta[0]) / spread
-    return float(slope), float(theta[1] - slope * centre)
+    levels = np.unique(np.concatenate([positive, unlabelled]))
+    missed = np.searchsorted(np.sort(positive), levels) / max(1, len(positive))
+    found = 1 - np.searchsorted(np.sort(unlabelled), levels) / max(1, len(unlabelled))
+    error = prior * missed + np.maximum(0.0, found - prior * (1 - missed))
+    best = len(error) - 1 - int(error[::-1].argmin())
+    cut = (levels[best] + levels[max(0, best - 1)]) / 2
+    slopes = np.geomspace(*SLOPES, 40)
+    means = np.array([_sigmoid(k * (unlabelled - cut)).mean() for k in slopes])
+    slope = float(slopes[np.abs(means - prior).argmin()])
+    return slope, -slope * float(cut)
 
 
 def _sampled(docs: DataFrame, ids: DataFrame) -> list:
@@ -179,10 +184,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int =
     if not known.any() or not 0 < label[known].mean() < 1:
         return None
     pick = lambda mask: [words[i] for i in np.flatnonzero(mask)]
-    unlabelled = pick(~known) or pick(known)
-    kept, weights, bias = fit(pick(label == 1), unlabelled, float(label[known].mean()))
-    margin = _Rows(pick(known), kept).margins(weights, bias)
-    return Model(kept, weights, bias, *calibrate(margin, label[known]))
+    prior = float(label[known].mean())
+    positive, unlabelled = pick(label == 1), pick(~known) or pick(known)
+    kept, weights, bias = fit(positive, unlabelled, prior)
+    margin = lambda rows: _Rows(rows, kept).margins(weights, bias)
+    return Model(kept, weights, bias, *calibrate(margin(positive), margin(unlabelled), prior))
 
 
 def _scorer(model: Model | None, name: str):

@@ -169,3 +169,19 @@ def test_toxicity_without_model(spark):
     assert {r.score for r in toxicity.score(frame, None).collect()} == {0.0}
     empty = spark.createDataFrame([], DOCS)
     assert toxicity.reject(empty, empty_labels).collect() == []
+
+
+def test_cut_has_the_least_corrected_error():
+    rng = np.random.default_rng(2)
+    positive = rng.normal(2, 1, 80)
+    unlabelled = np.concatenate([rng.normal(2, 1, 60), rng.normal(-2, 1, 540)])
+    slope, offset = toxicity.calibrate(positive, unlabelled, 0.1)
+    cut = -offset / slope
+
+    def error(at):
+        missed = np.mean(positive < at)
+        return 0.1 * missed + max(0.0, np.mean(unlabelled >= at) - 0.1 * (1 - missed))
+
+    assert abs(error(cut) - min(error(at) for at in np.concatenate([positive, unlabelled]))) < 1e-9
+    assert toxicity.SLOPES[0] <= slope <= toxicity.SLOPES[1]
+    assert abs(np.mean(1 / (1 + np.exp(-(slope * unlabelled + offset)))) - 0.1) < 0.03
