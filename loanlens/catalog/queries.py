@@ -26,7 +26,7 @@ from loanlens.functions.scalars import (
 )
 from loanlens.operators import cleanse, dedup, joins, keys, quality, ranking, star
 from loanlens.plans import dashboards, features, kpis, medallion, model, questions
-from loanlens.sources import bronze, lake
+from loanlens.sources import bronze, lake, messy
 from loanlens.sources.statements import latest_statements, statements
 from loanlens.streaming import alerts, loader
 
@@ -236,7 +236,7 @@ def warehouse_typing(spark: SparkSession, sf: str) -> DataFrame:
     """Declared types from text: sums of what fits, count of what does not."""
     types = {f.name: f.type for f in contract.WAREHOUSE["fact_loans"]}
     numbers = {c: t for c, t in types.items() if c in contract.NUMERIC}
-    typed = cleanse.warehouse_types(tables.messy_rows(spark, sf), numbers)
+    typed = cleanse.warehouse_types(tables.raw_rows(spark, sf).select("loan_type", *numbers), numbers)
     return typed.groupBy("loan_type").agg(
         *[F.sum(c).alias(c) for c in numbers],
         F.sum("_cast_failures").alias("cast_failures"),
@@ -288,9 +288,10 @@ def landed_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Sparse JSON pages landed as one wide table: filled fields per status."""
 
     def build(folder: str) -> None:
-        rows = tables.messy_rows(spark, sf)
+        rows = tables.raw_rows(spark, sf)
         page = F.to_json(F.struct(*contract.COLUMNS))  # leaves missing fields out
-        rows.select(page).write.text(folder)
+        # With every name in every record, text is far larger than its content.
+        messy.as_files(rows.select(page)).text(folder)
 
     landed = bronze.land_pages(spark, tables.stored(spark, sf, "pages", build))
     sparse = ["region", "guarantor", "cancelled_amount", "last_disbursement_date"]

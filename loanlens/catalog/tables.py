@@ -20,7 +20,7 @@ from loanlens.plans import features, medallion, model
 from loanlens.plans.dashboards import Star
 from loanlens.scratch import new_folder
 from loanlens.sources import bronze, lake, messy
-from loanlens.sources.statements import latest_statements
+from loanlens.sources.statements import joined_lines, latest_statements
 from loanlens.streaming import alerts, loader
 
 AS_OF = date(2002, 1, 1)
@@ -64,11 +64,24 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     return lake.read_star(spark, gold_dir(spark, sf_dir))
 
 
+def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements as raw text, with the marker columns.
+
+    Stored is what they are derived from, a fraction of the text; a query derives the
+    columns it uses.
+    """
+
+    def build(folder: str) -> None:
+        joined_lines(spark, sf_dir).write.option("compression", "zstd").parquet(folder)
+
+    return messy.messy_statements(spark.read.parquet(stored(spark, sf_dir, "joined", build)))
+
+
 def messy_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statements as raw text, with the marker columns."""
+    """The same stored as text, for queries over many of the columns."""
 
     def build(folder: str) -> None:
-        messy.messy_statements(spark, sf_dir).write.parquet(folder)
+        raw_rows(spark, sf_dir).write.option("compression", "zstd").parquet(folder)
 
     return spark.read.parquet(stored(spark, sf_dir, "messy", build))
 
@@ -78,7 +91,7 @@ def bronze_dir(spark: SparkSession, sf_dir: str) -> str:
         spark,
         sf_dir,
         "bronze",
-        lambda folder: messy.write_bronze(messy_rows(spark, sf_dir), folder),
+        lambda folder: messy.write_bronze(raw_rows(spark, sf_dir), folder),
     )
 
 
@@ -221,7 +234,7 @@ def delivered_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     The delivery has a third of the rows of three countries; every tenth loan in it
     has moved to a country of its own.
     """
-    rows = messy_rows(spark, sf_dir)
+    rows = raw_rows(spark, sf_dir)
     given = (F.col("l_partkey") % 3 == 0) & F.col("country_code").isin("C01", "C02", "C03")
     number = F.substring("loan_number", 2, 20).cast("long")
     moved = F.when(number % 10 == 0, "C88").otherwise(F.col("country_code"))
@@ -249,7 +262,7 @@ def copies_dir(spark: SparkSession, sf_dir: str) -> str:
 
 def multi_line_dir(spark: SparkSession, sf_dir: str) -> tuple[str, medallion.StepCounts]:
     """Silver of raw files in which every fifth part's borrower takes two lines."""
-    rows = messy_rows(spark, sf_dir).where(~messy.is_malformed())
+    rows = raw_rows(spark, sf_dir).where(~messy.is_malformed())
     two_lines = F.concat_ws("\n", "borrower", "country")
     borrower = F.when(F.col("l_partkey") % 5 == 0, two_lines).otherwise(F.col("borrower"))
     named = rows.withColumn("borrower", borrower).select(
@@ -257,7 +270,7 @@ def multi_line_dir(spark: SparkSession, sf_dir: str) -> tuple[str, medallion.Ste
     )
 
     def build(folder: str) -> None:
-        named.write.option("header", True).csv(f"{folder}/raw")
+        messy.as_files(named).option("header", True).csv(f"{folder}/raw")
         counts = medallion.bronze_to_silver(
             spark, f"{folder}/raw", f"{folder}/silver", "20020101", multi_line=True
         )

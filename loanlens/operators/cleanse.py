@@ -39,23 +39,24 @@ def standardize_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def _fits(column: str) -> Column:
+def _fits(column: str, name: str | None = None) -> Column:
     """Whether a text is a plain decimal number that fits the column's declared type.
 
     The cast to that type is the whole test: it refuses the words a cast to double would
     take for numbers (NaN, Infinity, a trailing d) and values Gold could not hold.
     """
-    kind = contract.RATE_TYPE if column in contract.RATES else contract.MONEY_TYPE
+    kind = contract.RATE_TYPE if (name or column) in contract.RATES else contract.MONEY_TYPE
     return F.col(column).try_cast(kind).isNotNull()
 
 
-def number_from_text(column: str) -> Column:
+def number_from_text(column: str, name: str | None = None) -> Column:
     """Number of a plain decimal text that fits the column's declared type, else NULL.
 
+    ``name`` is the column's standard name, if it has another.
     What Gold could not hold is lost here, where it is counted, not there.  Texts that
     fit keep all their digits.
     """
-    return F.when(_fits(column), F.col(column).try_cast("double"))
+    return F.when(_fits(column, name), F.col(column).try_cast("double"))
 
 
 def date_from_text(column: str) -> Column:

@@ -49,17 +49,20 @@ def bronze_to_silver(
 
     Unusable are lines that do not fit the header, and rows without a loan number:
     these have no identity, and the latest snapshot would make one loan of them all.
-    The text is parsed once, into a stored table split by what becomes of a line, which
-    is removed at the end.  All counts come from file footers, so they are exact even
-    if a stage had to be repeated.
+    The text is parsed twice: on its way to Silver, and into a stored table split by what
+    becomes of a line, which holds unusable rows whole and of the others only that they
+    were there, and is removed at the end.  All counts come from file footers, so they are
+    exact even if a stage had to be repeated.
     """
     raw = bronze.read_bronze(spark, bronze_path, multi_line=multi_line)
     flagged = raw.withColumn(_FATE, bronze.fate(raw))
+    unusable = F.col(_FATE) != bronze.GOOD
+    kept = flagged.select(*[F.when(unusable, F.col(f"`{c}`")).alias(c) for c in raw.columns], _FATE)
     with temporary(spark, "raw") as staged:
-        flagged.write.partitionBy(_FATE).parquet(staged)
+        kept.write.partitionBy(_FATE).parquet(staged)
         rows = spark.read.schema(flagged.schema).parquet(staged)
         part = lambda name: rows.where(F.col(_FATE) == name).drop(_FATE)
-        cleansed = cleanse(part(bronze.GOOD).drop(contract.CORRUPT))
+        cleansed = cleanse(flagged.where(~unusable).drop(_FATE, contract.CORRUPT))
         if merge:
             lake.merge_silver(spark, cleansed, silver_path)
         else:

@@ -151,7 +151,7 @@ def copy_csv(
 ) -> CopyAudit:
     """Copies delimited files, all values quoted, into a time-stamped batch folder.
 
-    Lines that do not fit the header are skipped; the two row counts, taken while
+    The copies are compressed, one file for each that is read as a piece.  Lines that do not fit the header are skipped; the two row counts, taken while
     the copy runs, differ by them.  What a copy did, or that it failed, is appended to
     the audit table of ``target``, one row a copy, which nothing rewrites.
     """
@@ -190,6 +190,7 @@ def _copy(
         .option("header", True)
         .option("quoteAll", True)
         .option("escape", "\\")
+        .option("compression", "gzip")
         .csv(batch)
     )
     rows_read, rows_copied = (counted.get[k] for k in ("rows_read", "rows_copied"))

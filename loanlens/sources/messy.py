@@ -5,33 +5,39 @@ Every defect depends on the row's own numbers, so SQL can tell which rows have i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from loanlens import contract
-from loanlens.sources.statements import statements
+from loanlens.sources.statements import statements_of
+
+# A compressed file is read by one task, so none may outgrow a task.
+RECORDS_PER_FILE = 1_000_000
 
 _MARKS = ("l_partkey", "l_suppkey", "l_linenumber")
 
 
-def _date_text(column: str) -> Column:
-    """One of the four known patterns, by line number."""
+def _date_text(plain: Column) -> Column:
+    """One of the four known patterns, by line number, made from the plain one."""
     shape = F.col("l_linenumber") % 4
-    texts = [F.date_format(column, fmt) for fmt in contract.DATE_FORMATS]
+    month_day = F.translate(F.substring(plain, -5, 5), "-", "/")
+    slashed = F.concat(month_day, F.lit("/"), F.left(plain, F.length(plain) - 6))
     return (
-        F.when(shape == 0, texts[0])
-        .when(shape == 1, texts[1])
-        .when(shape == 2, texts[2])
-        .otherwise(texts[3])
+        F.when(shape == 0, F.concat(plain, F.lit("T00:00:00.000")))
+        .when(shape == 1, F.concat(plain, F.lit("T00:00:00")))
+        .when(shape == 2, slashed)
+        .otherwise(plain)
     )
 
 
-def messy_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All statements as text under contract names, with three marker columns."""
+def messy_statements(joined: DataFrame) -> DataFrame:
+    """All statements of joined line items as text, with three marker columns."""
     part, supplier = F.col("l_partkey"), F.col("l_suppkey")
-    rows = statements(spark, sf_dir, _MARKS)
+    # Dates are printed once, in a step of their own: each pattern is cut from that text.
+    printed = {f"_{c}": F.col(c).cast("string") for c in contract.DATES}
+    rows = statements_of(joined, _MARKS).withColumns(printed)
     text = {c: F.col(c).cast("string") for c in contract.NUMERIC}
-    text |= {c: _date_text(c) for c in contract.DATES}
+    text |= {c: _date_text(F.col(f"_{c}")) for c in contract.DATES}
     text["interest_rate"] = F.when(supplier % 17 == 0, "n/a").otherwise(
         text["interest_rate"]
     )
@@ -78,11 +84,18 @@ def write_bronze(messy: DataFrame, path: str) -> None:
 
     A malformed row is one ready-made line under a ready-made header line, written as
     the only column of a file with another separator, so its commas stay as they are.
+    The files are compressed: as plain text they outweigh the tables many times.
     """
     header = dict(zip(contract.COLUMNS, contract.BRONZE_HEADER))
     good, bad = messy.where(~is_malformed()), messy.where(is_malformed())
     named = good.select(*[F.col(c).alias(h) for c, h in header.items()])
-    named.write.option("header", True).csv(path)
+    as_files(named).option("header", True).csv(path)
     values = [F.coalesce(c, F.lit("")) for c in header]
     line = F.concat_ws(",", *values, F.lit("surplus")).alias(",".join(header.values()))
-    bad.select(line).write.mode("append").option("header", True).csv(path, sep="\u0001")
+    as_files(bad.select(line)).mode("append").option("header", True).csv(path, sep="\u0001")
+
+
+def as_files(rows: DataFrame) -> DataFrameWriter:
+    """Writer of compressed text files of bounded length."""
+    writer = rows.write.option("compression", "gzip")
+    return writer.option("maxRecordsPerFile", RECORDS_PER_FILE)

@@ -39,46 +39,93 @@ TIE_BREAK = [
 ]
 
 
+# Source columns that statements are derived from, nation and region names apart.
+_LOAN = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus"]
+_CUSTOMER = ["c_name", "c_nationkey", "c_mktsegment"]
+_LINE = [
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+    "l_shipdate",
+]
+_PART = ["p_name", "p_size"]
+
+
 def latest_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest statement of every loan."""
-    extra = tuple(c for c in TIE_BREAK if c.startswith("l_"))
-    rows = statements(spark, sf_dir, extra)
+    """The newest statement of every loan.
+
+    The choice is made among source rows, before the other columns are derived from
+    them.  It goes by the order key, which a loan number is one to one with and the
+    joined rows are dealt by, so they are not dealt once more.
+    """
+    joined = joined_lines(spark, sf_dir)
+    derived = [c for c in ("end_of_period", *TIE_BREAK) if c not in joined.columns]
+    rows = _derived(joined).select(*joined.columns, *derived)
     order = [F.col(c).asc() for c in TIE_BREAK]
-    latest = latest_per_key(rows, ["loan_number"], ["end_of_period"], order)
-    return latest.select(*contract.COLUMNS)
+    latest = latest_per_key(rows, ["l_orderkey"], ["end_of_period"], order)
+    return statements_of(latest.select(*joined.columns))
 
 
-def statements(
-    spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()
-) -> DataFrame:
-    """All statements in contract order, followed by ``extra`` source columns.
+def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line item with the columns of its loan, borrower, project and lender.
 
-    No join hint: nation and region are below the size Spark checks before it
-    broadcasts, the others are joined by whatever their measured size allows.
+    What a loan repeats is joined before the lines are, and names of nations and regions
+    after them, so the wide rows are dealt once, by loan.  That join is a merge whatever
+    the sizes: rows of a loan come out side by side, which keeps files and whatever
+    groups by loan small.  The others go by the size Spark measures.
     """
-    nation = _table(spark, sf_dir, "nation")
-    lender = nation.select(
-        F.col("n_nationkey").alias("g_nationkey"), F.col("n_name").alias("g_name")
-    )
-    joined = (
-        _table(spark, sf_dir, "lineitem")
-        .join(
-            _table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-        )
+    loans = (
+        _table(spark, sf_dir, "orders")
         .join(
             _table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
         )
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(
-            _table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
+        .select(*_LOAN, *_CUSTOMER)
+    )
+    lines = (
+        _table(spark, sf_dir, "lineitem")
         .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(
             _table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
         )
+        .select(*_LINE, *_PART, "s_nationkey")
+    )
+    nation = _table(spark, sf_dir, "nation")
+    lender = nation.select(
+        F.col("n_nationkey").alias("g_nationkey"), F.col("n_name").alias("g_name")
+    )
+    region = _table(spark, sf_dir, "region")
+    home = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return (
+        lines.join(loans.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(
+            home.select("n_nationkey", "n_name", "r_name"),
+            F.col("c_nationkey") == F.col("n_nationkey"),
+        )
         .join(lender, F.col("s_nationkey") == F.col("g_nationkey"))
+        .drop("o_orderkey", "c_nationkey", "s_nationkey")
     )
 
+
+def statements(
+    spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()
+) -> DataFrame:
+    """All statements in contract order, followed by ``extra`` source columns."""
+    return statements_of(joined_lines(spark, sf_dir), extra)
+
+
+def statements_of(joined: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Statements of joined line items, followed by ``extra`` source columns."""
+    return _derived(joined).select(*contract.COLUMNS, *extra)
+
+
+def _derived(joined: DataFrame) -> DataFrame:
+    """Joined line items with the columns of the contract."""
     col = F.col
     principal, cancelled = col("original_principal_amount"), col("cancelled_amount")
     disbursed, due = col("disbursed_amount"), col("due_to_ibrd")
@@ -92,7 +139,7 @@ def statements(
     ).otherwise(F.lit(0.0))
 
     # Each step uses columns of the one before it.
-    result = (
+    return (
         joined.withColumns(
             {
                 "end_of_period": col("l_shipdate").cast("date"),
@@ -107,7 +154,7 @@ def statements(
                 "loan_status": col("o_orderstatus"),
                 "currency_of_commitment": col("c_mktsegment"),
                 "project_id": F.concat(
-                    F.lit("P"), F.lpad(col("p_partkey").cast("string"), 6, "0")
+                    F.lit("P"), F.lpad(col("l_partkey").cast("string"), 6, "0")
                 ),
                 "project_name": col("p_name"),
                 "interest_rate": (col("l_tax") * 100).cast(contract.RATE_TYPE),
@@ -161,4 +208,3 @@ def statements(
             }
         )
     )
-    return result.select(*contract.COLUMNS, *extra)

@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from loanlens import contract
 from loanlens.functions.scalars import HIGH_RISK_AMOUNT, cancellation_percent, risk_level
-from loanlens.operators.cleanse import typed_rows
+from loanlens.operators.cleanse import number_from_text, standard_name, typed_rows
 from loanlens.scratch import complete_folders, temporary
 from loanlens.sources import bronze
 
@@ -118,15 +118,26 @@ def start_alerts(
     return writer.trigger(processingTime=interval).start()
 
 
+def _may_alert(raw: DataFrame, threshold: float = HIGH_RISK_AMOUNT) -> Column:
+    """Whether the cancelled amount of a raw row is above the threshold."""
+    names = [c for c in raw.columns if standard_name(c) == "cancelled_amount"]
+    if len(names) != 1:  # left to the typing, which fills or refuses it
+        return F.lit(True)
+    amount = number_from_text(f"`{names[0]}`", "cancelled_amount")
+    return F.coalesce(amount > threshold, F.lit(False))
+
+
 def _record(batch: DataFrame, batch_id: int, target: str, quarantine: str) -> None:
     """Stores a batch's alerts and its unusable rows, each in a folder of the batch.
 
-    The raw text is parsed once, into a staged table split by what becomes of a row.
+    The raw text is parsed once, into a staged table split by what becomes of a row;
+    usable rows that give no alert are left out of it.
     """
     spark, part = batch.sparkSession, f"batch_id={batch_id}"
     flagged = batch.withColumn(_FATE, bronze.fate(batch))
     with temporary(spark, "stream") as staged:
-        flagged.write.partitionBy(_FATE).parquet(staged)
+        stored = flagged.where((F.col(_FATE) != bronze.GOOD) | _may_alert(batch))
+        stored.write.partitionBy(_FATE).parquet(staged)
         rows = spark.read.schema(flagged.schema).parquet(staged)
         unusable = rows.where(F.col(_FATE) != bronze.GOOD).withColumnRenamed(_FATE, "reason")
         unusable.write.mode("overwrite").parquet(f"{quarantine}/{part}")
