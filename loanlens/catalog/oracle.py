@@ -1061,8 +1061,11 @@ def _oracle() -> dict[str, str]:
         "loaded_fact": sql(["fact"], f"SELECT {_plain_list(fact_names)} FROM fact"),
         "alert_ingestion": sql(
             ["filled"],
-            "SELECT risk_level, count(*) AS alerts, count(*) AS with_time, "
-            f"count(*) AS with_file FROM ({_RAW_ALERTS}) GROUP BY risk_level",
+            "SELECT CASE WHEN l_partkey % 97 = 0 THEN 'UNREADABLE' "
+            "WHEN cancelled_amount > 10000000 THEN 'CRITICAL' "
+            "WHEN cancelled_amount > 5000000 THEN 'HIGH' ELSE 'ELEVATED' END AS risk_level, "
+            "count(*) AS alerts, count(*) AS with_time, count(*) AS with_file FROM filled "
+            "WHERE l_partkey % 97 = 0 OR cancelled_amount > 1000000 GROUP BY 1",
         ),
         "load_history": sql(
             ["latest"],
