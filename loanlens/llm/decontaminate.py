@@ -112,7 +112,11 @@ def overlaps(doc: np.ndarray, items: list[np.ndarray], hits: set[tuple[int, int]
 
 
 class Index:
-    """Seeds of benchmark items in sorted arrays, with a bit table that most words fail."""
+    """Seeds of benchmark items in sorted arrays, with a bit table that most words fail.
+
+    Every task holds the tables, as they come and unpacked, so they grow with the items:
+    a bit table has 16 to 32 places a seed, at most ``BITS`` of them to the power of two.
+    """
 
     BITS = 22
 
@@ -131,15 +135,17 @@ class Index:
     def _table(self, where: tuple[list, list, list]):
         hashes, item, at = (np.concatenate(c) for c in where)
         order = np.argsort(hashes, kind="stable")
-        bits = np.zeros(1 << self.BITS, bool)
-        bits[hashes >> np.uint64(64 - self.BITS)] = True
+        size = min(self.BITS, 4 + len(hashes).bit_length())
+        bits = np.zeros(1 << size, bool)
+        bits[hashes >> np.uint64(64 - size)] = True
         return hashes[order], item[order], at[order], bits
 
     def hits(self, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(position in ``words``, item, position in the item) of all equal seeds."""
         for mask, (hashes, item, at, bits) in self.tables.items():
             found = seeds(words, mask)
-            place = np.flatnonzero(bits[found >> np.uint64(64 - self.BITS)])
+            size = len(bits).bit_length() - 1
+            place = np.flatnonzero(bits[found >> np.uint64(64 - size)])
             low = np.searchsorted(hashes, found[place], "left")
             n = np.searchsorted(hashes, found[place], "right") - low
             if n.sum():

@@ -1,3 +1,4 @@
+import pickle
 import random
 from itertools import combinations
 
@@ -154,3 +155,16 @@ def test_short_items_with_replaced_words_are_found(spark, most):
         expected.add((n, n))
     out = decontaminate.find_overlaps(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), most).collect()
     assert {(r.doc_id, r.item_id) for r in out} == expected
+
+
+def test_the_index_of_a_task_grows_with_the_items():
+    rng = np.random.default_rng(5)
+    items = [rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (60, 40, 12, 8, 5, 4, 2, 1)]
+    index = decontaminate.Index(items)
+    assert len(pickle.dumps(index)) < 200_000  # every task holds it twice while it is unpacked
+    for i, words in enumerate(items):
+        doc = np.concatenate([rng.integers(0, 1 << 63, 7).astype(np.uint64), words])
+        found = {(int(p) - int(a), int(k)) for place, item, at in index.hits(doc) for p, k, a in zip(place, item, at)}
+        assert (7, i) in found
+    wide = decontaminate.Index([rng.integers(0, 1 << 63, 300_000).astype(np.uint64)])
+    assert all(len(bits) == 1 << decontaminate.Index.BITS for *_, bits in wide.tables.values())
