@@ -18,7 +18,7 @@ from loanlens import contract
 from loanlens.operators.star import DIMENSIONS
 from loanlens.plans import features, medallion, model
 from loanlens.plans.dashboards import Star
-from loanlens.scratch import new_folder
+from loanlens.scratch import compiled, new_folder
 from loanlens.sources import bronze, lake, messy
 from loanlens.sources.statements import joined_lines, latest_statements
 from loanlens.streaming import alerts, loader
@@ -270,7 +270,8 @@ def multi_line_dir(spark: SparkSession, sf_dir: str) -> tuple[str, medallion.Ste
     )
 
     def build(folder: str) -> None:
-        messy.as_files(named).option("header", True).csv(f"{folder}/raw")
+        with compiled(spark):
+            messy.as_files(named).option("header", True).csv(f"{folder}/raw")
         counts = medallion.bronze_to_silver(
             spark, f"{folder}/raw", f"{folder}/silver", "20020101", multi_line=True
         )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from loanlens import contract
 from loanlens.operators import star as star_ops
 from loanlens.operators.cleanse import cleanse
-from loanlens.scratch import temporary
+from loanlens.scratch import compiled, temporary
 from loanlens.sources import bronze, lake
 from loanlens.streaming.loader import load_star
 
@@ -58,7 +58,7 @@ def bronze_to_silver(
     flagged = raw.withColumn(_FATE, bronze.fate(raw))
     unusable = F.col(_FATE) != bronze.GOOD
     kept = flagged.select(*[F.when(unusable, F.col(f"`{c}`")).alias(c) for c in raw.columns], _FATE)
-    with temporary(spark, "raw") as staged:
+    with temporary(spark, "raw") as staged, compiled(spark):
         kept.write.partitionBy(_FATE).parquet(staged)
         rows = spark.read.schema(flagged.schema).parquet(staged)
         part = lambda name: rows.where(F.col(_FATE) == name).drop(_FATE)

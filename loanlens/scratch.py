@@ -69,6 +69,30 @@ def temporary(spark: SparkSession, name: str) -> Iterator[str]:
         remove(spark, path)
 
 
+# Fixed value: the largest method, in bytes, that Java compiles.
+_COMPILED_BYTES = "8000"
+_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+@contextmanager
+def compiled(spark: SparkSession) -> Iterator[None]:
+    """Within it, stages over many derived columns run as compiled code.
+
+    Spark makes one method of a stage.  Above this size Java interprets it for good;
+    with the limit Spark evaluates the stage's operators one by one, in small methods.
+    Results are the same.
+    """
+    before = spark.conf.get(_METHOD_LIMIT, None)
+    spark.conf.set(_METHOD_LIMIT, _COMPILED_BYTES)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_METHOD_LIMIT)
+        else:
+            spark.conf.set(_METHOD_LIMIT, before)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Computes ``df`` once into reliable storage and reads it from there."""
     shared_folder(df.sparkSession)

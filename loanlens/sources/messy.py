@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from loanlens import contract
+from loanlens.scratch import compiled
 from loanlens.sources.statements import statements_of
 
 # A compressed file is read by one task, so none may outgrow a task.
@@ -89,7 +90,8 @@ def write_bronze(messy: DataFrame, path: str) -> None:
     header = dict(zip(contract.COLUMNS, contract.BRONZE_HEADER))
     good, bad = messy.where(~is_malformed()), messy.where(is_malformed())
     named = good.select(*[F.col(c).alias(h) for c, h in header.items()])
-    as_files(named).option("header", True).csv(path)
+    with compiled(messy.sparkSession):
+        as_files(named).option("header", True).csv(path)
     values = [F.coalesce(c, F.lit("")) for c in header]
     line = F.concat_ws(",", *values, F.lit("surplus")).alias(",".join(header.values()))
     as_files(bad.select(line)).mode("append").option("header", True).csv(path, sep="\u0001")

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from loanlens import contract
 from loanlens.functions.scalars import HIGH_RISK_AMOUNT, cancellation_percent, risk_level
 from loanlens.operators.cleanse import number_from_text, standard_name, typed_rows
-from loanlens.scratch import complete_folders, temporary
+from loanlens.scratch import compiled, complete_folders, temporary
 from loanlens.sources import bronze
 
 # Rate limit, trigger and query name of the alert job.
@@ -135,7 +135,7 @@ def _record(batch: DataFrame, batch_id: int, target: str, quarantine: str) -> No
     """
     spark, part = batch.sparkSession, f"batch_id={batch_id}"
     flagged = batch.withColumn(_FATE, bronze.fate(batch))
-    with temporary(spark, "stream") as staged:
+    with temporary(spark, "stream") as staged, compiled(spark):
         stored = flagged.where((F.col(_FATE) != bronze.GOOD) | _may_alert(batch))
         stored.write.partitionBy(_FATE).parquet(staged)
         rows = spark.read.schema(flagged.schema).parquet(staged)

@@ -7,10 +7,11 @@ import pytest
 from helpers import bronze_line, write_csv
 
 import __spark_entry__ as entry
+from loanlens import scratch
 from loanlens.catalog import tables
 from loanlens.plans import medallion
-from loanlens.sources import bronze
-from loanlens.sources.statements import latest_statements, statements
+from loanlens.sources import bronze, messy
+from loanlens.sources.statements import joined_lines, latest_statements, statements
 from loanlens.streaming import alerts
 
 DAY = datetime(1995, 3, 4)
@@ -141,3 +142,15 @@ def test_rows_without_alert_are_not_stored_by_the_stream(spark, tmp_path, monkey
     staged = spark.read.parquet(str(tmp_path / "kept" / "stream"))
     assert staged.count() == 3
     assert alerts.recorded_quarantine(spark, str(tmp_path / "out")).count() == 2
+
+
+def test_raw_files_are_written_in_methods_that_java_compiles(spark, tmp_path, monkeypatch):
+    key, seen, before = "spark.sql.codegen.hugeMethodLimit", [], spark.conf.get("spark.sql.codegen.hugeMethodLimit", None)
+    plain = messy.as_files
+    monkeypatch.setattr(messy, "as_files", lambda rows: seen.append(spark.conf.get(key)) or plain(rows))
+    joined = joined_lines(spark, "/root/testdata/sf0.001").limit(200)
+    messy.write_bronze(messy.messy_statements(joined), str(tmp_path / "raw"))
+    assert seen[0] == "8000" and spark.conf.get(key, None) == before
+    with scratch.compiled(spark), scratch.compiled(spark):
+        assert spark.conf.get(key) == "8000"
+    assert spark.conf.get(key, None) == before
