@@ -308,7 +308,7 @@ def raw_step_counts(spark: SparkSession, sf: str) -> DataFrame:
     good, _ = bronze.split_quarantine(
         bronze.read_bronze(spark, tables.bronze_dir(spark, sf))
     )
-    copies = dedup.exact_duplicate_count(cleanse.typed_rows(good))
+    copies = dedup.exact_duplicates_of_wide_rows(cleanse.typed_rows(good))
     seen = {name: F.lit(value) for name, value in counts._asdict().items()}
     return copies.withColumns(seen)
 

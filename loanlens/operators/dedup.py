@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loanlens.scratch import compiled, materialise
+
+# Fixed value: so many repeated hashes, 8 bytes each, go to every executor.
+BROADCAST_HASHES = 2_000_000
+
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     """Keeps one of each set of rows that agree in every column."""
@@ -22,6 +27,26 @@ def exact_duplicate_count(df: DataFrame) -> DataFrame:
     )
 
 
+def exact_duplicates_of_wide_rows(
+    df: DataFrame, broadcast_hashes: int = BROADCAST_HASHES
+) -> DataFrame:
+    """``exact_duplicate_count`` of rows too wide to shuffle them all.
+
+    Hashes of the rows are counted first.  Copies share theirs, so only rows whose hash
+    repeats are grouped by all columns; those that share one by chance are told apart there.
+    ``df`` is read a second time only if a hash repeats.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    counts = hashed.groupBy("_hash").count()
+    with compiled(df.sparkSession):
+        repeated = materialise(counts.where("count > 1").select("_hash"))
+    number = repeated.count()
+    if not number:
+        return exact_duplicate_count(df.limit(0))
+    small = F.broadcast(repeated) if number <= broadcast_hashes else repeated
+    return exact_duplicate_count(hashed.join(small, "_hash", "left_semi").drop("_hash"))
+
+
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],

@@ -66,3 +66,20 @@ def test_attached_key_covers_a_missing_value(spark):
     df = spark.createDataFrame([("b", 1), (None, 2), ("a", 3)], "v string, n int")
     keyed = keys.attach_dense_key(df, "v", "k")
     assert {(r.v, r.n, r.k) for r in keyed.collect()} == {(None, 2, 0), ("a", 3, 1), ("b", 1, 2)}
+
+
+def test_copies_of_wide_rows_are_counted_from_hashes_first(spark):
+    rows = [("a", None, 1.0), (None, "a", 1.0), ("a", None, 1.0), (None, None, None), (None, None, None), (None, None, None)]
+    rows += [("z", "0", 0.0), ("z", "0", -0.0), ("n", "n", float("nan")), ("n", "n", float("nan")), ("b", "b", 2.0)]
+    df = spark.createDataFrame(rows, "x string, y string, v double").repartition(3)
+    wanted = dedup.exact_duplicate_count(df).first().exact_duplicates
+    for most in (10, 0):
+        found = dedup.exact_duplicates_of_wide_rows(df, most)
+        assert found.first().exact_duplicates == wanted == 5 and found.columns == ["exact_duplicates"]
+    alike = dedup.exact_duplicates_of_wide_rows(df.distinct())  # a, null and null, a share a hash
+    assert alike.first().exact_duplicates == 0
+    once = dedup.exact_duplicates_of_wide_rows(df.where("x in ('b', 'a')").distinct())
+    assert once.first().exact_duplicates == 0
+    text = once._jdf.queryExecution().optimizedPlan().toString()
+    assert "Scan" not in text and "RDD" not in text  # no row was grouped by all columns
+    assert dedup.exact_duplicates_of_wide_rows(df.limit(0)).first().exact_duplicates == 0
