@@ -59,3 +59,25 @@ def test_pipeline_on_an_empty_table(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{sf}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_pipeline_hands_python_small_batches(spark, tmp_path):
+    limit, stage = "spark.sql.execution.arrow.maxBytesPerBatch", dict(corpus_pipeline.STAGES)["decontamination"]
+    before = spark.conf.get(limit)
+    spark.createDataFrame([(1, "x")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.range(40, numPartitions=1).selectExpr("id doc_id", "repeat(id || ' a ', 250000) text")
+    largest = lambda: docs.mapInArrow(
+        lambda batches: (b.select(["doc_id"]).slice(0, 1).set_column(0, "doc_id", [b.num_rows]) for b in batches), "doc_id long"
+    ).agg({"doc_id": "max"}).first()[0]
+    try:
+        spark.conf.set(limit, "64m")
+        stage(spark, docs, str(tmp_path))
+        assert spark.conf.get(limit) == str(corpus_pipeline.BATCH_BYTES)
+        assert largest() <= 8
+        spark.conf.set(limit, "1m")
+        stage(spark, docs, str(tmp_path))
+        assert spark.conf.get(limit) == "1m"
+    finally:
+        spark.conf.set(limit, before)
+    corpus_pipeline.run(spark, SF)
+    assert spark.conf.get(limit) == before
