@@ -63,13 +63,26 @@ def latest_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     The choice is made among source rows, before the other columns are derived from
     them.  It goes by the order key, which a loan number is one to one with and the
     joined rows are dealt by, so they are not dealt once more.
+
+    The choice needs nothing of a part but that there is one.  Its name and size, the
+    widest a line would carry, are joined to the chosen lines only; of a part with
+    several rows the largest counts.
     """
-    joined = joined_lines(spark, sf_dir)
+    part = _table(spark, sf_dir, "part")
+    named = F.col("l_partkey") == F.col("p_partkey")
+    with_part = _table(spark, sf_dir, "lineitem").join(part, named, "left_semi")
+    joined = _join_loans(spark, sf_dir, with_part.select(*_LINE))
     derived = [c for c in ("end_of_period", *TIE_BREAK) if c not in joined.columns]
-    rows = _derived(joined).select(*joined.columns, *derived)
+    unnamed = joined.withColumns({c: F.lit(None).cast(part.schema[c].dataType) for c in _PART})
+    rows = _derived(unnamed).select(*joined.columns, *derived)
     order = [F.col(c).asc() for c in TIE_BREAK]
     latest = latest_per_key(rows, ["l_orderkey"], ["end_of_period"], order)
-    return statements_of(latest.select(*joined.columns))
+    parts = part.groupBy("p_partkey").agg(F.max(F.struct(*_PART)).alias("_part"))
+    return statements_of(
+        latest.select(*joined.columns)
+        .join(parts.select("p_partkey", "_part.*"), named)
+        .drop("p_partkey")
+    )
 
 
 def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +93,16 @@ def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     the sizes: rows of a loan come out side by side, which keeps files and whatever
     groups by loan small.  The others go by the size Spark measures.
     """
+    lines = (
+        _table(spark, sf_dir, "lineitem")
+        .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .select(*_LINE, *_PART)
+    )
+    return _join_loans(spark, sf_dir, lines)
+
+
+def _join_loans(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """``lines`` with the columns of their loan, borrower and lender."""
     loans = (
         _table(spark, sf_dir, "orders")
         .join(
@@ -87,14 +110,9 @@ def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .select(*_LOAN, *_CUSTOMER)
     )
-    lines = (
-        _table(spark, sf_dir, "lineitem")
-        .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(
-            _table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
-        )
-        .select(*_LINE, *_PART, "s_nationkey")
-    )
+    lent = lines.join(
+        _table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
+    ).select(*lines.columns, "s_nationkey")
     nation = _table(spark, sf_dir, "nation")
     lender = nation.select(
         F.col("n_nationkey").alias("g_nationkey"), F.col("n_name").alias("g_name")
@@ -102,7 +120,7 @@ def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = _table(spark, sf_dir, "region")
     home = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     return (
-        lines.join(loans.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        lent.join(loans.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(
             home.select("n_nationkey", "n_name", "r_name"),
             F.col("c_nationkey") == F.col("n_nationkey"),

@@ -1,7 +1,8 @@
 """The raw layer over tables of a few own rows: whole, compressed, and never stored twice."""
 
+import re
 from contextlib import contextmanager
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from helpers import bronze_line, write_csv
@@ -69,6 +70,24 @@ def test_the_newest_statement_is_chosen_where_the_join_left_it(spark, folder):
     assert statements(spark, folder).count() == 5
 
 
+def test_parts_are_named_after_the_choice(spark, tmp_path):
+    tables_now = dict(TABLES)
+    schema, parts = TABLES["part"]
+    tables_now["part"] = (schema, parts + parts)  # every part twice
+    schema, lines = TABLES["lineitem"]
+    later = DAY + timedelta(days=1)
+    no_part = (5, 999, 3, 4, 10.0, 0.05, 0.02, "R", "F", later)
+    tables_now["lineitem"] = (schema, [*lines, no_part])  # newer, but of no known part
+    for name, (schema, rows) in tables_now.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    latest = latest_statements(spark, str(tmp_path))
+    text = plan(latest)
+    named = re.search(r"\[l_partkey#\d+L?\], \[p_partkey#\d+L?\], Inner", text)
+    assert named.start() < text.index("Window [")  # names do not travel with every line
+    found = [(r.loan_number, r.project_id) for r in latest.collect()]
+    assert sorted(found) == [("L5", "P000001"), ("L6", "P000001")]
+
+
 def test_a_loan_lies_side_by_side(spark, folder):
     rows = [r.loan_number for r in statements(spark, folder).coalesce(1).collect()]
     changes = sum(a != b for a, b in zip(rows, rows[1:]))
