@@ -1,3 +1,4 @@
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -5,6 +6,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from loanlens import scratch
+from loanlens.llm.store import Store
 from loanlens.operators.cleanse import standard_name
 
 
@@ -53,3 +55,19 @@ def test_standard_names_are_stable(text):
     assert standard_name(name) == name
     assert set(name) <= set("abcdefghijklmnopqrstuvwxyz0123456789_")
     assert not name.startswith("_") and not name.endswith("_") and "__" not in name
+
+
+def test_shuffle_files_of_a_stored_table_go(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: str(files.getAllFiles().mkString(" ")).count("shuffle_")
+    before = spark.conf.get(scratch._SHUFFLE_CLEANUP, None)
+    Store(spark).put("dealt", spark.range(1000).repartition(3, "id"))
+    start = shuffled()
+    for _ in range(3):
+        Store(spark).put("dealt", spark.range(1000).repartition(3, "id"))
+    for _ in range(50):  # files go beside the driver's work
+        if shuffled() <= start:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= start
+    assert spark.conf.get(scratch._SHUFFLE_CLEANUP, None) == before
