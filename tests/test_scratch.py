@@ -6,6 +6,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from loanlens import scratch
+from loanlens.catalog import tables
 from loanlens.llm.store import Store
 from loanlens.operators.cleanse import standard_name
 
@@ -71,3 +72,9 @@ def test_shuffle_files_of_a_stored_table_go(spark):
         time.sleep(0.1)
     assert shuffled() <= start
     assert spark.conf.get(scratch._SHUFFLE_CLEANUP, None) == before
+
+
+def test_derived_tables_are_built_tidily(spark):
+    seen = []
+    tables.stored(spark, "nowhere", "probe", lambda _: seen.append(spark.conf.get(scratch._SHUFFLE_CLEANUP)))
+    assert seen == ["true"]
